@@ -39,8 +39,8 @@ def percentiles(counts: DataFrame, group: Sequence[str], probs: Sequence[float])
     """
     group = list(group)
     rows = counts.select(*group, "value", "n").filter("n > 0")
-    summed, _ = running_sum(rows, group, ["value"], {"_cum": "n"}, name="frequencies")
-    totals = rows.groupBy(*group).agg(F.sum("n").alias("_total"))
+    summed, written = running_sum(rows, group, ["value"], {"_cum": "n"}, name="frequencies")
+    totals = written.df.groupBy(*group).agg(F.sum("n").alias("_total"))
     names = [f"_g{i}" for i in range(len(group))]
     totals = totals.select(*(F.col(c).alias(a) for c, a in zip(group, names)), "_total")
     on = F.lit(True)
