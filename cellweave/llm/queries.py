@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.text import clean_key, is_missing
 from cellweave.llm import canonical, encoding, frequent, leakage, linking, mixing, percentiles
+from cellweave.session import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,18 +78,19 @@ _P4_FIELDS = {"length": "read_length", "quality": "mean_quality"}
 def _qc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value counts per field, sample and day, and merged over the days of each sample (scope)."""
     reads = _table(spark, sf_dir, "read_qc_reads").select("read_id", "sample_name", "ended_at", *_P4_FIELDS.values())
-    once = reads.dropDuplicates(["read_id"])  # a second load has the same values
+    # A second load has the same values; of numbers the largest is kept without sorting.
+    once = reads.groupBy("read_id", "sample_name").agg(
+        F.max(F.to_date("ended_at")).alias("day"), *(F.max(c).alias(c) for c in _P4_FIELDS.values())
+    )
     fields = F.array(*(F.struct(F.lit(f).alias("field"), F.col(c).cast("double").alias("v")) for f, c in _P4_FIELDS.items()))
-    values = once.select("sample_name", F.to_date("ended_at").alias("day"), F.explode(fields).alias("_f")).select(
+    values = once.select("sample_name", "day", F.explode(fields).alias("_f")).select(
         "sample_name", "day", F.col("_f.field").alias("field"), F.when(F.col("_f.v") >= 0, F.col("_f.v")).alias("v")
     )
-    by_day = percentiles.value_counts(values, ["field", "sample_name", "day"], "v")
-    both = F.array(F.lit("day"), F.lit("all"))
-    scoped = by_day.select(F.explode(both).alias("scope"), "*").withColumn(
-        "day", F.when(F.col("scope") == "day", F.col("day"))
+    by_day = materialize(percentiles.value_counts(values, ["field", "sample_name", "day"], "v"), "day-counts").df
+    all_days = percentiles.merge_counts(by_day, ["field", "sample_name"]).withColumns(
+        {"scope": F.lit("all"), "day": F.lit(None).cast("date")}
     )
-    counts = percentiles.merge_counts(scoped, ["field", "sample_name", "scope", "day"])
-    return counts.filter("scope = 'all' OR day IS NOT NULL")
+    return by_day.filter("day IS NOT NULL").withColumn("scope", F.lit("day")).unionByName(all_days)
 
 
 def p4_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
