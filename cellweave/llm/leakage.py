@@ -8,49 +8,88 @@ the whole shared run, which also removes chance hits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import regex
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.session import materialize
 
-def words(text: Column) -> Column:
-    """Unbroken runs of letters and digits, in lower case."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+_WORDS = regex.compile(r"[\p{L}\p{N}]+")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprints(words_col: Column, gram: int, window: int) -> Column:
-    """ARRAY<STRUCT<h: LONG, pos: INT>>: the winnowed k-gram hashes with the (0-based) word they start at.
+def words(text: str | None) -> list[str]:
+    """Unbroken runs of letters and digits, in lower case."""
+    return _WORDS.findall(text.lower()) if text else []
+
+
+def _hashes(texts: list[str | None], gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the k-grams of words of all texts, the text of each, and the (0-based) word it begins with."""
+    split = [words(t) for t in texts]
+    flat = [w for own in split for w in own]
+    codes, distinct = pd.factorize(np.array(flat, object)) if flat else (np.zeros(0, int), [])
+    one = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct), np.uint64, len(distinct))[codes]
+    sizes = np.fromiter((len(own) for own in split), np.int64, len(split))
+    first = np.cumsum(sizes) - sizes
+    n = max(len(one) - gram + 1, 0)
+    hashes = np.zeros(n, np.uint64)
+    for j in range(gram):
+        hashes = (hashes ^ one[j : j + n]) * _MIX
+        hashes ^= hashes >> np.uint64(31)
+    text = np.repeat(np.arange(len(split)), sizes)[:n]
+    word = np.arange(n) - first[text] if n else np.zeros(0, np.int64)
+    whole = word + gram <= sizes[text] if n else np.zeros(0, bool)
+    return hashes[whole], text[whole], word[whole]
+
+
+def fingerprint_rows(texts: list[str | None], gram: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The winnowed hashes, the text of each, and the word it begins with.
 
     Of equal smallest hashes in a window the rightmost is kept. A text with fewer k-grams than a
     window gives the smallest of those it has; one with fewer words than a k-gram gives none.
     """
-    n = F.size(words_col) - F.lit(gram - 1)
-    hashes = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.struct(F.xxhash64(F.slice(words_col, i, F.lit(gram))).alias("h"), (-i).alias("p")),
-    )
-    picked = lambda grams: F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(grams) - F.lit(window - 1), F.lit(1))),
-            lambda i: F.array_min(F.slice(grams, i, F.lit(window))),
-        )
-    )
-    flat = F.transform(picked(hashes), lambda x: F.struct(x["h"].alias("h"), (-x["p"] - 1).alias("pos")))
-    return F.when(n >= 1, flat)
-
-
-def _shared_run(a: Column, b: Column, at_a: Column, at_b: Column) -> Column:
-    """Length of the run of equal words of `a` and `b` through the words at the two places."""
-
-    def ahead(x: Column, y: Column) -> Column:
-        # Places from the hit on; the first difference ends the run.
-        m = F.least(F.size(x), F.size(y))
-        same = F.zip_with(F.slice(x, F.lit(1), m), F.slice(y, F.lit(1), m), lambda p, q: p == q)
-        first = F.array_position(same, False)
-        return F.when(first > 0, first.cast("int") - 1).otherwise(m)
-
-    right = ahead(F.slice(a, at_a + 1, F.size(a)), F.slice(b, at_b + 1, F.size(b)))
-    left = ahead(F.reverse(F.slice(a, F.lit(1), at_a)), F.reverse(F.slice(b, F.lit(1), at_b)))
-    return left + right
+    hashes, text, word = _hashes(texts, gram)
+    if not len(hashes):
+        return hashes, text, word
+    at = np.arange(len(hashes))
+    best = at.copy()
+    last = np.searchsorted(text, text, side="right") - 1
+    for step in range(1, window):
+        other = np.minimum(at + step, last)
+        best = np.where(hashes[other] <= hashes[best], other, best)
+    start = np.searchsorted(text, text, side="left")
+    # A window that the text's end cuts short is left out, but for the first of the text.
+    full = (at + window - 1 <= last) | (at == start)
+    keep = np.unique(best[full])
+    return hashes[keep], text[keep], word[keep]
+
+
+def _fingerprints(df: DataFrame, key: str, text: str, gram: int, window: int, side: str) -> DataFrame:
+    """`side`, _h LONG and `side`_at INT: the fingerprints of a table of texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            h, which, word = fingerprint_rows(batch["text"].tolist(), gram, window)
+            yield pd.DataFrame({side: batch[side].to_numpy()[which], "_h": h.view(np.int64), f"{side}_at": word.astype(np.int32)})
+
+    rows = df.select(F.col(key).alias(side), F.col(text).alias("text")).filter(F.col(side).isNotNull() & F.col("text").isNotNull())
+    kind = rows.schema[side].dataType.simpleString()
+    return rows.mapInPandas(run, f"{side} {kind}, _h long, {side}_at int")
+
+
+def shared_run(a: list[str], b: list[str], i: int, j: int) -> tuple[int, int]:
+    """First word (of `a`) and length of the run of equal words through the words i of `a` and j of `b`."""
+    start = end = 0
+    while start < min(i, j) and a[i - start - 1] == b[j - start - 1]:
+        start += 1
+    while i + end < len(a) and j + end < len(b) and a[i + end] == b[j + end]:
+        end += 1
+    return i - start, start + end if end else 0
 
 
 def leaks(
@@ -66,48 +105,36 @@ def leaks(
     """doc, item, shared_words INT, doc_word INT: each document and item that share a run of `min_words` words.
 
     `shared_words` is the longest such run and `doc_word` the (0-based) word of the document where the
-    first of the longest begins. NULL and empty texts and texts of fewer words share nothing; NULL
-    ids are kept as ids. Repeated rows of an id are one case. Texts are compared whole. Every run of
-    at least `min_words` words is found, because `gram` plus the window spans exactly that many.
+    first of the longest begins. Rows with a NULL id are left out; NULL and empty texts and texts of fewer
+    words share nothing. Repeated rows of an id are one case. Texts are compared whole. Every run of at
+    least `min_words` words is found, because `gram` plus the window spans exactly that many.
     """
     window = min_words - gram + 1
     if window < 1:
         raise ValueError("gram must not exceed min_words")
-
-    def prints(df: DataFrame, key: str, text: str, side: str) -> DataFrame:
-        cut = df.select(F.col(key).alias(side), words(F.col(text)).alias(f"{side}_words"))
-        cut = cut.filter(F.size(f"{side}_words") >= min_words)
-        marks = F.explode(fingerprints(F.col(f"{side}_words"), gram, window)).alias("_f")
-        return cut.select(side, f"{side}_words", marks).select(side, f"{side}_words", F.col("_f.h").alias("_h"), F.col("_f.pos").alias(f"{side}_at"))
-
-    tested = prints(items, item_id, item_text, "item")
-    known = tested.select("_h").distinct()
-    # Most documents share no fingerprint: only hashes meet first, then the words of the few that hit.
-    hits = prints(corpus, corpus_id, corpus_text, "doc").join(known, "_h", "left_semi")
-    pairs = hits.join(tested, "_h").select(
-        "doc", "item", "doc_at", "item_at", "doc_words", "item_words"
-    )
-    runs = pairs.select(
-        "doc",
-        "item",
-        _shared_run(F.col("doc_words"), F.col("item_words"), F.col("doc_at"), F.col("item_at")).alias("shared_words"),
-        (
-            F.col("doc_at")
-            - _before(F.col("doc_words"), F.col("item_words"), F.col("doc_at"), F.col("item_at"))
-        ).alias("doc_word"),
-    ).filter(F.col("shared_words") >= min_words)
+    tested = _fingerprints(items, item_id, item_text, gram, window, "item")
+    met = _fingerprints(corpus, corpus_id, corpus_text, gram, window, "doc").join(tested, "_h")
+    hits = materialize(met.select("doc", "item", "doc_at", "item_at").distinct(), "hits").df
+
+    # The texts of the few documents that were hit are looked up again to extend the hits.
+    docs = corpus.select(F.col(corpus_id).alias("doc"), F.col(corpus_text).alias("doc_text")).filter("doc_text IS NOT NULL")
+    tests = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("item_text")).filter("item_text IS NOT NULL")
+    pairs = docs.join(hits, "doc").join(tests, "item").select("doc", "item", "doc_at", "item_at", "doc_text", "item_text")
+
+    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            split = {t: words(t) for t in {*batch["doc_text"], *batch["item_text"]}}
+            runs = [
+                shared_run(split[d], split[t], i, j)
+                for d, t, i, j in zip(batch["doc_text"], batch["item_text"], batch["doc_at"], batch["item_at"])
+            ]
+            found = pd.DataFrame(runs, columns=["doc_word", "shared_words"])
+            found = pd.concat([batch[["doc", "item"]].reset_index(drop=True), found], axis=1)
+            yield found[found["shared_words"] >= min_words]
+
+    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("doc", "item"))
+    runs = pairs.mapInPandas(extend, f"{kinds}, doc_word int, shared_words int")
     best = F.max(F.struct("shared_words", (-F.col("doc_word")).alias("_w"))).alias("_b")
     return runs.groupBy("doc", "item").agg(best).select(
         "doc", "item", F.col("_b.shared_words").alias("shared_words"), (-F.col("_b._w")).alias("doc_word")
     )
-
-
-def _before(a: Column, b: Column, at_a: Column, at_b: Column) -> Column:
-    m = F.least(at_a, at_b)
-    same = F.zip_with(
-        F.slice(F.reverse(F.slice(a, F.lit(1), at_a)), F.lit(1), m),
-        F.slice(F.reverse(F.slice(b, F.lit(1), at_b)), F.lit(1), m),
-        lambda p, q: p == q,
-    )
-    first = F.array_position(same, False)
-    return F.when(first > 0, first.cast("int") - 1).otherwise(m)
