@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.prefix import running_sum
+from cellweave.session import materialize
 
 #: Folder of the public vocabulary files; a parameter of `token_sizes`.
 TOKENIZERS = "/opt/tokenizers"
@@ -123,6 +124,7 @@ def mix_order(sized: DataFrame, key: str, source: str, targets: DataFrame, seed:
 
 def mix_report(sized: DataFrame, key: str, source: str, targets: DataFrame, seed: int = 7) -> DataFrame:
     """One row per target source: share wanted and reached, passes used and whether it falls short."""
+    sized = materialize(sized.select(key, source, "size"), "sizes").df  # sizes are worked out once
     mixed = mix_order(sized, key, source, targets, seed).groupBy("source").agg(
         F.sum("size").alias("_mixed"), F.count("*").alias("_rows"), (F.max("pass_no") + 1).alias("_passes")
     )
