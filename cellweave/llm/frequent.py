@@ -133,7 +133,7 @@ def heavy_items(df: DataFrame, column: str, min_share: float, counters: int = 10
     if (counters + 1) * min_share <= 1:
         raise ValueError("counters must exceed 1 / min_share")
     summary = frequent_items(df, column, counters).filter(
-        F.col("approx_count") + F.col("max_error") >= F.lit(min_share) * F.col("n_rows")
+        (F.col("approx_count") + F.col("max_error")) / F.col("n_rows") >= min_share
     )
     exact = (
         df.select(F.col(column).cast("string").alias("item"))
@@ -141,6 +141,6 @@ def heavy_items(df: DataFrame, column: str, min_share: float, counters: int = 10
         .groupBy("item", "approx_count", "max_error", "n_rows")
         .agg(F.count("*").alias("n_items"))
     )
-    return exact.filter(F.col("n_items") >= F.lit(min_share) * F.col("n_rows")).select(
+    return exact.filter(F.col("n_items") / F.col("n_rows") >= min_share).select(
         "item", "approx_count", "max_error", "n_items", "n_rows"
     )
