@@ -23,8 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.session import materialize
+
 #: Entries of a reference list (and of a shard) that one task holds; about 200 bytes each.
 BROADCAST_ENTRIES = 200_000
+#: Values that meet a shard in one task.
+CHUNK_VALUES = 100_000
 _WORD = 63
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOUND = "value string, entry string, distance int, n_best int"
@@ -247,17 +251,19 @@ class Forest:
     def nearest(self, texts: list[str]) -> pd.DataFrame:
         """value, entry, distance, n_best: one row for each text that has an entry within k."""
         who, entry, d = self.search(texts)
+        if not len(who):
+            return pd.DataFrame({"value": [], "entry": [], "distance": [], "n_best": []}).astype({"value": object, "entry": object, "distance": "int32", "n_best": "int32"})
         order = np.lexsort((entry, d, who))
         who, entry, d = who[order], entry[order], d[order]
-        first = np.r_[True, who[1:] != who[:-1]] if len(who) else np.zeros(0, bool)
+        first = np.r_[True, who[1:] != who[:-1]]
         at = np.cumsum(first) - 1
-        best = d[first][at] == d if len(who) else first
+        best = d[first][at] == d
         return pd.DataFrame(
             {
                 "value": [texts[x] for x in who[first]],
                 "entry": [self.strings.texts[x] for x in entry[first]],
                 "distance": d[first],
-                "n_best": np.bincount(at[best], minlength=int(first.sum())).astype(np.int32) if len(who) else d[first],
+                "n_best": np.bincount(at[best], minlength=int(first.sum())).astype(np.int32),
             }
         )
 
@@ -283,7 +289,7 @@ def _search_shards(values: DataFrame, entries: DataFrame, k: int, shards: int, c
     right = entries.select(
         "entry",
         F.pmod(F.xxhash64("entry"), F.lit(shards)).cast("int").alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("long").alias("chunk"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"),
     )
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -321,5 +327,6 @@ def nearest_entries(
     n = entries.count()
     if n <= max_entries:
         return _search_broadcast(spark, asked, entries, k)
-    shards = -(-n // max_entries)
-    return _search_shards(asked, entries, k, shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    written = materialize(asked, "values").df
+    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-written.count() // CHUNK_VALUES))
+    return _search_shards(written, entries, k, -(-n // max_entries), chunks)
