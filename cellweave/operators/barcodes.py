@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions import seq as S
+from cellweave.operators.segments import bounds, cut_places
 
 # Middles of the barcodes and anchors of the UMIs as they stand in a read.
 BC_MIDDLE_3P = "GCTACC"
@@ -193,24 +194,6 @@ def semi_global(pattern: str, text: str, k: int) -> int:
     return min(best, k + 1)
 
 
-def _cut_places(known: DataFrame, parts: int) -> list[float]:
-    """Where to cut entries, as shares of their length, so that every part tells about as much.
-
-    Positions at which all entries agree tell nothing; cutting at equal lengths would give a part
-    around a fixed middle that nearly every entry has.
-    """
-    letters = known.select(F.posexplode(F.split("entry", "")).alias("i", "c"), F.length("entry").alias("n")).filter("c <> ''")
-    counts = letters.groupBy((F.col("i") / F.col("n")).alias("at"), "c").agg(F.count("*").alias("m"))
-    told = counts.groupBy("at").agg((F.log2(F.sum("m")) - F.sum(F.col("m") * F.log2("m")) / F.sum("m")).alias("bits"))
-    rows = sorted(told.collect())  # one row for each place in an entry
-    total, upto, cuts = sum(r.bits for r in rows) or 1.0, 0.0, []
-    for r in rows:
-        if len(cuts) < parts - 1 and upto >= total * (len(cuts) + 1) / parts:
-            cuts.append(r["at"])
-        upto += r.bits
-    return [0.0, *cuts, 1.0]
-
-
 def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k: int = 2) -> DataFrame:
     """value, corrected: the entry that fits into the value best, within k edits; "" if none or several do.
 
@@ -220,14 +203,14 @@ def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k
     """
     asked = values.select(F.col(column).alias("value")).filter("value <> ''").distinct()
     known = entries.select(F.col(entry).alias("entry")).filter("entry <> ''").distinct()
-    places = _cut_places(known, k + 1)
+    places = cut_places(known, "entry", k + 1)
     size = F.length("entry")
 
-    def part(a: float, e: float) -> Column:
-        start, end = F.round(size * a).cast("int"), F.round(size * e).cast("int")
+    def part(p: int) -> Column:
+        start, end = bounds(size, places, p)
         return F.struct(start.alias("at"), (end - start).alias("n"), F.substring(F.col("entry"), start + 1, end - start).alias("text"))
 
-    pieces = known.select("entry", F.explode(F.array(*(part(a, e) for a, e in zip(places, places[1:])))).alias("_s")).select("entry", "_s.*")
+    pieces = known.select("entry", F.explode(F.array(*(part(p) for p in range(len(places) - 1)))).alias("_s")).select("entry", "_s.*")
     sizes = pieces.select("n").distinct()  # as many rows as part lengths differ
     # A value offers its substrings of those lengths; before and behind a part lie k edits at most.
     offered = (

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.text import clean_key
@@ -21,14 +21,23 @@ from cellweave.session import materialize
 HOT_KEYS = 10_000
 
 
+def _magnitude(v: Column) -> Column:
+    """Grows with the value and evenly with its binary exponent."""
+    return F.signum(v) * F.coalesce(F.log2(F.abs(v)) + 1100, F.lit(0.0))
+
+
 def _split_bins(rows: DataFrame, bins: int) -> DataFrame:
-    width = F.col("_hi") / bins - F.col("_lo") / bins
-    at = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))
-    return rows.filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).withColumn(
-        "_bin",
-        F.when(width > 0, F.greatest(at, F.lit(0))).otherwise(
-            F.when(F.col("_v") <= F.col("_lo"), F.lit(0)).otherwise(F.lit(bins - 1))
-        ),
+    """Bins of equal width, or of equal ratio where the ends differ in sign or more than fourfold.
+
+    The ends fall into different bins, so that every round narrows the range: at most a few rounds until
+    the values agree in their exponent, and then log2(bins) bits a round.
+    """
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    wide = (lo <= 0) & (hi >= 0) | (F.abs(hi) > 4 * F.abs(lo)) | (F.abs(lo) > 4 * F.abs(hi))
+    at, a, e = (F.when(wide, _magnitude(x)).otherwise(x) for x in (v, lo, hi))
+    place = F.least(F.floor(F.try_divide(at - a, (e - a) / bins)), F.lit(bins - 1))
+    return rows.filter(v.between(lo, hi)).withColumn(
+        "_bin", F.when(v <= lo, 0).when(v >= hi, bins - 1).when(e > a, F.greatest(place, F.lit(0))).otherwise(bins - 1)
     )
 
 

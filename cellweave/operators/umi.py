@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.operators.segments import bounds, cut_places
 from cellweave.session import materialize
 
 
@@ -15,38 +16,50 @@ def umi_counts(rows: DataFrame, group: Sequence[str], umi: str) -> DataFrame:
     return rows.groupBy(*group, F.col(umi).alias("umi")).agg(F.count("*").alias("n"))
 
 
-def _parts(umi: Column, k: int, shifts: int) -> Column:
-    """The k + 1 equal parts of a UMI, each at its place and at places up to `shifts` away."""
-    size = F.length(umi)
-
-    def at(p: int) -> Column:
-        a, e = F.floor(size * p / (k + 1)).cast("int"), F.floor(size * (p + 1) / (k + 1)).cast("int")
-        places = F.sequence(F.greatest(a - shifts, F.lit(0)), F.greatest(F.least(a + shifts, size - (e - a)), F.lit(0)))
-        return F.transform(places, lambda i: F.concat_ws(":", F.lit(str(p)), size.cast("string"), F.substring(umi, i + 1, e - a)))
-
-    return F.array_distinct(F.concat(*(at(p) for p in range(k + 1))))
-
-
 def near_pairs(counts: DataFrame, group: Sequence[str], k: int = 3) -> DataFrame:
     """`group`, a, na, b, nb: pairs of UMIs of a group within k edits of each other, each in both directions.
 
-    UMIs of one length meet on a part that they share near its place; those of other lengths, or too
-    short to be cut, meet on the group alone.
+    Of the k + 1 parts of a UMI one is unchanged in the other, at most k places away. So UMIs offer their parts
+    and take up the parts that others of the lengths in their group may have, and meet on equal ones;
+    UMIs too short to be cut meet those of at most 2 k letters. Only pairs that met are compared.
     """
     g = list(group)
-    mixed = counts.groupBy(*g).agg((F.countDistinct(F.length("umi")) > 1).alias("_m"), F.min(F.length("umi")).alias("_l"))
-    marked = counts.join(mixed, g).withColumn("_all", F.col("_m") | (F.col("_l") <= k))
-    cut = marked.filter("NOT _all")
-    left = cut.select(*g, F.col("umi").alias("a"), F.col("n").alias("na"), F.explode(_parts(F.col("umi"), k, 0)).alias("_k"))
-    right = cut.select(*g, F.col("umi").alias("b"), F.col("n").alias("nb"), F.explode(_parts(F.col("umi"), k, k)).alias("_k"))
-    met = left.join(right, [*g, "_k"]).filter("a <> b").drop("_k")
-    rest = marked.filter("_all")
-    whole = rest.select(*g, F.col("umi").alias("a"), F.col("n").alias("na")).join(
-        rest.select(*g, F.col("umi").alias("b"), F.col("n").alias("nb")), g
-    ).filter("a <> b")
-    close = met.unionByName(whole).filter(F.levenshtein("a", "b", k) >= 0)
+    places = cut_places(counts, "umi", k + 1)
+    lengths = counts.groupBy(*g).agg(F.collect_set(F.length("umi")).alias("_lengths"))
+    size = F.length("umi")
+    tiny = F.lit("tiny")
+
+    def key(p: int, length: Column, text: Column) -> Column:
+        return F.concat_ws(":", F.lit(str(p)), length.cast("string"), text)
+
+    def own(p: int) -> Column:
+        start, end = bounds(size, places, p)
+        return F.when(size > k, key(p, size, F.substring("umi", start + 1, end - start))).otherwise(tiny)
+
+    def others(p: int) -> Column:
+        def of(length: Column) -> Column:
+            start, end = bounds(length, places, p)
+            last = F.least(start + k, size - (end - start))
+            first = F.greatest(start - k, F.lit(0))
+            at = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+            return F.transform(at, lambda i: key(p, length, F.substring("umi", i + 1, end - start)))
+
+        near = F.filter("_lengths", lambda x: (x > k) & (F.abs(x - size) <= k))
+        return F.flatten(F.transform(near, of))
+
+    parts = range(len(places) - 1)
+    left = counts.select(*g, F.col("umi").alias("a"), F.col("n").alias("na"), F.explode(F.array_distinct(F.array(*(own(p) for p in parts)))).alias("_k"))
+    offered = F.concat(*(others(p) for p in parts), F.when(size <= 2 * k, F.array(tiny)).otherwise(F.array().cast("array<string>")))
+    right = counts.join(lengths, g).select(*g, F.col("umi").alias("b"), F.col("n").alias("nb"), F.explode(F.array_distinct(offered)).alias("_k"))
+    met = left.join(right, [*g, "_k"]).filter("a <> b").select(
+        *g,
+        F.when(F.col("a") < F.col("b"), F.struct("a", "na", "b", "nb")).otherwise(
+            F.struct(F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb"))
+        ).alias("_p"),
+    )
+    close = met.filter(F.levenshtein("_p.a", "_p.b", k) >= 0).distinct().select(*g, "_p.*")
     flipped = close.select(*g, F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb"))
-    return close.unionByName(flipped).distinct()
+    return close.unionByName(flipped)
 
 
 def collapse_umis(counts: DataFrame, group: Sequence[str], k: int = 3, max_rounds: int = 60) -> DataFrame:

@@ -16,9 +16,9 @@ def _disc(values, p):
 @pytest.mark.parametrize("kind", ["int", "float", "wide"])
 def test_quantiles_agree_with_sorting(spark, kind):
     rng = random.Random(3)
-    make = {"int": lambda: float(rng.randint(-5, 40)), "float": rng.random, "wide": lambda: rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300)}[kind]
+    make = {"int": lambda: float(rng.randint(-5, 40)), "float": rng.random, "wide": lambda: rng.choice([0, -1, 1]) * 10 ** rng.uniform(-300, 300)}[kind]
     rows = [(rng.choice("aaaaaab"), make()) for _ in range(700)] + [("c", 7.0), (None, 1.0), (None, 3.0)]
-    out = select_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", [0.0, 0.25, 0.5, 0.9, 1.0], bins=4).collect()
+    out = select_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", [0.0, 0.25, 0.5, 0.9, 1.0], bins=16).collect()
     got = {(r.g, r.prob): r.value for r in out}
     groups = {g for g, _ in rows}
     assert got == {(g, p): _disc([v for k, v in rows if k == g], p) for g in groups for p in (0.0, 0.25, 0.5, 0.9, 1.0)}
