@@ -1,7 +1,8 @@
-"""Sequence and quality expressions, all of them built-in column functions."""
+"""Sequence and quality expressions; all but the tail scan are built-in column functions."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def phred(qual: Column) -> Column:
 
 def min_quality(qual: Column) -> Column:
     """Smallest quality; NULL for an empty string."""
-    return F.array_min(phred(qual))
+    return F.when(qual != "", F.ascii(F.array_min(F.split(qual, ""))) - 33)
 
 
 def mean_quality(scores: Column) -> Column:
@@ -66,31 +67,28 @@ def passes_gate(scores: Column, min_length: int, min_mean_quality: float) -> Col
     return F.when(F.size(scores) < min_length, 16).when(-10 * F.log10(error) < min_mean_quality, 17).otherwise(0)
 
 
-def last_run(window: Column) -> Column:
-    """Index of the last AAAA, NULL if there is none."""
-    back = rfind_from_end(window, "AAAA")
-    return F.when(back != -1, F.length(window) + back)
+def _tail(window: str | None) -> int | None:
+    """Length of the A tail at the end of a window in upper case, None if there is none."""
+    start = window.rfind("AAAA") if window else -1
+    if start < 0:
+        return None
+    while start > 0 and (window[start - 1] == "A" or window.count("A", max(start - 10, 0), start) >= 7):
+        start -= 1
+    return len(window) - start if len(window) - start >= 8 else None
 
 
-def poly_a_start(window: Column, anchor: Column, end: Column) -> Column:
+def poly_a_start(window: Column, end: Column) -> Column:
     """Start of the A tail in the upper-case `window` that ends at `end`, as an index from the end of the read, or NULL.
 
-    From its last AAAA (`anchor`) the tail goes left over each A and each base that ends 10 bases with
-    7 or more A. Tails of fewer than 8 bases don't count.
+    From the last AAAA the tail goes left over each A and each base that ends 10 bases with 7 or more A.
+    Tails of fewer than 8 bases don't count.
     """
-    n = F.length(window)
-
-    def continues(i: Column) -> Column:
-        left = F.greatest(i - 9, F.lit(0))
-        last = F.substring(window, left + 1, i - left + 1)
-        return (F.substring(window, i + 1, F.lit(1)) == "A") | (
-            F.length(last) - F.length(F.replace(last, F.lit("A"), F.lit(""))) >= 7
-        )
-
-    flags = F.transform(F.sequence(anchor - 1, F.lit(0), F.lit(-1)), continues)
-    stop = F.array_position(flags, False).cast("int")
-    start = F.when(anchor == 0, 0).when(stop > 0, anchor - stop + 1).otherwise(F.when(anchor > 0, 0))
-    return F.when(n - start >= 8, start - n + end)
+
+    @F.pandas_udf("int")
+    def tail(windows: pd.Series) -> pd.Series:
+        return pd.Series([_tail(w) for w in windows], dtype="Int32")
+
+    return end - tail(window)
 
 
 def ratio_of(seq: Column, letter: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,8 +56,7 @@ def extract_3p(df: DataFrame, seq: str, qual: str, out: str = "end3", middle: st
             "_window_end": F.when(found, umi_loc - 10).when(placed, loc - 10),
         },
         {"_window": F.upper(S.py_slice(s, F.col("_window_end") - 100, F.col("_window_end")))},
-        {"_anchor": S.last_run(F.col("_window"))},
-        {"_poly": S.poly_a_start(F.col("_window"), F.col("_anchor"), F.col("_window_end"))},
+        {"_poly": S.poly_a_start(F.col("_window"), F.col("_window_end"))},
     )
     umi_end = F.col("_umi_end")
     result = F.struct(
@@ -182,16 +182,31 @@ def validity_summary(rows: DataFrame, bc3: str, bc5: str) -> DataFrame:
     )
 
 
-def semi_global(pattern: str, text: str, k: int) -> int:
-    """Smallest edit distance of `pattern` to any substring of `text`; k + 1 if it exceeds k."""
-    row = list(range(len(pattern) + 1))
-    best = row[-1]
-    for letter in text:
-        last, row[0] = 0, 0
-        for i, want in enumerate(pattern, 1):
-            last, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, last + (letter != want))
-        best = min(best, row[-1])
-    return min(best, k + 1)
+def semi_global(patterns: pd.Series, texts: pd.Series) -> np.ndarray:
+    """Smallest edit distance of each pattern to any substring of its text.
+
+    All pairs go through the letters of the texts together, with one row of the usual table each.
+    """
+
+    def codes(strings: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        width = int(strings.str.len().max())
+        flat = "".join(strings.str.ljust(width, "\0")).encode("utf-32-le")
+        return np.frombuffer(flat, np.uint32).reshape(len(strings), width), strings.str.len().to_numpy()
+
+    if not len(patterns):
+        return np.zeros(0, np.int32)
+    p, m = codes(patterns)
+    t, n = codes(texts)
+    steps, pairs = np.arange(p.shape[1] + 1, dtype=np.int32), np.arange(len(p))
+    row = np.tile(steps, (len(p), 1))
+    best = m.astype(np.int32)
+    for j in range(t.shape[1]):
+        turned = row + 1
+        turned[:, 0] = 0
+        turned[:, 1:] = np.minimum(turned[:, 1:], row[:, :-1] + (p != t[:, j : j + 1]))
+        row = np.minimum.accumulate(turned - steps, axis=1) + steps
+        best = np.where(j < n, np.minimum(best, row[pairs, m]), best)
+    return best
 
 
 def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k: int = 2) -> DataFrame:
@@ -227,7 +242,7 @@ def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k
 
     @F.pandas_udf("int")
     def distance(entry: pd.Series, value: pd.Series) -> pd.Series:
-        return pd.Series([semi_global(e, v, k) for e, v in zip(entry, value)], dtype="int32")
+        return pd.Series(semi_global(entry, value))
 
     scored = pairs.withColumn("d", distance("entry", "value")).filter(F.col("d") <= k)
     best = scored.groupBy("value", "d").agg(F.count("*").alias("n_best"), F.min("entry").alias("entry"))

@@ -19,7 +19,7 @@ def umi_counts(rows: DataFrame, group: Sequence[str], umi: str) -> DataFrame:
 def near_pairs(counts: DataFrame, group: Sequence[str], k: int = 3) -> DataFrame:
     """`group`, a, na, b, nb: pairs of UMIs of a group within k edits of each other, each in both directions.
 
-    Of the k + 1 parts of a UMI one is unchanged in the other, at most k places away. So UMIs offer their parts
+    Of the k + 1 parts of a UMI one is unchanged in the other, a few places away. So UMIs offer their parts
     and take up the parts that others of the lengths in their group may have, and meet on equal ones;
     UMIs too short to be cut meet those of at most 2 k letters. Only pairs that met are compared.
     """
@@ -39,8 +39,10 @@ def near_pairs(counts: DataFrame, group: Sequence[str], k: int = 3) -> DataFrame
     def others(p: int) -> Column:
         def of(length: Column) -> Column:
             start, end = bounds(length, places, p)
-            last = F.least(start + k, size - (end - start))
-            first = F.greatest(start - k, F.lit(0))
+            # Of the parts that are unchanged one has at most p edits before it and k - p behind it.
+            gap = size - length
+            last = F.least(start + p, start + gap + (k - p), size - (end - start))
+            first = F.greatest(start - p, start + gap - (k - p), F.lit(0))
             at = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
             return F.transform(at, lambda i: key(p, length, F.substring("umi", i + 1, end - start)))
 
