@@ -182,8 +182,8 @@ def validity_summary(rows: DataFrame, bc3: str, bc5: str) -> DataFrame:
     )
 
 
-def semi_global(patterns: pd.Series, texts: pd.Series) -> np.ndarray:
-    """Smallest edit distance of each pattern to any substring of its text.
+def substring_distances(patterns: pd.Series, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest edit distance of each pattern to any substring of its text, and the last end of such a substring.
 
     All pairs go through the letters of the texts together, with one row of the usual table each.
     """
@@ -194,19 +194,21 @@ def semi_global(patterns: pd.Series, texts: pd.Series) -> np.ndarray:
         return np.frombuffer(flat, np.uint32).reshape(len(strings), width), strings.str.len().to_numpy()
 
     if not len(patterns):
-        return np.zeros(0, np.int32)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     p, m = codes(patterns)
     t, n = codes(texts)
     steps, pairs = np.arange(p.shape[1] + 1, dtype=np.int32), np.arange(len(p))
     row = np.tile(steps, (len(p), 1))
-    best = m.astype(np.int32)
+    best, end = m.astype(np.int32), np.zeros(len(p), np.int32)
     for j in range(t.shape[1]):
         turned = row + 1
         turned[:, 0] = 0
         turned[:, 1:] = np.minimum(turned[:, 1:], row[:, :-1] + (p != t[:, j : j + 1]))
         row = np.minimum.accumulate(turned - steps, axis=1) + steps
-        best = np.where(j < n, np.minimum(best, row[pairs, m]), best)
-    return best
+        last = row[pairs, m]
+        good = (j < n) & (last <= best)
+        best, end = np.where(good, last, best), np.where(good, j + 1, end)
+    return best, end
 
 
 def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k: int = 2) -> DataFrame:
@@ -242,7 +244,7 @@ def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k
 
     @F.pandas_udf("int")
     def distance(entry: pd.Series, value: pd.Series) -> pd.Series:
-        return pd.Series(semi_global(entry, value))
+        return pd.Series(substring_distances(entry, value)[0])
 
     scored = pairs.withColumn("d", distance("entry", "value")).filter(F.col("d") <= k)
     best = scored.groupBy("value", "d").agg(F.count("*").alias("n_best"), F.min("entry").alias("entry"))

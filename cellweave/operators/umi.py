@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.operators.pairs import components
 from cellweave.operators.segments import bounds, cut_places
 from cellweave.session import materialize
 
@@ -69,23 +70,40 @@ def collapse_umis(counts: DataFrame, group: Sequence[str], k: int = 3, max_round
 
     A UMI reaches those within k edits that it has at least 2 n - 1 times the reads of, and what they
     reach. UMIs rank by reads, then by name; visiting them in this order, each taking what it reaches
-    and nobody took, gives every UMI the highest-ranked that reaches it, which is what is spread here:
-    along the edges, and from a UMI to its own choice, until nothing changes.
+    and nobody took, gives every UMI the highest-ranked that reaches it. UMIs of one read reach each
+    other, so that their components are merged first; all other edges lead to fewer reads, at most half and
+    one more, so that the best rank has spread after as many rounds as the largest count has bits.
     """
     g = list(group)
-    edges = materialize(near_pairs(counts, g, k).filter("na >= 2 * nb - 1").select(*g, "a", "b"), "umi-edges")
+    named = counts.select(*g, "umi", "n", F.to_json(F.struct(*g, "umi")).alias("id"))
+    nodes = materialize(named, "umis").df
+    near = near_pairs(counts, g, k).filter("na >= 2 * nb - 1")
+    ids = [F.to_json(F.struct(*g, F.col(x).alias("umi"))).alias(e) for x, e in (("a", "u"), ("b", "v"))]
+    edges = materialize(near.select(*ids, ((F.col("na") == 1) & (F.col("nb") == 1)).alias("mutual")), "umi-edges").df
+    merged = components(edges.filter("mutual").select("u", "v")).select(F.col("node").alias("id"), "component")
+    placed = materialize(
+        nodes.join(merged, "id", "left").select(*g, "umi", "n", "id", F.coalesce("component", "id").alias("part")), "umi-parts"
+    ).df
+    part_of = placed.select("id", "part")
+    down = materialize(
+        edges.filter("NOT mutual")
+        .join(part_of.select(F.col("id").alias("u"), F.col("part").alias("source")), "u")
+        .join(part_of.select(F.col("id").alias("v"), F.col("part").alias("target")), "v")
+        .select("source", "target")
+        .distinct(),
+        "umi-down",
+    ).df
     rank = F.struct((-F.col("n")).alias("r"), F.col("umi").alias("u"))
-    state = materialize(counts.select(*g, "umi", "n", rank.alias("best"), F.lit(True).alias("new")), "umis")
+    state = materialize(placed.groupBy("part").agg(F.min(rank).alias("best"), F.lit(True).alias("new")), "umi-best")
     for _ in range(max_rounds):
-        now = state.df
-        sent = edges.df.join(now.filter("new").select(*g, F.col("umi").alias("a"), "best"), [*g, "a"])
-        offers = sent.groupBy(*g, F.col("b").alias("umi")).agg(F.min("best").alias("offer"))
-        step = now.join(offers, [*g, "umi"], "left").withColumn("take", F.least("best", F.coalesce("offer", "best")))
-        chosen = now.select(*g, F.col("umi").alias("_u"), F.col("best").alias("via"))
-        jumped = step.withColumn("_u", F.col("take.u")).join(chosen, [*g, "_u"]).withColumn("after", F.least("take", "via"))
-        after = materialize(jumped.select(*g, "umi", "n", F.col("after").alias("best"), (F.col("after") != F.col("best")).alias("new")), "umis")
+        sent = down.join(state.df.filter("new").select(F.col("part").alias("source"), "best"), "source")
+        offers = sent.groupBy(F.col("target").alias("part")).agg(F.min("best").alias("offer"))
+        taken = F.least("best", F.coalesce("offer", "best"))
+        after = materialize(
+            state.df.join(offers, "part", "left").select("part", taken.alias("best"), (taken != F.col("best")).alias("new")), "umi-best"
+        )
         state.drop()
         state = after
         if state.df.filter("new").isEmpty():
-            return state.df.select(*g, "umi", "n", F.col("best.u").alias("umi_corrected"))
+            return placed.join(state.df, "part").select(*g, "umi", "n", F.col("best.u").alias("umi_corrected"))
     raise RuntimeError(f"UMIs still change after {max_rounds} rounds")

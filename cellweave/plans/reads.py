@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import seq as S
 from cellweave.functions.text import clean_key, is_missing
 from cellweave.operators import barcodes as B
+from cellweave.operators import classify as K
 from cellweave.operators import pairs as P
 from cellweave.operators import readqc as R
 from cellweave.plans.common import sql_clean, table
@@ -117,6 +118,18 @@ def mean_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("read_id", F.round(q, 4).alias("mean_quality"), S.min_quality(F.col("qual")).alias("min_quality"))
 
 
+#: The fixed middles of the barcodes serve as primers here, without edits, so that SQL can find them.
+_PRIMERS = K.Primers(tso="CCTTCC", rtp="GGTAGC", tso_edits="0", rtp_edits="0", first=60, last=80, umi=25)
+
+
+def classify_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.classify(_sequences(spark, sf_dir), _PRIMERS, min_length=100, min_quality=1.0).drop("qual")
+
+
+def class_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.class_statistics(classify_reads(spark, sf_dir)).withColumn("percent", F.round("percent", 6))
+
+
 # Pairs of barcodes
 
 
@@ -237,7 +250,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hq_counts, observed_whitelist, strip_fixed, whitelist_expand, validity_summary, unique_barcodes, fuzzy_correct, extract_3p, extract_5p, trim_bounds,
-        read_gate, mean_quality, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, cell_ids, read_to_cell,
+        read_gate, mean_quality, classify_reads, class_statistics, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, cell_ids, read_to_cell,
         read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, read_summary,
     )
 }
@@ -296,7 +309,57 @@ d AS (SELECT DISTINCT read_id, bc5, bc3, concat(CASE WHEN bc5 <> '' THEN concat(
 e AS (SELECT *, translate(substr(repeat(md5(read_id), 5), 1, length(seq)), '0123456789abcdef', '!#%'')+-/13579;=?') AS qual FROM d),
 f AS (SELECT *, list_transform(range(1, length(qual) + 1), lambda i: ascii(substr(qual, i, 1)) - 33) AS ph FROM e)"""
 
+_X5 = """, a5 AS (SELECT *, instr(substr(seq, 1, 30), 'CCTTCC') - 1 AS loc FROM f),
+b5 AS (SELECT *, CASE WHEN loc > 11 THEN loc - 10 ELSE 0 END AS bs, CASE WHEN loc IN (-1, 11) THEN 26 ELSE loc + 16 END AS be, CASE WHEN loc = 11 THEN 26 ELSE loc + 16 END AS us FROM a5),
+c5 AS (SELECT *, CASE WHEN loc = -1 THEN nullif(instr(substr(seq, 1, 40), 'CAGCA'), 0) - 1 ELSE nullif(instr(substr(seq, us + 1, 10), 'CAGCA'), 0) - 1 + us END AS ul FROM b5),
+x5 AS (SELECT read_id, bc3, bc5, seq, substr(seq, bs + 1, be - bs) AS bc, loc AS bc_loc, CASE WHEN loc <> -1 THEN list_min(ph[bs + 1:least(be, length(seq))]) END AS bc_min_q,
+    CASE WHEN ul IS NOT NULL THEN substr(seq, ul + 1, 15) WHEN loc <> -1 THEN substr(seq, us + 1, 15) ELSE '' END AS umi, ul AS umi_loc FROM c5)"""
+# In the last bases all places count from the end; slices are cut at the start of the read. A slice that ends at
+# place 0 is empty, since 0 is the start of a read, but `be` 0 stands for its end.
+_CUT = lambda a, e: f"substr(seq, greatest(n + ({a}), 0) + 1, greatest(n + ({e}), 0) - greatest(n + ({a}), 0))"
+_BACK = lambda t, sub: f"CASE WHEN contains({t}, '{sub}') THEN -(instr(reverse({t}), '{sub[::-1]}') - 1) - {len(sub)} ELSE -1 END"
+_X3 = f""", a3 AS (SELECT *, length(seq) AS n FROM f),
+b3 AS (SELECT *, {_BACK('right(seq, 30)', 'GCTACC')} AS loc FROM a3),
+c3 AS (SELECT *, {_BACK(_CUT('loc - 20', 'loc - 10'), 'AGATC')} AS near, {_BACK('left(seq, greatest(n - 40, 0))', 'AGATC')} AS far FROM b3),
+d3 AS (SELECT *, CASE WHEN loc = -1 THEN nullif(far, -1) WHEN near <> -1 THEN near + loc - 10 END AS ul FROM c3),
+e3 AS (SELECT *, CASE WHEN loc < -16 THEN loc - 10 WHEN loc NOT IN (-16, -1) AND ul IS NOT NULL THEN ul + 5 ELSE -26 END AS bs, CASE WHEN loc < -16 THEN loc + 16 ELSE 0 END AS be,
+    coalesce(ul - 10, CASE WHEN loc <= -16 THEN loc - 10 END) AS we, coalesce(ul + 5, CASE WHEN loc <= -16 THEN loc - 10 END) AS ue FROM d3),
+g3 AS (SELECT *, {_CUT('we - 100', 'we')} AS w FROM e3),
+h3 AS (SELECT *, CASE WHEN contains(w, 'AAAA') THEN length(w) - instr(reverse(w), 'AAAA') - 3 END AS an FROM g3),
+i3 AS (SELECT *, an - coalesce(nullif(list_position(list_transform(range(an - 1, -1, -1), lambda i: substr(w, i + 1, 1) = 'A' OR
+    length(replace(substr(w, greatest(i - 9, 0) + 1, i - greatest(i - 9, 0) + 1), 'A', '')) <= i - greatest(i - 9, 0) + 1 - 7), false), 0) - 1, an) AS ts FROM h3),
+x3 AS (SELECT read_id, bc3, bc5, seq, {_CUT('bs', 'be')} AS bc, loc AS bc_loc, CASE WHEN loc <= -16 OR (loc <> -1 AND ul IS NOT NULL) THEN list_min(ph[greatest(n + bs, 0) + 1:n + be]) END AS bc_min_q,
+    CASE WHEN ue = 0 THEN '' ELSE coalesce({_CUT('ue - 15', 'ue')}, '') END AS umi, ul AS umi_loc, coalesce({_CUT('ue - 20', 'ue - 15')}, '') AS flank, CASE WHEN length(w) - ts >= 8 THEN ts - length(w) + we END AS poly_a,
+    CASE WHEN loc = -1 AND ul IS NULL THEN 11 WHEN loc > -16 AND ul IS NULL THEN 14 ELSE CASE WHEN loc = -16 THEN 1 WHEN loc < -16 THEN 5 WHEN loc = -1 THEN 9 ELSE 12 END
+        + CASE WHEN ul IS NULL THEN 2 ELSE 0 END + CASE WHEN length(w) - ts >= 8 THEN 0 ELSE 1 END END AS read_type FROM i3)"""
+_TRIM = """, t AS (SELECT x3.read_id, x3.seq, length(x3.seq) AS n, CASE WHEN x5.bc5 <> '' THEN coalesce(least(x5.umi_loc + 15, length(x5.seq)), CASE WHEN x5.bc_loc >= 0 THEN least(x5.bc_loc + 31, length(x5.seq)) END, 0) ELSE 0 END AS s,
+    CASE WHEN x3.bc3 <> '' THEN coalesce(CASE WHEN length(x3.seq) + poly_a >= 0 THEN length(x3.seq) + poly_a END, CASE WHEN length(x3.seq) + x3.umi_loc >= 0 THEN greatest(length(x3.seq) + x3.umi_loc - 10, 0) END,
+        CASE WHEN x3.bc_loc <> -1 THEN greatest(length(x3.seq) + x3.bc_loc - 25, 0) END, length(x3.seq)) ELSE length(x3.seq) END AS e
+    FROM x3 JOIN x5 ON x3.read_id = x5.read_id AND x3.seq = x5.seq AND x3.bc3 = x5.bc3 AND x3.bc5 = x5.bc5)
+SELECT read_id, CASE WHEN s < e THEN s END AS trim_start, CASE WHEN s < e THEN e END AS trim_end, CASE WHEN s < e THEN substr(seq, s + 1, e - s) END AS cdna FROM t"""
+
+_CLASS = """, p0 AS (SELECT read_id, seq, length(seq) AS n, -10 * log10(list_avg(list_transform(ph, lambda x: pow(10, -x / 10.0)))) AS q, left(seq, 60) AS fr, reverse(right(seq, 80)) AS ba FROM f),
+p1 AS (SELECT *, contains(fr, 'CCTTCC') AS t, contains(fr, 'GGTAGC') AS r, contains(ba, 'GGAAGG') AS tc, contains(ba, 'CCATCG') AS rc,
+    length(fr) - instr(reverse(fr), 'CCTTCC') + 1 AS te, length(fr) - instr(reverse(fr), 'CGATGG') + 1 AS re, length(ba) - instr(reverse(ba), 'GGAAGG') + 1 AS tce, length(ba) - instr(reverse(ba), 'GCTACC') + 1 AS rce,
+    nullif(instr(ba, repeat('A', 10)), 0) - 1 AS a, nullif(instr(fr, repeat('T', 10)), 0) - 1 AS tt FROM p0),
+p2 AS (SELECT *, coalesce(a - rce BETWEEN 13 AND 38, false) AS plus, coalesce(tt - re BETWEEN 13 AND 38, false) AS minus, a IS NULL AND tt IS NULL AS bare FROM p1),
+p3 AS (SELECT *, CASE WHEN n < 100 THEN 16 WHEN q < 1 THEN 17 WHEN t AND rc AND plus AND NOT (r AND tc AND minus) THEN 0 WHEN r AND tc AND minus AND NOT (t AND rc AND plus) THEN 1
+    WHEN r AND rc AND plus AND minus THEN 4 WHEN t AND a IS NOT NULL AND NOT (rc AND plus) THEN 2 WHEN tc AND tt IS NOT NULL AND NOT (r AND minus) THEN 3
+    WHEN NOT t AND rc AND plus THEN 5 WHEN r AND NOT tc AND minus THEN 6 WHEN t AND rc AND bare THEN 7 WHEN r AND tc AND bare THEN 8 WHEN t AND tc AND bare THEN 13 WHEN r AND rc AND bare THEN 14
+    WHEN t AND NOT rc AND NOT tc AND NOT r THEN 9 WHEN r AND NOT tc AND NOT rc AND NOT t THEN 10 WHEN tc AND NOT r AND NOT t AND NOT rc THEN 11 WHEN rc AND NOT t AND NOT r AND NOT tc THEN 12 ELSE 15 END AS c FROM p2),
+p4 AS (SELECT *, CASE WHEN c IN (0, 2, 7, 13, 9) THEN te WHEN c IN (1, 8, 14, 10) THEN re WHEN c IN (4, 3, 6) THEN tt ELSE 0 END AS s,
+    CASE WHEN c IN (0, 7, 14, 12) THEN rce WHEN c IN (1, 3, 8, 13, 11) THEN tce WHEN c IN (4, 2, 5) THEN a ELSE 0 END AS e FROM p3),
+cl AS (SELECT read_id, CAST(CASE WHEN n > s + e OR c > 15 THEN c ELSE 15 END AS INTEGER) AS class, CASE WHEN n > s + e THEN CASE WHEN c IN (1, 3) THEN reverse(translate(substr(seq, s + 1, n - s - e), 'ACGT', 'TGCA'))
+    ELSE substr(seq, s + 1, n - s - e) END ELSE seq END AS seq, CAST(CASE WHEN n > s + e THEN s ELSE 0 END AS INTEGER) AS cut_start, CAST(CASE WHEN n > s + e THEN e ELSE 0 END AS INTEGER) AS cut_end FROM p4),
+nm(class, name) AS (VALUES """ + ", ".join(f"({k}, '{v.replace(chr(39), chr(39) * 2)}')" for k, v in K.CLASSES.items()) + ")"  # noqa: E501
+
 ORACLES = {
+    "classify_reads": _SEQ + _CLASS + " SELECT read_id, class, name, seq, cut_start, cut_end FROM cl JOIN nm USING (class)",
+    "class_statistics": _SEQ + _CLASS + """ SELECT nm.class, name, count(read_id) AS n, CAST(coalesce(sum(length(seq)), 0) AS BIGINT) AS bases,
+        round(CAST(100.0 * count(read_id) / (SELECT count(*) FROM cl) AS DOUBLE), 6) AS percent FROM nm LEFT JOIN cl ON nm.class = cl.class GROUP BY nm.class, name""",
+    "extract_5p": _SEQ + _X5 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x5",
+    "extract_3p": _SEQ + _X3 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x3",
+    "trim_bounds": _SEQ + _X5 + _X3 + _TRIM,
     "hq_counts": _HQ + " SELECT * FROM h",
     "observed_whitelist": _HQ + """, w AS (SELECT * FROM h WHERE barcode IN (SELECT barcode FROM whitelist_3p)),
         t AS (SELECT quantile_cont(n_reads, 0.95) / 20 AS cut FROM (SELECT * FROM w ORDER BY n_reads DESC, barcode LIMIT 50)) SELECT w.* FROM w, t WHERE n_reads > cut""",

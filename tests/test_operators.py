@@ -123,6 +123,37 @@ def _semi(p, t):
     return min(_distance(p, t[a:b]) for a in range(len(t) + 1) for b in range(a, len(t) + 1))
 
 
+def test_substring_distances():
+    import pandas as pd
+
+    rng = random.Random(7)
+    pairs = [("".join(rng.choice("ACG") for _ in range(rng.randint(0, 6))), "".join(rng.choice("ACG") for _ in range(rng.randint(0, 9)))) for _ in range(150)]
+    d, end = B.substring_distances(pd.Series([p for p, _ in pairs]), pd.Series([t for _, t in pairs]))
+    for (p, t), x, e in zip(pairs, d, end):
+        by_end = [min(_distance(p, t[a:b]) for a in range(b + 1)) for b in range(len(t) + 1)]
+        assert x == min(by_end) and e == max(b for b, y in enumerate(by_end) if y == x), (p, t)
+    assert len(B.substring_distances(pd.Series([], dtype=object), pd.Series([], dtype=object))[0]) == 0
+
+
+def test_classify(spark):
+    from cellweave.operators import classify as K
+
+    p = K.Primers(tso="ACGTTGCAAC", rtp="GGATCCTTAG", tso_edits="0.2", rtp_edits="1", first=40, last=60, umi=0)
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    cdna = "CCGGTCAGTCCATGCCGTAC" * 3
+    sense = p.tso + cdna + "A" * 12 + turn(p.rtp)
+    cases = {
+        "sense": sense, "anti": turn(sense), "wrong": sense.replace("ACGTTGCAAC", "ACGATGCAAC"), "low": p.tso + cdna + "A" * 12, "tso": p.tso + cdna, "none": cdna,
+        "short": "ACGT", "empty": "", "lost": None,
+    }
+    df = spark.createDataFrame([(k, v, v and "I" * len(v)) for k, v in cases.items()], "read_id string, seq string, qual string")
+    got = {r.read_id: (r["class"], r.seq) for r in K.classify(df, p, min_length=20).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"sense": 0, "anti": 1, "wrong": 0, "low": 2, "tso": 9, "none": 15, "short": 16, "empty": 16, "lost": 16}
+    assert got["sense"][1].startswith(cdna) and got["sense"][1] == got["wrong"][1] and got["anti"][1] in (cdna, got["sense"][1])
+    stats = {r["class"]: r.n for r in K.class_statistics(K.classify(df, p, min_length=20)).collect()}
+    assert stats[16] == 3 and stats[0] == 2 and stats[7] == 0 and len(stats) == 18
+
+
 def test_fuzzy_join(spark):
     rng = random.Random(2)
     entries = ["".join(rng.choice("ACGT") for _ in range(9)) for _ in range(15)]
