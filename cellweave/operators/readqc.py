@@ -102,3 +102,15 @@ def qc_payload(counts: DataFrame, group: Sequence[str]) -> DataFrame:
         F.col("n_reads"), F.col("n50").alias("n50_bp"), F.col("total_bases"), F.col("h.mid_kb").alias("bins_kb"), F.col("h.n").alias("counts")
     )
     return size.join(hist, g).select(*g, F.to_json(section).alias("payload"))
+
+
+def sample_per_class(rows: DataFrame, group: str, key: str, whole: int = 100_000, most: int = 25_000) -> DataFrame:
+    """All rows of a class of at most `whole`, and of a larger one the `most` whose keys have the smallest SHA-256.
+
+    Ranks come from running counts over range-sorted hashes, so that no class passes through one task.
+    """
+    hashed = rows.withColumns({"_h": F.sha2(F.col(key).cast("string"), 256), "_one": F.lit(1).cast("long")})
+    ranked, written = running_sum(hashed, [group], ["_h", key], {"_rank": "_one"}, name="sample")
+    sizes = written.df.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("_all"))
+    kept = ranked.join(sizes, F.col(group).eqNullSafe(F.col("_g"))).filter((F.col("_all") <= whole) | (F.col("_rank") <= most))
+    return kept.select(*rows.columns)

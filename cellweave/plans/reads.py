@@ -246,12 +246,34 @@ def read_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 250 reads of each sample that has over 1,000."""
+    rows = table(spark, sf_dir, "read_qc_reads").select("sample_name", "read_id", "read_length", "mean_quality").distinct()
+    return R.sample_per_class(rows, "sample_name", "read_id", 1000, 250)
+
+
+def report_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of each sample as the report shows them: thousands, two decimals, percent, compact bases."""
+    rows = _reads_once(spark, sf_dir)
+    ok = F.when(F.col("read_length") >= 0, F.col("read_length"))
+    one = rows.groupBy("sample_name").agg(
+        F.count("*").alias("n"), F.avg(ok).alias("mean"), (F.count_if(F.col("mean_quality") >= 10) / F.count("*")).alias("good"), F.sum(ok).alias("bases")
+    )
+    compact = F.when(F.col("bases") >= 1_000_000_000, F.concat(F.format_number(F.col("bases") / 1e9, 2), F.lit(" Gb"))).otherwise(
+        F.concat(F.format_number(F.col("bases") / 1e6, 2), F.lit(" Mb"))
+    )
+    return one.select(
+        "sample_name", F.format_number("n", 0).alias("reads"), F.format_number(F.round("mean", 2), 2).alias("mean_length"),
+        F.concat(F.format_number(F.round(F.col("good") * 100, 2), 2), F.lit("%")).alias("good_reads"), compact.alias("yield"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         hq_counts, observed_whitelist, strip_fixed, whitelist_expand, validity_summary, unique_barcodes, fuzzy_correct, extract_3p, extract_5p, trim_bounds,
         read_gate, mean_quality, classify_reads, class_statistics, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, cell_ids, read_to_cell,
-        read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, read_summary,
+        read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, read_summary, bounded_sample, report_metrics,
     )
 }
 
@@ -409,6 +431,12 @@ ORACLES = {
         p AS (SELECT DISTINCT sample_name, CASE WHEN least(n, 300) = 1 THEN 0 ELSE (i * (n - 1)) // (least(n, 300) - 1) END AS read_rank
             FROM (SELECT DISTINCT sample_name, n, unnest(range(least(n, 300))) AS i FROM w))
         SELECT z.sample_name, z.read_rank, round(l / 1000, 6) AS x_kb, round(rest / 1e9, 9) AS y_gb FROM z JOIN p ON z.sample_name = p.sample_name AND z.read_rank = p.read_rank""",
+    "bounded_sample": """WITH d AS (SELECT DISTINCT sample_name, read_id, read_length, mean_quality FROM read_qc_reads),
+        r AS (SELECT *, count(*) OVER (PARTITION BY sample_name) AS n, row_number() OVER (PARTITION BY sample_name ORDER BY sha256(read_id), read_id) AS rn FROM d)
+        SELECT sample_name, read_id, read_length, mean_quality FROM r WHERE n <= 1000 OR rn <= 250""",
+    "report_metrics": _ONCE + """, a AS (SELECT sample_name, count(*) AS n, avg(l) FILTER (l >= 0) AS m, count(*) FILTER (q >= 10) / count(*) AS g, sum(l) FILTER (l >= 0) AS b FROM o GROUP BY sample_name)
+        SELECT sample_name, format('{:,}', n) AS reads, format('{:,.2f}', round(m, 2)) AS mean_length, format('{:,.2f}', round(g * 100, 2)) || '%' AS good_reads,
+        CASE WHEN b >= 1000000000 THEN format('{:,.2f}', b / 1e9) || ' Gb' ELSE format('{:,.2f}', b / 1e6) || ' Mb' END AS yield FROM a""",
     "read_summary": _ONCE + """ SELECT sample_name, count(*) AS n_reads, round(avg(l) FILTER (l >= 0), 6) AS mean_length, median(l) FILTER (l >= 0) AS median_length, min(l) FILTER (l >= 0) AS min_length,
         max(l) FILTER (l >= 0) AS max_length, round(avg(q) FILTER (q >= 0), 6) AS mean_quality, round(median(q) FILTER (q >= 0), 6) AS median_quality,
         count(*) FILTER (upper(trim(coalesce(read_id, ''), ' ')) IN ('', 'NA', 'NAN', 'NONE')) AS n_unnamed FROM o GROUP BY sample_name""",
