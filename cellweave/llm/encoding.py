@@ -9,6 +9,7 @@ can be undone strictly, without a byte that doesn't decode, and what comes out l
 from __future__ import annotations
 
 import codecs
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -227,19 +228,26 @@ def _restore(unit: str, scores: np.ndarray, model: Model, margin: float, tries:
     return None, ""
 
 
-def _repair(text: str, units: list[str], scores: np.ndarray, model: Model, margin: float) -> tuple[str, list[str], bool]:
-    """The text with its garbled units restored, the chains, and whether all of them could be restored."""
+def _suspects(words: list[str], model: Model, margin: float) -> dict[str, np.ndarray]:
+    """The words that a chain is named for, with their scores; each distinct word is scored once."""
+    odd = sorted({w for w in words if not w.isascii()})
+    return {w: s for w, s in zip(odd, model.scores(odd)) if _named(s, margin)}
+
+
+def _repair(units: list[str], scores: list[np.ndarray | None], model: Model, margin: float, suspects: dict[str, np.ndarray] | None) -> tuple[str, list[str], bool]:
+    """The text with its garbled units restored, the chains, and whether all of them could be restored.
+
+    `scores` has the scores of the units that a chain is named for, None for the others; `suspects` those of their words,
+    where they were gathered before.
+    """
     chains: list[str] = []
     whole = True
     out = []
-    at = 0
-    for unit in units:
+    for unit, own in zip(units, scores):
         if unit.isascii():
             out.append(unit)
             continue
-        own = scores[at]
-        at += 1
-        if _named(own, margin):
+        if own is not None:
             restored, chain = _restore(unit, own, model, margin)
             if chain:
                 chains.append(chain)
@@ -247,19 +255,28 @@ def _repair(text: str, units: list[str], scores: np.ndarray, model: Model, margi
                 out.append(unit if restored is None else restored)
                 continue
         words = unit.split(" ")
-        odd = [i for i, w in enumerate(words) if not w.isascii()]
-        each = model.scores([words[i] for i in odd])
-        for i, s in zip(odd, each):
-            if _named(s, margin):
-                restored, chain = _restore(words[i], s, model, margin)
+        bad = suspects if suspects is not None and own is None else _suspects(words, model, margin)
+        for i, word in enumerate(words):
+            if word in bad:
+                restored, chain = _restore(word, bad[word], model, margin)
                 if chain:
                     chains.append(chain)
                     whole &= restored is not None
-                    words[i] = words[i] if restored is None else restored
+                    words[i] = word if restored is None else restored
         out.append(" ".join(words))
     return "".join(out), chains, whole
 
 
+def _repair_all(texts: list[str], model: Model, margin: float) -> Iterator[tuple[str, list[str], bool]]:
+    """`_repair` of each text, with the units and then the words of all texts scored together."""
+    parts = [re.split(_UNITS, t) for t in texts]
+    odd = sorted({u for units in parts for u in units if not u.isascii()})
+    named = {u: s for u, s in zip(odd, model.scores(odd)) if _named(s, margin)}
+    suspects = _suspects([w for u in odd if u not in named for w in u.split(" ")], model, margin)
+    for units in parts:
+        yield _repair(units, [named.get(u) for u in units], model, margin, suspects)
+
+
 def repair_encoding(df: DataFrame, key: str, text: str, model: Model, margin: float = 4.0) -> DataFrame:
     """key, chains STRING, restored STRING, complete BOOLEAN: the records whose text is garbled somewhere.
 
@@ -268,25 +285,16 @@ def repair_encoding(df: DataFrame, key: str, text: str, model: Model, margin: fl
     NULL, empty and plain ASCII texts are never affected. Texts are treated whole, of any length;
     repeated rows give repeated results.
     """
-    import re
-
     shared = df.sparkSession.sparkContext.broadcast(model)  # len(LABELS) * WIDTH numbers
-    split = re.compile(_UNITS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
         for batch in batches:
             texts = batch["text"].tolist()
-            parts = [split.split(t) for t in texts]
-            odd = [u for units in parts for u in units if not u.isascii()]
-            scores = model.scores(odd)
-            rows, at = [], 0
-            for key_value, t, units in zip(batch["key"], texts, parts):
-                n = sum(not u.isascii() for u in units)
-                fixed, chains, whole = _repair(t, units, scores[at : at + n], model, margin)
-                at += n
-                if chains:
-                    rows.append((key_value, "; ".join(sorted(set(chains))), fixed if fixed != t else None, whole))
+            rows = [
+                (key_value, "; ".join(sorted(set(chains))), fixed if fixed != t else None, whole)
+                for key_value, t, (fixed, chains, whole) in zip(batch["key"], texts, _repair_all(texts, shared.value, margin))
+                if chains
+            ]
             yield pd.DataFrame(rows, columns=["key", "chains", "restored", "complete"])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.col("text").rlike(r"[^\x00-\x7f]"))
