@@ -241,6 +241,19 @@ WITH once AS (SELECT read_id, any_value(sample_name) AS sample_name, any_value(C
 v AS (SELECT 'length' AS field, sample_name, day, CAST(read_length AS DOUBLE) AS v FROM once WHERE read_length >= 0
     UNION ALL SELECT 'quality', sample_name, day, mean_quality FROM once WHERE mean_quality >= 0)"""
 
+# All entries have 26 letters. Within 2 edits one of three parts of an entry stays, somewhere in the value.
+_P5_SQL = """
+WITH w AS (SELECT DISTINCT barcode FROM whitelist_3p),
+r AS (SELECT DISTINCT read_id, upper(trim(split_part(trim(putative_barcode, ' '), '-', 1), ' ')) AS v FROM correction_map_3p
+    WHERE upper(trim(putative_barcode, ' ')) NOT IN ('', 'NA', 'NAN', 'NONE') AND putative_barcode NOT IN (SELECT barcode FROM w)),
+v AS (SELECT DISTINCT v FROM r),
+q AS (SELECT barcode, unnest([substr(barcode, 1, 6), substr(barcode, 7, 13), substr(barcode, 20)]) AS s FROM w),
+p AS (SELECT DISTINCT v, substr(v, i, n) AS s FROM (SELECT v, n, unnest(range(1, length(v) - n + 2)) AS i FROM v, (VALUES (6), (13), (7)) AS k(n))),
+m AS (SELECT v, barcode, levenshtein(v, barcode) AS d FROM (SELECT DISTINCT v, barcode FROM p JOIN q USING (s)) WHERE abs(length(v) - length(barcode)) <= 2),
+b AS (SELECT v, min(d) AS d FROM m WHERE d <= 2 GROUP BY v),
+x AS (SELECT m.v, count(*) AS n_best, min(barcode) AS barcode, any_value(m.d) AS d FROM m JOIN b ON m.v = b.v AND m.d = b.d GROUP BY m.v)
+"""
+
 _P6_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
 i AS (SELECT item_no, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_passages),
@@ -273,6 +286,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT summary_id, sample_name, CAST(qc_day AS DATE), 'quality', quality.median FROM read_qc_summary)
     SELECT s.summary_id, s.field FROM s JOIN m ON s.field = m.field AND s.sample_name = m.sample_name AND s.qc_day IS NOT DISTINCT FROM m.day
     WHERE abs(s.stated - m.true) > CASE s.field WHEN 'length' THEN 0.1 * m.true ELSE 1.0 END""",
+    "p5_found": _P5_SQL + "SELECT read_id, CASE WHEN n_best = 1 THEN barcode ELSE 'UNMATCHED' END AS barcode FROM r LEFT JOIN x ON r.v = x.v",
+    "p5_unmatched": _P5_SQL + """SELECT r.v AS item, count(*) AS n_reads, coalesce(any_value(n_best), 0) AS n_nearest, any_value(d) AS distance FROM r LEFT JOIN x ON r.v = x.v
+        WHERE n_best IS NULL OR n_best > 1 GROUP BY r.v""",
     "p6_found": _P6_SQL,
     "p7_found": _P7_SQL,
 }
