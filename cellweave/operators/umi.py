@@ -54,6 +54,9 @@ def near_pairs(counts: DataFrame, group: Sequence[str], k: int = 3) -> DataFrame
     left = counts.select(*g, F.col("umi").alias("a"), F.col("n").alias("na"), F.explode(F.array_distinct(F.array(*(own(p) for p in parts)))).alias("_k"))
     offered = F.concat(*(others(p) for p in parts), F.when(size <= 2 * k, F.array(tiny)).otherwise(F.array().cast("array<string>")))
     right = counts.join(lengths, g).select(*g, F.col("umi").alias("b"), F.col("n").alias("nb"), F.explode(F.array_distinct(offered)).alias("_k"))
+    # Equal keys give many more pairs than rows: small partitions mustn't be put together by their bytes.
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (side.repartition(tasks, *g, "_k") for side in (left, right))
     met = left.join(right, [*g, "_k"]).filter("a <> b").select(
         *g,
         F.when(F.col("a") < F.col("b"), F.struct("a", "na", "b", "nb")).otherwise(
