@@ -3,7 +3,9 @@
 A multinomial naive Bayes classifier over hashed byte bigrams tells clean text from text garbled by
 each of a list of encoding chains. It is trained on records of the corpus itself, garbled on
 purpose by every chain. A stretch is held to be garbled when the classifier names a chain, the chain
-can be undone strictly, without a byte that doesn't decode, and what comes out looks clean.
+can be undone strictly, without a byte that doesn't decode, and what comes out looks clean. Garbled text
+that was then written as character references (`&#195;&#169;`, `&#xC3;`, `&Atilde;`) is read through
+its references: each chain is also undone with the references as its last step.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import codecs
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from html.entities import html5
 
 import numpy as np
 import pandas as pd
@@ -41,7 +44,38 @@ CLEAN = "clean"
 LABELS = [CLEAN, *CHAINS, *LOWERED, *LOST]
 LOST_MARK = "\N{REPLACEMENT CHARACTER}"
 
+#: Added to the name of a chain whose result was written as character references.
+REFERENCES = ">references"
+
 _UNITS = r"(?<=[.!?] )|(?<=\n)"
+_REFERENCE = re.compile(r"&(?:#([0-9]+)|#[xX]([0-9a-fA-F]+)|([A-Za-z][A-Za-z0-9]*));")
+# What `unescape` may turn into a character beyond ASCII, and such characters themselves; names of HTML are looked up later.
+_BEYOND = (
+    r"[^\x00-\x7f]|&#0*(?:12[89]|1[3-9][0-9]|[2-9][0-9]{2}|[1-9][0-9]{3,6});|&#[xX]0*(?:[89a-fA-F][0-9a-fA-F]|[1-9a-fA-F][0-9a-fA-F]{2,5});"
+    r"|&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]*;"
+)
+
+
+def _character(match: re.Match) -> str:
+    """The character beyond ASCII that a reference stands for; other references stay as they are."""
+    decimal, hexadecimal, name = match.groups()
+    if name:
+        out = html5.get(name + ";", "")
+    else:
+        digits = (decimal or hexadecimal).lstrip("0")
+        number = int(digits or "0", 10 if decimal else 16) if len(digits) < 8 else -1
+        out = chr(number) if 0x80 <= number < 0xD800 or 0xE000 <= number < 0x110000 else ""
+    return match[0] if out.isascii() else out
+
+
+def unescape(text: str) -> str:
+    """`text` with its references to characters beyond ASCII replaced by these."""
+    return _REFERENCE.sub(_character, text) if "&" in text else text
+
+
+def escape(text: str) -> str:
+    """`text` with its characters beyond ASCII written as numeric references."""
+    return text.encode("ascii", "xmlcharrefreplace").decode("ascii")
 
 
 def _undefined(error: UnicodeError):
@@ -77,7 +111,8 @@ def garble(text: str, label: str) -> str | None:
 
 
 def ungarble(text: str, label: str) -> str | None:
-    """What `text` was before the chain; None if it can't be undone strictly or nothing changes."""
+    """What `text`, read through its references, was before the chain; None if it can't be undone strictly or nothing changes."""
+    text = unescape(text)
     if label in LOWERED:
         text, label = _raise_leads(text), LOWERED[label]
     if label not in CHAINS:
@@ -146,7 +181,7 @@ def _labelled(model: Model | None):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["unit"].tolist()
+            texts = [t for t in map(unescape, batch["unit"]) if not t.isascii()]
             if model:
                 best = model.scores(texts).argmax(1)
                 texts = [t for t, label in zip(texts, best) if label == 0]
@@ -173,7 +208,8 @@ WIDTH = 1 << 14
 def train(df: DataFrame, text: str, rows: int = 20_000, alpha: float = 0.05) -> Model:
     """Fit the classifier on at most `rows` units (sentences or lines) with a character beyond ASCII.
 
-    The units are those with the smallest hashes, of the whole table. They are taken as clean at
+    References to such characters count as the characters: a chain looks the same with and without
+    them as its last step. The units are those with the smallest hashes, of the whole table. They are taken as clean at
     first; those that the first fit finds garbled are left out of the second. The model has
     len(LABELS) * WIDTH numbers. Without such units every text counts as clean.
     """
@@ -195,9 +231,9 @@ def train(df: DataFrame, text: str, rows: int = 20_000, alpha: float = 0.05) ->
 
 
 def _units(df: DataFrame, text: str) -> DataFrame:
-    """`unit`: the sentences and lines of the texts that hold a character beyond ASCII, separators kept."""
-    rows = df.filter(F.col(text).rlike(r"[^\x00-\x7f]"))
-    return rows.withColumn("unit", F.explode(F.split(F.col(text), _UNITS))).filter(F.col("unit").rlike(r"[^\x00-\x7f]"))
+    """`unit`: the sentences and lines of the texts that hold a character beyond ASCII or a reference to one, separators kept."""
+    rows = df.filter(F.col(text).rlike(_BEYOND))
+    return rows.withColumn("unit", F.explode(F.split(F.col(text), _UNITS))).filter(F.col("unit").rlike(_BEYOND))
 
 
 def _named(scores: np.ndarray, margin: float) -> bool:
@@ -208,6 +244,10 @@ def _named(scores: np.ndarray, margin: float) -> bool:
     return best != 0 and scores[best] - scores[0] >= margin * (3 if pages else 1)
 
 
+def _tail(text: str) -> str:
+    return REFERENCES if unescape(text) != text else ""
+
+
 def _restore(unit: str, scores: np.ndarray, model: Model, margin: float, tries: int = 3) -> tuple[str | None, str]:
     """The unit restored and the chain, by the likeliest chains that can be undone; (None, "") if none can."""
     for label in np.argsort(-scores)[:tries]:
@@ -215,23 +255,25 @@ def _restore(unit: str, scores: np.ndarray, model: Model, margin: float, tries:
         if label == 0 or scores[label] <= scores[0]:
             break
         if name in LOST:
-            return (None, name) if LOST_MARK in unit else (None, "")
+            return (None, name + _tail(unit)) if LOST_MARK in unescape(unit) else (None, "")
         whole = ungarble(unit, name)
+        tail = _tail(unit)
         if whole is None:
             # The stretch is a part of the unit: undo it word by word.
             words = unit.split(" ")
             undone = [ungarble(w, name) for w in words]
             if any(undone):
                 whole = " ".join(u or w for u, w in zip(undone, words))
-        if whole is not None and not _named(model.scores([whole])[0], margin):
-            return whole, name
+                tail = _tail(" ".join(w for u, w in zip(undone, words) if u))
+        if whole is not None and not _named(model.scores([unescape(whole)])[0], margin):
+            return whole, name + tail
     return None, ""
 
 
 def _suspects(words: list[str], model: Model, margin: float) -> dict[str, np.ndarray]:
     """The words that a chain is named for, with their scores; each distinct word is scored once."""
-    odd = sorted({w for w in words if not w.isascii()})
-    return {w: s for w, s in zip(odd, model.scores(odd)) if _named(s, margin)}
+    odd = sorted({w for w in words if not unescape(w).isascii()})
+    return {w: s for w, s in zip(odd, model.scores([unescape(w) for w in odd])) if _named(s, margin)}
 
 
 def _repair(units: list[str], scores: list[np.ndarray | None], model: Model, margin: float, suspects: dict[str, np.ndarray] | None) -> tuple[str, list[str], bool]:
@@ -244,7 +286,7 @@ def _repair(units: list[str], scores: list[np.ndarray | None], model: Model, mar
     whole = True
     out = []
     for unit, own in zip(units, scores):
-        if unit.isascii():
+        if unescape(unit).isascii():
             out.append(unit)
             continue
         if own is not None:
@@ -270,8 +312,8 @@ def _repair(units: list[str], scores: list[np.ndarray | None], model: Model, mar
 def _repair_all(texts: list[str], model: Model, margin: float) -> Iterator[tuple[str, list[str], bool]]:
     """`_repair` of each text, with the units and then the words of all texts scored together."""
     parts = [re.split(_UNITS, t) for t in texts]
-    odd = sorted({u for units in parts for u in units if not u.isascii()})
-    named = {u: s for u, s in zip(odd, model.scores(odd)) if _named(s, margin)}
+    odd = sorted({u for units in parts for u in units if not unescape(u).isascii()})
+    named = {u: s for u, s in zip(odd, model.scores([unescape(u) for u in odd])) if _named(s, margin)}
     suspects = _suspects([w for u in odd if u not in named for w in u.split(" ")], model, margin)
     for units in parts:
         yield _repair(units, [named.get(u) for u in units], model, margin, suspects)
@@ -282,7 +324,8 @@ def repair_encoding(df: DataFrame, key: str, text: str, model: Model, margin: fl
 
     `chains` lists the chains met, sorted and joined by "; ". `restored` is the whole text with
     every stretch restored that can be, NULL if none can; `complete` tells whether all could.
-    NULL, empty and plain ASCII texts are never affected. Texts are treated whole, of any length;
+    NULL, empty and plain ASCII texts without references to other characters are never affected, and
+    references to characters that were decoded rightly stay as they are. Texts are treated whole, of any length;
     repeated rows give repeated results.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)  # len(LABELS) * WIDTH numbers
@@ -297,6 +340,6 @@ def repair_encoding(df: DataFrame, key: str, text: str, model: Model, margin: fl
             ]
             yield pd.DataFrame(rows, columns=["key", "chains", "restored", "complete"])
 
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.col("text").rlike(r"[^\x00-\x7f]"))
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.col("text").rlike(_BEYOND))
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInPandas(run, f"key {kind}, chains string, restored string, complete boolean")

@@ -174,3 +174,34 @@ def test_repair_of_odd_rows(spark):
     assert out[3][1:] == (None, False) and out[4][1] == "Très déçu, à éviter. " * 3000
     empty = df.limit(0)
     assert encoding.repair_encoding(empty, "id", "t", encoding.train(empty, "t")).count() == 0
+
+
+@pytest.mark.parametrize("label", encoding.CHAINS)
+def test_chains_can_be_undone_through_references(label):
+    done = [(t, encoding.escape(g)) for t in _CLEAN for g in [encoding.garble(t, label)] if g]
+    assert done and all(g.isascii() and encoding.ungarble(g, label) == t for t, g in done)
+
+
+def test_references(spark):
+    assert encoding.unescape("&#195;&#xA9;&Atilde;&#0233;") == "\xc3\xa9\xc3\xe9"
+    for kept in ("a & b; &#38;&#x27;&amp;&lt;&none;&#;&#x;", "&#55296;&#1114112;&#99999999999;", "&#" + "9" * 10_000 + ";"):
+        assert encoding.unescape(kept) == kept
+    assert all(encoding.unescape(encoding.escape(t)) == t for t in _CLEAN)
+
+    model = encoding.train(_corpus(spark), "text", rows=5000)
+    rows = [
+        (1, "She said she didn&#226;&#8364;&#8482;t want it."), (2, "Je l&#226;&#8364;&#8482;ai posé près de là."), (3, "Caf&#233; d&#xe9;j&agrave; vu &amp; more. It&#8217;s fine."),
+        (4, "A &#38; B &#39;x&#39;"), (5, "Muito &Atilde;&ordm;til. At&#xC3;&#xA9; caf&#233;."), (6, encoding.escape(encoding.garble("Très déçu, à éviter.", "utf8>latin1"))),
+    ]
+    out = {r.key: r for r in encoding.repair_encoding(spark.createDataFrame(rows, "id long, t string"), "id", "t", model).collect()}
+    assert {k: r.restored for k, r in out.items()} == {
+        1: "She said she didn’t want it.", 2: "Je l’ai posé près de là.", 5: "Muito útil. Até caf&#233;.", 6: "Très déçu, à éviter.",
+    }
+    assert all(r.complete and r.chains.endswith(encoding.REFERENCES) for r in out.values())
+
+
+def test_documents_garbled_as_references_are_found(spark):
+    docs = _corpus(spark)
+    model = encoding.train(docs, "text")
+    out = encoding.repair_encoding(docs.filter("doc_id IN (6167, 7361, 8530)"), "doc_id", "text", model).collect()
+    assert {r.key for r in out} == {6167, 7361, 8530} and not any("&#" in r.restored for r in out)
