@@ -17,6 +17,23 @@ def drop_a_rich(reads: DataFrame, umi: str, most: float = 0.5) -> DataFrame:
     return reads.filter(ratio_of(F.coalesce(F.col(umi), F.lit("")), "A") <= most)
 
 
+def valid_reads(reads: DataFrame, bc5: str, bc3: str, umi5: str, umi3: str) -> DataFrame:
+    """Reads with a barcode and a UMI at one end at least."""
+    some = lambda *columns: F.coalesce(*(F.col(c) for c in columns)).isNotNull()
+    return reads.filter(some(bc5, bc3) & some(umi5, umi3))
+
+
+def in_pairs(reads: DataFrame, bc5: str, bc3: str, pairs: DataFrame) -> DataFrame:
+    """Reads whose unordered pair of barcodes is one of `pairs` (u, v), and all reads with fewer than two barcodes.
+
+    The latter don't go through the join, where they would all meet under one missing key.
+    """
+    two = F.col(bc5).isNotNull() & F.col(bc3).isNotNull()
+    kept = pairs.select(F.least("u", "v").alias("_u"), F.greatest("u", "v").alias("_v"))
+    on = (F.least(F.col(bc5), F.col(bc3)) == F.col("_u")) & (F.greatest(F.col(bc5), F.col(bc3)) == F.col("_v"))
+    return reads.filter(~two).unionByName(reads.filter(two).join(kept, on, "left_semi"))
+
+
 def edge_umi(bc5: Column, bc3: Column, umi5: Column, umi3: Column) -> Column:
     """The two UMIs of a read in the order of its barcodes; of a barcode with itself in their own order."""
     low, high = F.coalesce(umi5, F.lit("")), F.coalesce(umi3, F.lit(""))

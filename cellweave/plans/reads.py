@@ -136,7 +136,7 @@ def class_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pair_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "readids_umi_bc_clean")
     rows = t.select("read_id", *(clean_key(c).alias(c) for c in ("bc5n", "bc3n", "putative_umi", "putative_umi_5p"))).distinct()
-    return P.drop_a_rich(rows, "putative_umi")
+    return P.drop_a_rich(P.valid_reads(rows, "bc5n", "bc3n", "putative_umi_5p", "putative_umi"), "putative_umi")
 
 
 def _support(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,13 +180,14 @@ def edge_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.prune_edges(kept, P.components(kept))
 
 
-def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cells of barcodes, the strongest partner of each barcode, and the pairs that pruning kept."""
     from cellweave.session import materialize
 
     kept = _kept(spark, sf_dir)
     pruned = materialize(P.prune_edges(kept, P.components(kept)).drop("kept_by"), "pruned").df
     parts = materialize(P.components(pruned), "components").df
-    return P.number_cells(P.component_categories(pruned, parts), parts), P.top_partner(pruned)
+    return P.number_cells(P.component_categories(pruned, parts), parts), P.top_partner(pruned), pruned
 
 
 def cell_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,9 +195,10 @@ def cell_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_to_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads of cells that have at least 3, by the cell of their barcodes."""
-    cells, partners = _cells(spark, sf_dir)
-    resolved = P.resolve_reads(_pair_reads(spark, sf_dir), "bc5n", "bc3n", cells, partners)
+    """Reads of cells that have at least 3, by the cell of their barcodes; a read with two needs a pair that was kept."""
+    cells, partners, pairs = _cells(spark, sf_dir)
+    reads = P.in_pairs(_pair_reads(spark, sf_dir), "bc5n", "bc3n", pairs)
+    resolved = P.resolve_reads(reads, "bc5n", "bc3n", cells, partners)
     large = P.cell_reads(resolved, 3).select("cell_id")
     return resolved.join(large, "cell_id", "left_semi").select("read_id", "bc5n", "bc3n", "cell_id")
 

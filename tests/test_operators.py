@@ -58,6 +58,30 @@ def test_resolve_reads(spark):
     assert {r.id: r.cell_id for r in out.collect()} == {1: "cell_1", 2: "cell_2", 3: "cell_1", 4: None, 5: "cell_1", 6: None, 7: None}
 
 
+def test_reads_of_dropped_pairs_are_left_out(spark):
+    schema = "id int, s string, t string, u5 string, u3 string"
+    rows = [(1, "a", "b", "U", "V"), (2, "b", "a", "U", None), (3, "a", "c", "U", "V"), (4, "a", None, None, "V"), (5, None, "z", "U", "V"), (6, "a", "a", "U", "V"), (7, None, None, "U", "V"), (8, "a", "b", None, None)]
+    reads = spark.createDataFrame([*rows, rows[0]], schema)
+    pairs = spark.createDataFrame([("a", "b"), ("c", "c")], "u string, v string")
+    valid = P.valid_reads(reads, "s", "t", "u5", "u3")
+    assert sorted(r.id for r in valid.collect()) == [1, 1, 2, 3, 4, 5, 6]
+    out = P.in_pairs(valid, "s", "t", pairs)
+    assert sorted(r.id for r in out.collect()) == [1, 1, 2, 4, 5] and out.columns == reads.columns
+    assert sorted(r.id for r in P.in_pairs(valid, "s", "t", pairs.limit(0)).collect()) == [4, 5]
+
+
+def test_read_to_cell_drops_reads_of_pruned_pairs(spark, tmp_path):
+    from cellweave.plans.reads import QUERIES
+
+    # The pair a, b makes a cell; one read joins the hot barcode a to a stranger, below the least support of a pair.
+    rows = [(f"r{i}", f"ACG{i}", f"CGT{i}", "A" * 3 + "C", "A" * 3 + "G") for i in range(8)]
+    rows += [("odd", "ACG", "CGT", "AAAC", "TTTT"), ("single", "ACG", "CGT", "AAAC", None), ("blank", None, None, "AAAC", "AAAG")]
+    df = spark.createDataFrame(rows, "read_id string, putative_umi_5p string, putative_umi string, bc5n string, bc3n string")
+    df.write.parquet(f"{tmp_path}/readids_umi_bc_clean.parquet")
+    out = QUERIES["read_to_cell"](spark, str(tmp_path)).collect()
+    assert {r.read_id for r in out} == {*(f"r{i}" for i in range(8)), "single"} and {r.cell_id for r in out} == {"cell_000001"}
+
+
 def test_interval_join_agrees_with_all_pairs(spark):
     rng = random.Random(9)
     make = lambda n: [(i, rng.choice("xy"), s, s + rng.choice([0, 1, 30, 900]), rng.choice("+-.")) for i in range(n) for s in [rng.randint(0, 400)]]
