@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -230,3 +231,27 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     """The first `n` rows of each key in the given order."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def knee_points(counts: DataFrame, item: str, n: str, called: DataFrame, points: int = 20_000) -> DataFrame:
+    """cell_rank, `item`, `n`, called: the points of a knee plot, by falling `n` and then `item`.
+
+    Every rank is kept where there are at most `points`; beyond that as many ranks at equal steps of their
+    logarithm, the first and the last among them. `called` tells whether the item is in the only column of
+    `called`; if that has no values, all are.
+    """
+    if points < 2:
+        raise ValueError("points must be 2 at least")
+    spark = counts.sparkSession
+    ordered = counts.select(item, n).withColumns({"_down": -F.col(n), "_one": F.lit(1).cast("long")})
+    ranked, stage = running_sum(ordered, [], ["_down", item], {"cell_rank": "_one"}, name="knee")
+    total = stage.df.count()
+    if total > points:
+        spaced = F.rint(F.exp(F.lit(math.log(total)) * F.col("id") / F.lit(points - 1))).cast("long")
+        ends = spark.range(2).select((F.col("id") * (total - 1) + 1).alias("cell_rank"))
+        ranks = spark.range(points).select(F.greatest(F.lit(1), F.least(F.lit(total), spaced)).alias("cell_rank"))
+        ranked = ranked.join(ranks.unionByName(ends), "cell_rank", "left_semi")
+    listed = called.select(F.col(called.columns[0]).alias("_called")).filter("_called IS NOT NULL").distinct()
+    size = listed.agg(F.count("*").alias("_size"))  # one row
+    flagged = ranked.join(listed, F.col(item) == F.col("_called"), "left").crossJoin(F.broadcast(size))
+    return flagged.select("cell_rank", item, n, (F.col("_called").isNotNull() | (F.col("_size") == 0)).alias("called"))

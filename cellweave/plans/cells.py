@@ -197,15 +197,9 @@ def assignment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells at ranks that are powers of two, by reads: the points of a knee plot."""
-    from cellweave.operators.prefix import running_sum
-
-    counts = _rows(spark, sf_dir).groupBy("barcode").agg(F.count("*").alias("n_reads")).withColumns(
-        {"_down": -F.col("n_reads"), "_one": F.lit(1).cast("long")}
-    )
-    ranked, _ = running_sum(counts, [], ["_down", "barcode"], {"cell_rank": "_one"}, name="knee")
-    power = F.log2(F.col("cell_rank").cast("double"))
-    return ranked.filter(F.abs(power - F.rint(power)) < 1e-12).select("cell_rank", "barcode", "n_reads")
+    """The points of a knee plot of the cells by reads; `called` are the cells that reads were assigned to."""
+    counts = _rows(spark, sf_dir).groupBy("barcode").agg(F.count("*").alias("n_reads"))
+    return M.knee_points(counts, "barcode", "n_reads", table(spark, sf_dir, "read_assigned_cell").select(clean_key("cell_id")))
 
 
 QUERIES = {

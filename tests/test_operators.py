@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -82,6 +83,21 @@ def test_read_to_cell_drops_reads_of_pruned_pairs(spark, tmp_path):
     assert {r.read_id for r in out} == {*(f"r{i}" for i in range(8)), "single"} and {r.cell_id for r in out} == {"cell_000001"}
 
 
+def test_knee_points(spark):
+    rng = random.Random(5)
+    rows = [(f"b{i:04}", rng.choice([1, 2, 3, rng.randint(4, 900)])) for i in range(700)]
+    df = spark.createDataFrame(rows, "barcode string, n_reads long").repartition(5).withColumn("cell_rank", F.lit(0))
+    listed = spark.createDataFrame([("b0003",), ("b0003",), (None,), ("b0600",), ("gone",)], "cell_rank string")
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    points = lambda called, n: sorted(tuple(r) for r in M.knee_points(df, "barcode", "n_reads", called, n).collect())
+    want = [(i, b, n, b in ("b0003", "b0600")) for i, (b, n) in enumerate(order, 1)]
+    assert points(listed, 20_000) == want and points(listed, 700) == want
+    ranks = {max(1, min(700, round(math.exp(math.log(700) * i / 59)))) for i in range(60)} | {1, 700}
+    assert points(listed, 60) == [x for x in want if x[0] in ranks] and len(ranks) > 40
+    assert points(listed.limit(0), 2) == [(1, *order[0], True), (700, *order[-1], True)]
+    assert M.knee_points(df.limit(0), "barcode", "n_reads", listed).count() == 0
+
+
 def test_interval_join_agrees_with_all_pairs(spark):
     rng = random.Random(9)
     make = lambda n: [(i, rng.choice("xy"), s, s + rng.choice([0, 1, 30, 900]), rng.choice("+-.")) for i in range(n) for s in [rng.randint(0, 400)]]
