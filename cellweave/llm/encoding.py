@@ -240,22 +240,27 @@ def _named(scores: np.ndarray, margin: float) -> bool:
     """Whether a chain is named clearly enough. Any text decodes strictly under a one-byte page, so that
     chains between such pages, which that doesn't verify, need three times the margin."""
     best = int(scores.argmax())
-    pages = LABELS[best] in CHAINS and all("utf-8" not in step for step in CHAINS[LABELS[best]])
-    return best != 0 and scores[best] - scores[0] >= margin * (3 if pages else 1)
+    return best != 0 and scores[best] - scores[0] >= margin * (3 if _between_pages(LABELS[best]) else 1)
+
+
+def _between_pages(label: str) -> bool:
+    return label in CHAINS and all("utf-8" not in step for step in CHAINS[label])
 
 
 def _tail(text: str) -> str:
     return REFERENCES if unescape(text) != text else ""
 
 
-def _restore(unit: str, scores: np.ndarray, model: Model, margin: float, tries: int = 3) -> tuple[str | None, str]:
-    """The unit restored and the chain, by the likeliest chains that can be undone; (None, "") if none can."""
-    for label in np.argsort(-scores)[:tries]:
+def _restore(unit: str, scores: np.ndarray, model: Model, margin: float) -> tuple[str | None, str]:
+    """The unit restored and the chain, by the likeliest of the chains that score above clean and can be undone; (None, "") if none can."""
+    for label in np.argsort(-scores):
         name = LABELS[label]
         if label == 0 or scores[label] <= scores[0]:
             break
         if name in LOST:
-            return (None, name + _tail(unit)) if LOST_MARK in unescape(unit) else (None, "")
+            if LOST_MARK in unescape(unit):
+                return None, name + _tail(unit)
+            continue
         whole = ungarble(unit, name)
         tail = _tail(unit)
         if whole is None:
@@ -265,7 +270,12 @@ def _restore(unit: str, scores: np.ndarray, model: Model, margin: float, tries:
             if any(undone):
                 whole = " ".join(u or w for u, w in zip(undone, words))
                 tail = _tail(" ".join(w for u, w in zip(undone, words) if u))
-        if whole is not None and not _named(model.scores([unescape(whole)])[0], margin):
+        if whole is None:
+            continue
+        after = model.scores([unescape(whole)])[0]
+        # A word in capitals may still look odd once it is right; a chain of UTF-8 that it went through strictly is evidence enough.
+        eased = " " not in unit.strip() and not _between_pages(name) and after.max() - after[0] <= (scores.max() - scores[0]) / 2
+        if eased or not _named(after, margin):
             return whole, name + tail
     return None, ""
 

@@ -205,3 +205,11 @@ def test_documents_garbled_as_references_are_found(spark):
     model = encoding.train(docs, "text")
     out = encoding.repair_encoding(docs.filter("doc_id IN (6167, 7361, 8530)"), "doc_id", "text", model).collect()
     assert {r.key for r in out} == {6167, 7361, 8530} and not any("&#" in r.restored for r in out)
+
+
+def test_words_that_look_odd_when_restored(spark):
+    model = encoding.train(_corpus(spark), "text")
+    clean = "NÃO RECOMENDO, A DEVOLUÇÃO É UMA CONFUSÃO. ATENÇÃO À MEDIÇÃO."
+    rows = [("clean", clean)] + [(label, encoding.garble(clean, label)) for label in ("utf8>latin1", "utf8>cp1252", "utf8>latin1 twice", "utf8>cp1252 twice")]
+    out = {r.key: r.restored for r in encoding.repair_encoding(spark.createDataFrame(rows, "id string, t string"), "id", "t", model).collect()}
+    assert out == {label: clean for label, _ in rows[1:]}
