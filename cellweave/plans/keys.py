@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.operators.selection import key_profile
+from cellweave.operators.selection import heavy_keys, key_profile
 
 _FIELDS = ("barcode", "gene")
 
@@ -15,7 +15,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profile(spark, sf_dir).filter("share >= 0.01").select("field", "item")
+    return heavy_keys(_profile(spark, sf_dir), 0.01).select("field", "item")
 
 
 def p3_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

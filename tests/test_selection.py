@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators.prefix import running_sum
-from cellweave.operators.selection import key_profile, select_quantiles
+from cellweave.operators.selection import heavy_keys, key_profile, select_quantiles
 
 
 def _disc(values, p):
@@ -24,6 +24,29 @@ def test_quantiles_agree_with_sorting(spark, kind):
     assert got == {(g, p): _disc([v for k, v in rows if k == g], p) for g in groups for p in (0.0, 0.25, 0.5, 0.9, 1.0)}
 
 
+def test_quantiles_between_ranks(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), float(rng.randint(0, 300)), rng.randint(1, 4)) for _ in range(300)] + [(None, 5.0, 1)]
+    out = select_quantiles(spark.createDataFrame(rows, "g string, v double, w int"), ["g"], "v", [0.0, 0.3, 0.5, 1.0], weight="w", bins=8, interpolate=True).collect()
+    for r in out:
+        values = sorted(v for g, v, w in rows if g == r.g for _ in range(w))
+        at = r.prob * (len(values) - 1)
+        a, b = values[math.floor(at)], values[math.ceil(at)]
+        assert abs(r.value - (a + (b - a) * (at - math.floor(at)))) < 1e-9 and (r.n, r.total) == (len(values), sum(values))
+    assert len(out) == 12
+
+
+def test_heavy_keys_hold_at_least_their_share(spark):
+    rng = random.Random(5)
+    counts = {f"k{i}": rng.randint(1, 40) for i in range(300)} | {"hot": 4000, "warm": 700, "just": 0}
+    rest = sum(counts.values())
+    counts["just"] = -(-rest // 99)  # a hundredth of all rows, or a little more
+    rows = [("f", k, n, n / sum(counts.values())) for k, n in counts.items()] + [("g", "only", 3, 1.0)]
+    out = heavy_keys(spark.createDataFrame(rows, "field string, item string, n_rows long, share double"), 0.01).collect()
+    assert {(r.field, r.item) for r in out} == {("f", "hot"), ("f", "warm"), ("f", "just"), ("g", "only")}
+    assert heavy_keys(spark.createDataFrame([], "field string, item string, n_rows long, share double"), 0.5).count() == 0
+
+
 def test_quantiles_leave_out_what_has_no_rank(spark):
     rows = [("a", 1.0, 2), ("a", None, 5), ("a", float("nan"), 5), ("a", float("inf"), 5), ("a", 9.0, 0), ("a", 4.0, 1), ("b", None, 1), ("a", 5.0, None)]
     df = spark.createDataFrame(rows, "g string, v double, w long")
