@@ -19,7 +19,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BLOCK = 200_000
+from cellweave.session import materialize
+
+#: Rows and bytes of a block that is counted at once.
+_BLOCK, _BLOCK_BYTES = 200_000, 64 << 20
+#: Summaries that one task merges.
+FAN = 64
 _SUMMARY = "part int, item string, n long, error long, total long"
 
 
@@ -54,11 +59,11 @@ def _summary(part: int, items: pa.Array, n: np.ndarray, error: int, total: int)
 def _summarize(counters: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, n = pa.array([], pa.string()), np.zeros(0, np.int64)
-        error = total = held = 0
+        error = total = held = size = 0
         blocks: list[pa.Array] = []
 
         def fold() -> None:
-            nonlocal items, n, error, blocks, held
+            nonlocal items, n, error, blocks, held, size
             counts = pc.value_counts(pa.chunked_array(blocks, pa.string()))
             table = pa.table(
                 {
@@ -67,14 +72,15 @@ def _summarize(counters: int):
                 }
             )
             items, n, cut = _add(table, counters)
-            error, blocks, held = error + cut, [], 0
+            error, blocks, held, size = error + cut, [], 0, 0
 
         for batch in batches:
             column = batch.column(0).cast(pa.string())
             blocks.append(column)
             held += len(column)
+            size += column.nbytes
             total += len(column)
-            if held >= _BLOCK:
+            if held >= _BLOCK or size >= _BLOCK_BYTES:
                 fold()
         if held:
             fold()
@@ -104,10 +110,14 @@ def frequent_items(df: DataFrame, column: str, counters: int = 1000) -> DataFram
     alone, gives no row. Values of any length are kept whole.
     """
     values = df.select(F.col(column).cast("string").alias("item")).filter("item IS NOT NULL")
-    summaries = values.mapInArrow(_summarize(counters), _SUMMARY)
-    for fan in (256, 1):  # summaries of partitions, then of groups of partitions
-        merged = summaries.withColumn("_to", F.col("part") % F.lit(fan))
+    summaries = materialize(values.mapInArrow(_summarize(counters), _SUMMARY), "summaries").df
+    parts = (summaries.agg(F.max("part")).first()[0] or 0) + 1
+    while True:  # a tree whose depth follows the number of partitions
+        parts = -(-parts // FAN)
+        merged = summaries.withColumn("_to", F.floor(F.col("part") / FAN).cast("int"))
         summaries = merged.groupBy("_to").applyInPandas(_merge(counters), _SUMMARY)
+        if parts == 1:
+            break
     size = F.max(F.struct("total", "error")).over(_all_rows())
     return summaries.withColumn("_size", size).filter("item IS NOT NULL").select(
         "item",
