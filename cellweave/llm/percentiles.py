@@ -9,8 +9,10 @@ the cumulative frequencies, and the first value that reaches a rank is the perce
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.prefix import running_sum
@@ -46,19 +48,20 @@ def percentiles(counts: DataFrame, group: Sequence[str], probs: Sequence[float])
     on = F.lit(True)
     for c, a in zip(group, names):
         on = on & F.col(c).eqNullSafe(F.col(a))
+    def around(prob: Column) -> tuple[Column, Column, Column]:
+        at = prob * (F.col("_total") - 1)
+        return F.floor(at) + 1, F.ceil(at) + 1, at - F.floor(at)
+
+    reached = lambda rank: (F.col("_cum") >= rank) & (F.col("_cum") - F.col("n") < rank)
+    # Only rows that reach a rank of some percentile are multiplied.
+    some = reduce(or_, (reached(rank) for p in probs for rank in around(F.lit(float(p)))[:2]))
+    low, high, part = around(F.col("prob"))
     asked = F.explode(F.array(*(F.lit(float(p)) for p in probs))).alias("prob")
-    at = F.col("prob") * (F.col("_total") - 1)
-    ranked = (
-        summed.join(totals, on)
-        .select(*group, "value", "n", "_cum", "_total", asked)
-        .withColumn("_low", F.floor(at) + 1)
-        .withColumn("_high", F.ceil(at) + 1)
-        .withColumn("_part", at - F.floor(at))
-    )
-    reached = lambda rank: (F.col("_cum") >= F.col(rank)) & (F.col("_cum") - F.col("n") < F.col(rank))
-    picked = ranked.filter(reached("_low") | reached("_high")).groupBy(*group, "prob").agg(
-        F.max(F.when(reached("_low"), F.col("value"))).alias("_a"),
-        F.max(F.when(reached("_high"), F.col("value"))).alias("_b"),
+    ranked = summed.join(totals, on).filter(some).select(*group, "value", "n", "_cum", "_total", asked)
+    ranked = ranked.withColumns({"_low": low, "_high": high, "_part": part})
+    picked = ranked.filter(reached(F.col("_low")) | reached(F.col("_high"))).groupBy(*group, "prob").agg(
+        F.max(F.when(reached(F.col("_low")), F.col("value"))).alias("_a"),
+        F.max(F.when(reached(F.col("_high")), F.col("value"))).alias("_b"),
         F.max("_part").alias("_part"),
     )
     return picked.select(*group, "prob", (F.col("_a") + F.col("_part") * (F.col("_b") - F.col("_a"))).alias("value"))
