@@ -21,6 +21,8 @@ from cellweave.session import materialize
 
 _WORDS = regex.compile(r"[\p{L}\p{N}]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Fingerprints of the items that are broadcast; 16 bytes each and their key.
+BROADCAST_FINGERPRINTS = 1_000_000
 
 
 def words(text: str | None) -> list[str]:
@@ -82,14 +84,26 @@ def _fingerprints(df: DataFrame, key: str, text: str, gram: int, window: int, si
     return rows.mapInPandas(run, f"{side} {kind}, _h long, {side}_at int")
 
 
-def shared_run(a: list[str], b: list[str], i: int, j: int) -> tuple[int, int]:
-    """First word (of `a`) and length of the run of equal words through the words i of `a` and j of `b`."""
-    start = end = 0
-    while start < min(i, j) and a[i - start - 1] == b[j - start - 1]:
-        start += 1
-    while i + end < len(a) and j + end < len(b) and a[i + end] == b[j + end]:
-        end += 1
-    return i - start, start + end if end else 0
+def longest_runs(a: list[str], b: list[str], gaps: list[int]) -> tuple[int, int]:
+    """Length and first word (of `a`) of the longest run of equal words that lie `gap` words further on in `a` than in `b`.
+
+    Of equally long ones the first in `a` counts. Each gap costs one comparison along both texts.
+    """
+    codes = pd.factorize(np.array([*a, *b], object))[0]
+    x, y = codes[: len(a)], codes[len(a) :]
+    best = (0, 0)
+    for gap in gaps:
+        at = max(gap, 0)
+        n = min(len(x) - at, len(y) - max(-gap, 0))
+        if n <= 0:
+            continue
+        same = np.concatenate([[False], x[at : at + n] == y[max(-gap, 0) : max(-gap, 0) + n], [False]])
+        turns = np.flatnonzero(same[1:] != same[:-1])
+        starts, sizes = turns[::2], turns[1::2] - turns[::2]
+        if len(sizes):
+            top = int(sizes.argmax())
+            best = max(best, (int(sizes[top]), -(at + int(starts[top]))))
+    return best[0], -best[1]
 
 
 def leaks(
@@ -112,28 +126,30 @@ def leaks(
     window = min_words - gram + 1
     if window < 1:
         raise ValueError("gram must not exceed min_words")
-    tested = _fingerprints(items, item_id, item_text, gram, window, "item")
+    # The items' fingerprints are written first, so that their number is known before they may be broadcast.
+    tested = materialize(_fingerprints(items, item_id, item_text, gram, window, "item"), "fingerprints").df
+    if tested.count() <= BROADCAST_FINGERPRINTS:
+        tested = F.broadcast(tested)
     met = _fingerprints(corpus, corpus_id, corpus_text, gram, window, "doc").join(tested, "_h")
-    hits = materialize(met.select("doc", "item", "doc_at", "item_at").distinct(), "hits").df
+    # A run lies at one gap between the places in both texts; a document and an item have at most as many gaps as words.
+    gaps = met.select("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("gap")).distinct()
+    hits = materialize(gaps.groupBy("doc", "item").agg(F.collect_list("gap").alias("gaps")), "hits").df
 
-    # The texts of the few documents that were hit are looked up again to extend the hits.
+    # The texts of the few documents that were hit are looked up again, once for each item, to extend the hits.
     docs = corpus.select(F.col(corpus_id).alias("doc"), F.col(corpus_text).alias("doc_text")).filter("doc_text IS NOT NULL")
     tests = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("item_text")).filter("item_text IS NOT NULL")
-    pairs = docs.join(hits, "doc").join(tests, "item").select("doc", "item", "doc_at", "item_at", "doc_text", "item_text")
+    pairs = docs.join(hits, "doc").join(tests, "item").select("doc", "item", "gaps", "doc_text", "item_text")
 
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             split = {t: words(t) for t in {*batch["doc_text"], *batch["item_text"]}}
-            runs = [
-                shared_run(split[d], split[t], i, j)
-                for d, t, i, j in zip(batch["doc_text"], batch["item_text"], batch["doc_at"], batch["item_at"])
-            ]
-            found = pd.DataFrame(runs, columns=["doc_word", "shared_words"])
+            runs = [longest_runs(split[d], split[t], g) for d, t, g in zip(batch["doc_text"], batch["item_text"], batch["gaps"])]
+            found = pd.DataFrame(runs, columns=["shared_words", "doc_word"])
             found = pd.concat([batch[["doc", "item"]].reset_index(drop=True), found], axis=1)
             yield found[found["shared_words"] >= min_words]
 
     kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("doc", "item"))
-    runs = pairs.mapInPandas(extend, f"{kinds}, doc_word int, shared_words int")
+    runs = pairs.mapInPandas(extend, f"{kinds}, shared_words int, doc_word int")
     best = F.max(F.struct("shared_words", (-F.col("doc_word")).alias("_w"))).alias("_b")
     return runs.groupBy("doc", "item").agg(best).select(
         "doc", "item", F.col("_b.shared_words").alias("shared_words"), (-F.col("_b._w")).alias("doc_word")
