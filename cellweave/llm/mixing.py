@@ -13,7 +13,7 @@ import base64
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.operators.prefix import running_sum
@@ -64,40 +64,16 @@ def _wanted(targets: DataFrame) -> DataFrame:
     )
 
 
-def source_supply(sized: DataFrame, source: str, targets: DataFrame) -> DataFrame:
-    """source, target_share, max_repeats, docs, available, budget, falls_short: what each target source can give.
+def _budget(sized: DataFrame) -> DataFrame:
+    return sized.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("_budget"))
 
-    `sized` has a `size` column. The budget is the size of all its rows, those without a source
-    included. A source falls short if `available * max_repeats` is less than its share of it.
-    """
-    totals = sized.groupBy(source_key(F.col(source)).alias("source")).agg(
-        F.sum("size").alias("available"), F.count("*").alias("docs")
-    )
-    budget = totals.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("budget"))
-    wanted = _wanted(targets)
-    return (
-        wanted.join(totals, "source", "left")
-        .crossJoin(F.broadcast(budget))  # one row
-        .select(
-            "source",
-            "target_share",
-            "max_repeats",
-            F.coalesce("docs", F.lit(0)).alias("docs"),
-            F.coalesce("available", F.lit(0)).alias("available"),
-            "budget",
-        )
-        .withColumn("falls_short", F.col("available") * F.col("max_repeats") < F.col("target_share") * F.col("budget"))
-    )
 
+def fair_queue(sized: DataFrame, key: str, source: str, targets: DataFrame, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """The shuffled documents of the target sources with `_upto`, the size of the source up to and with each; and the sources.
 
-def mix_order(sized: DataFrame, key: str, source: str, targets: DataFrame, seed: int = 7, budget: int | None = None) -> DataFrame:
-    """source, key, pass_no, size, finish, upto: the documents of the mixture in their order.
-
-    `key` tells rows apart (rows that agree in it and in size are interchangeable). `finish` is the
-    virtual finish time and `upto` the size of the mixture up to and with the row; rows stand while
-    `upto` is within the budget (by default the size of all rows). Rows without a source, of a
-    source without a target or a positive share, and of size 0 aren't mixed. An empty table gives
-    an empty mixture.
+    The second table has one row per source: source, target_share, max_repeats, _all (the size of a pass), _longest (its
+    largest document) and _last (the size at the end of the last permitted pass). Rows without a source, of a
+    source without a target, positive share or permitted pass, and of size 0 aren't in the queue.
     """
     wanted = _wanted(targets).filter("target_share > 0 AND max_repeats > 0")
     rows = (
@@ -107,41 +83,90 @@ def mix_order(sized: DataFrame, key: str, source: str, targets: DataFrame, seed:
         .withColumn("_mixed", F.xxhash64(F.lit(seed), F.col("key"), F.col("size")))
     )
     queued, _ = running_sum(rows, ["source"], ["_mixed", "key", "size"], {"_upto": "size"}, name="queue")
-    totals = rows.groupBy("source").agg(F.sum("size").alias("_all"))
+    ends = queued.groupBy("source", "target_share", "max_repeats").agg(F.max("_upto").alias("_all"), F.max("size").alias("_longest"))
+    return queued, ends.withColumn("_last", (F.col("max_repeats") - 1) * F.col("_all") + F.col("_all"))
+
+
+def _cut_off(ends: DataFrame, limit: DataFrame) -> DataFrame:
+    """One row, _level: a virtual finish time beyond which no document can be within the budget.
+
+    Up to a time t a source has given min(share * t, all its passes), less one document at most. The level is where these
+    sum up to the budget and one document of each source: sources with nothing left by then count whole.
+    """
+    run_out = Window.orderBy("_ends", "source")  # one row for each target source
+    before, after = run_out.rowsBetween(Window.unboundedPreceding, -1), run_out.rowsBetween(0, Window.unboundedFollowing)
+    whole = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    steps = ends.crossJoin(F.broadcast(limit)).withColumn("_ends", F.col("_last") / F.col("target_share")).select(
+        "_ends",
+        F.coalesce(F.sum("_last").over(before), F.lit(0)).alias("_gone"),
+        F.sum("target_share").over(after).alias("_weights"),
+        (F.col("_budget") + F.sum("_longest").over(whole)).alias("_need"),
+    )
+    level = (F.col("_need") - F.col("_gone")) / F.col("_weights")
+    # The first source that would run out beyond its level; where none does, all passes are needed.
+    first = F.min(F.when(level <= F.col("_ends"), F.struct("_ends", level.alias("_level"))))["_level"]
+    return steps.agg((F.coalesce(first, F.max("_ends"), F.lit(0.0)) * (1 + 1e-9)).alias("_level"))
+
+
+def _order(queued: DataFrame, ends: DataFrame, limit: DataFrame) -> DataFrame:
+    room = ends.select("source", "_all").crossJoin(F.broadcast(_cut_off(ends, limit)))  # one row for each target source
+    begun = F.least(F.col("max_repeats") - 1, F.floor(F.col("_level") * F.col("target_share") / F.col("_all")).cast("int"))
     passes = (
-        queued.join(F.broadcast(totals), "source")
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("max_repeats") - 1)).alias("pass_no"))
+        queued.join(F.broadcast(room), "source")
+        .select("*", F.explode(F.sequence(F.lit(0), begun)).alias("pass_no"))
         .withColumn("finish", (F.col("pass_no") * F.col("_all") + F.col("_upto")) / F.col("target_share"))
+        .filter("finish <= _level")
         .select("source", "key", "pass_no", "size", "finish")
     )
-    if budget is None:
-        limit = sized.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("_budget"))
-    else:
-        limit = sized.sparkSession.range(1).select(F.lit(budget).cast("long").alias("_budget"))
     ordered, _ = running_sum(passes, [], ["finish", "source", "key", "pass_no"], {"upto": "size"}, name="mixture")
     return ordered.crossJoin(F.broadcast(limit)).filter("upto <= _budget").drop("_budget")  # one row
 
 
+def mix_order(sized: DataFrame, key: str, source: str, targets: DataFrame, seed: int = 7, budget: int | None = None) -> DataFrame:
+    """source, key, pass_no, size, finish, upto: the documents of the mixture in their order.
+
+    `key` tells rows apart (rows that agree in it and in size are interchangeable). `finish` is the
+    virtual finish time and `upto` the size of the mixture up to and with the row; rows stand while
+    `upto` is within the budget (by default the size of all rows). Rows without a source, of a
+    source without a target or a positive share, and of size 0 aren't mixed. An empty table gives
+    an empty mixture. Passes and documents that the budget can't reach aren't sorted.
+    """
+    queued, ends = fair_queue(sized, key, source, targets, seed)
+    limit = _budget(sized) if budget is None else sized.sparkSession.range(1).select(F.lit(budget).cast("long").alias("_budget"))
+    return _order(queued, ends, limit)
+
+
 def mix_report(sized: DataFrame, key: str, source: str, targets: DataFrame, seed: int = 7) -> DataFrame:
-    """One row per target source: share wanted and reached, passes used and whether it falls short."""
+    """One row per target source: share wanted and reached, size, passes used and whether it falls short.
+
+    The budget is the size of all rows, those without a source included. A source falls short if the virtual finish
+    time of its last permitted pass, read off the queue, lies before the budget, at which time its share is due. Both are
+    compared times the share, which is exact at the limit. A source that isn't in the queue ends at 0.
+    """
     sized = materialize(sized.select(key, source, "size"), "sizes").df  # sizes are worked out once
-    mixed = mix_order(sized, key, source, targets, seed).groupBy("source").agg(
+    queued, ends = fair_queue(sized, key, source, targets, seed)
+    ends = materialize(ends, "sources").df
+    limit = _budget(sized)
+    mixed = _order(queued, ends, limit).groupBy("source").agg(
         F.sum("size").alias("_mixed"), F.count("*").alias("_rows"), (F.max("pass_no") + 1).alias("_passes")
     )
     total = mixed.agg(F.sum("_mixed").alias("_total"))
+    due = F.col("target_share") * F.col("_budget")
     return (
-        source_supply(sized, source, targets)
+        _wanted(targets)
+        .join(F.broadcast(ends.select("source", "_all", "_last")), "source", "left")  # one row for each target source
         .join(mixed, "source", "left")
         .crossJoin(F.broadcast(total))  # one row
+        .crossJoin(F.broadcast(limit))  # one row
         .select(
             "source",
             "target_share",
             F.coalesce(F.col("_mixed") / F.col("_total"), F.lit(0.0)).alias("actual_share"),
-            "available",
+            F.coalesce("_all", F.lit(0)).alias("available"),
             F.coalesce("_mixed", F.lit(0)).alias("mixed"),
             F.coalesce("_rows", F.lit(0)).alias("mixed_docs"),
             F.coalesce("_passes", F.lit(0)).alias("passes"),
             "max_repeats",
-            "falls_short",
+            (F.coalesce("_last", F.lit(0)) < due).alias("falls_short"),
         )
     )
