@@ -201,6 +201,9 @@ def _labelled(model: Model | None):
     return run
 
 
+#: Units gathered for each that the sample keeps.
+_SPARE = 2
+
 #: Hash buckets of the bigrams.
 WIDTH = 1 << 14
 
@@ -214,7 +217,14 @@ def train(df: DataFrame, text: str, rows: int = 20_000, alpha: float = 0.05) ->
     len(LABELS) * WIDTH numbers. Without such units every text counts as clean.
     """
     units = _units(df.select(F.col(text).alias("text")), "text").select("unit")
-    sample = units.distinct().orderBy(F.xxhash64("unit"), "unit").limit(rows)
+    # Of about `_SPARE * rows` units with the smallest hashes, which are evenly spread, the smallest `rows` are taken: what is
+    # brought together doesn't grow with the table.
+    hashed = units.withColumn("_h", F.xxhash64("unit"))
+    distinct = hashed.agg(F.approx_count_distinct("_h")).first()[0]
+    share = _SPARE * rows / max(distinct, 1)
+    if share < 1:
+        hashed = hashed.filter(F.col("_h") < F.lit(int((share - 0.5) * 2.0**64)))
+    sample = hashed.distinct().orderBy("_h", "unit").limit(rows).select("unit")
     sample = sample.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
     model = None
     for _ in range(2):
