@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,14 +68,24 @@ def passes_gate(scores: Column, min_length: int, min_mean_quality: float) -> Col
     return F.when(F.size(scores) < min_length, 16).when(-10 * F.log10(error) < min_mean_quality, 17).otherwise(0)
 
 
-def _tail(window: str | None) -> int | None:
-    """Length of the A tail at the end of a window in upper case, None if there is none."""
-    start = window.rfind("AAAA") if window else -1
-    if start < 0:
-        return None
-    while start > 0 and (window[start - 1] == "A" or window.count("A", max(start - 10, 0), start) >= 7):
-        start -= 1
-    return len(window) - start if len(window) - start >= 8 else None
+def tail_lengths(windows: pd.Series) -> np.ndarray:
+    """Lengths of the A tails at the ends of windows in upper case, NaN where there is none; all windows of a batch together."""
+    known = windows.fillna("")
+    n = known.str.len().to_numpy()
+    width = max(int(n.max()) if len(n) else 0, 4)
+    flat = np.frombuffer("".join(known.str.ljust(width, "\0")).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(known), width)
+    is_a = flat == ord("A")
+    count = np.zeros((len(known), width + 1), np.int32)
+    count[:, 1:] = np.cumsum(is_a, axis=1)
+    four = is_a[:, : width - 3] & is_a[:, 1 : width - 2] & is_a[:, 2 : width - 1] & is_a[:, 3:]
+    last = np.where(four.any(1), width - 4 - four[:, ::-1].argmax(1), -1)
+    # The tail goes on to the left of a place over an A, or over a base that ends 10 with at least 7 A.
+    place = np.arange(width + 1)
+    goes_on = np.zeros((len(known), width + 1), bool)
+    goes_on[:, 1:] = is_a | (count[:, 1:] - count[:, np.maximum(place[1:] - 10, 0)] >= 7)
+    stops = ~goes_on & (place <= last[:, None])
+    start = width - stops[:, ::-1].argmax(1)
+    return np.where((last >= 0) & (n - start >= 8), n - start, np.nan)
 
 
 def poly_a_start(window: Column, end: Column) -> Column:
@@ -86,7 +97,7 @@ def poly_a_start(window: Column, end: Column) -> Column:
 
     @F.pandas_udf("int")
     def tail(windows: pd.Series) -> pd.Series:
-        return pd.Series([_tail(w) for w in windows], dtype="Int32")
+        return pd.Series(tail_lengths(windows)).astype("Int32")
 
     return end - tail(window)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions import seq as S
+from cellweave.functions.edits import blocks
 from cellweave.operators.segments import bounds, cut_places
 
 # Middles of the barcodes and anchors of the UMIs as they stand in a read.
@@ -185,16 +186,22 @@ def validity_summary(rows: DataFrame, bc3: str, bc5: str) -> DataFrame:
 def substring_distances(patterns: pd.Series, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Smallest edit distance of each pattern to any substring of its text, and the last end of such a substring.
 
-    All pairs go through the letters of the texts together, with one row of the usual table each.
+    Pairs of texts alike in length go through the letters together, with one row of the usual table each.
     """
+    best, end = np.zeros(len(patterns), np.int32), np.zeros(len(patterns), np.int32)
+    left, right = patterns.tolist(), texts.tolist()
+    for block in blocks([len(p) + len(t) for p, t in zip(left, right)]):
+        best[block], end[block] = _substring_distances(pd.Series([left[x] for x in block]), pd.Series([right[x] for x in block]))
+    return best, end
+
+
+def _substring_distances(patterns: pd.Series, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
     def codes(strings: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         width = int(strings.str.len().max())
         flat = "".join(strings.str.ljust(width, "\0")).encode("utf-32-le")
         return np.frombuffer(flat, np.uint32).reshape(len(strings), width), strings.str.len().to_numpy()
 
-    if not len(patterns):
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     p, m = codes(patterns)
     t, n = codes(texts)
     steps, pairs = np.arange(p.shape[1] + 1, dtype=np.int32), np.arange(len(p))
@@ -234,7 +241,7 @@ def fuzzy_join(values: DataFrame, column: str, entries: DataFrame, entry: str, k
         asked.join(known.withColumnRenamed("entry", "value"), "value", "left_anti")
         .crossJoin(F.broadcast(sizes))
         .filter(F.length("value") >= F.col("n"))
-        .select("value", "n", F.explode(F.transform(
+        .select("value", "n", F.explode_outer(F.transform(
             F.sequence(F.lit(0), F.length("value") - F.col("n")),
             lambda i: F.struct(i.alias("place"), F.substring(F.col("value"), i + 1, F.col("n")).alias("text")),
         )).alias("_s")).select("value", "n", "_s.*")

@@ -21,7 +21,8 @@ def interval_join(reads: DataFrame, features: DataFrame, width: int = 100_000) -
 
     Both have chrom, start, end and strand. An interval is put in every bin it touches and intervals meet in
     bins; a pair is kept only in the first bin the two share, so that it comes once. Long intervals are
-    put in as many bins as they need. Empty intervals and unknown coordinates overlap nothing.
+    put in as many bins as they need. Empty intervals and unknown coordinates overlap nothing. A bin that many
+    reads fall into is split by adaptive skew joins; its features, which it is joined with, are those of one place.
     """
 
     def binned(df: DataFrame, s: str, e: str) -> DataFrame:
@@ -43,11 +44,10 @@ def interval_join(reads: DataFrame, features: DataFrame, width: int = 100_000) -
 
 
 def _best(scored: DataFrame, by: str, carry: list[str]) -> DataFrame:
-    """`by`, the fields of the largest overlap and how many share it."""
-    top = F.max(F.struct("overlap", *carry)).alias("_top")
-    most = scored.groupBy(by).agg(top)
-    ties = scored.join(most.select(by, F.col("_top.overlap").alias("overlap")), [by, "overlap"]).groupBy(by).agg(F.count("*").alias("_ties"))
-    return most.join(ties, by).select(by, *(F.col(f"_top.{c}").alias(f"_b_{c}") for c in carry), "_ties")
+    """`by`, the fields of the largest overlap and how many share it: two partial aggregates over one join."""
+    level = scored.groupBy(by, "overlap").agg(F.count("*").alias("_n"), F.max(F.struct(*carry)).alias("_of"))
+    top = level.groupBy(by).agg(F.max(F.struct("overlap", "_n", "_of")).alias("_top"))
+    return top.select(by, *(F.col(f"_top._of.{c}").alias(f"_b_{c}") for c in carry), F.col("_top._n").alias("_ties"))
 
 
 def _status(mapq: int) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from cellweave.session import Stage, materialize
 
 
-def _starts(batch: pa.Table, group: Sequence[str]) -> np.ndarray:
+def run_starts(batch: pa.Table, group: Sequence[str]) -> np.ndarray:
     """Whether a row differs from the one before it in a group column; NULL equals NULL and NaN equals NaN."""
     new = np.zeros(batch.num_rows, bool)
     for column in group:
@@ -47,7 +47,7 @@ def _sums_within(group: list[str], values: dict[str, str], fields: list[str]):
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch])
-            new = _starts(rows if before is None else pa.concat_tables([before, rows]), group)[0 if before is None else 1 :]
+            new = run_starts(rows if before is None else pa.concat_tables([before, rows]), group)[0 if before is None else 1 :]
             before = rows.slice(rows.num_rows - 1)
             breaks = np.flatnonzero(new)
             made = rows

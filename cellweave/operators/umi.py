@@ -1,105 +1,220 @@
-"""Directional UMI collapsing within cells and genes."""
+"""Directional UMI collapsing within cells and genes.
+
+Most groups are small and are resolved whole, many of them in one array batch. A group above `WHOLE` UMIs never comes
+together: its UMIs are compared in tiles of two blocks, and above `DENSE` UMIs they meet on variants instead, a
+bounded number for each UMI; the edges found are then followed in rounds of joins.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cellweave.functions.edits import Texts, letters, pair_distances
 from cellweave.operators.pairs import components
-from cellweave.operators.segments import bounds, cut_places
+from cellweave.operators.prefix import run_starts
 from cellweave.session import materialize
 
+#: UMIs of a group that one task resolves whole.
+WHOLE = 2_000
+#: UMIs of a block; two blocks are compared in one task.
+BLOCK = 1_000
+#: UMIs of a group from which on comparing all blocks costs more than the variants of each UMI.
+DENSE = 500_000
+#: Pairs compared at a time.
+_PAIRS = 1 << 20
+
 
 def umi_counts(rows: DataFrame, group: Sequence[str], umi: str) -> DataFrame:
     """`group`, umi, n."""
     return rows.groupBy(*group, F.col(umi).alias("umi")).agg(F.count("*").alias("n"))
 
 
-def near_pairs(counts: DataFrame, group: Sequence[str], k: int = 3) -> DataFrame:
-    """`group`, a, na, b, nb: pairs of UMIs of a group within k edits of each other, each in both directions.
+def _close(umis: list[str], n: np.ndarray, first: np.ndarray, end: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from a UMI to one within k edits that it has at least 2 n - 1 times the reads of.
 
-    Of the k + 1 parts of a UMI one is unchanged in the other, a few places away. So UMIs offer their parts
-    and take up the parts that others of the lengths in their group may have, and meet on equal ones;
-    UMIs too short to be cut meet those of at most 2 k letters. Only pairs that met are compared.
+    Each row is compared with the rows `first` to `end` (exclusive) behind it.
+    """
+    texts = Texts.of(umis)
+    alphabet = np.unique(texts.codes[texts.codes > 0])
+    masks, at = texts.masks(alphabet), letters(texts.codes, alphabet)
+    spread = np.maximum(end - first, 0)
+    upto = np.cumsum(spread)
+    sources, targets = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    row = 0
+    while row < len(umis):
+        stop = max(int(np.searchsorted(upto, (upto[row - 1] if row else 0) + _PAIRS, side="right")), row + 1)
+        own = spread[row:stop]
+        i = np.repeat(np.arange(row, stop), own)
+        j = first[i] + np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own)
+        able = (np.maximum(n[i], n[j]) >= 2 * np.minimum(n[i], n[j]) - 1) & (np.abs(texts.lengths[i] - texts.lengths[j]) <= k)
+        i, j = i[able], j[able]
+        near = pair_distances(texts, masks, i, texts, at, j) <= k
+        i, j = i[near], j[near]
+        down, up = n[i] >= 2 * n[j] - 1, n[j] >= 2 * n[i] - 1
+        sources += [i[down], j[up]]
+        targets += [j[down], i[up]]
+        row = stop
+    return np.concatenate(sources), np.concatenate(targets)
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted batches again, each with whole runs of equal keys, and where the runs start."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+        starts = np.flatnonzero(run_starts(held, keys))
+        if len(starts) and starts[-1]:
+            yield held.slice(0, int(starts[-1])), np.r_[0, starts[:-1]] if starts[0] else starts[:-1]
+            held = held.slice(int(starts[-1]))
+    if held is not None and held.num_rows:
+        starts = np.flatnonzero(run_starts(held, keys))
+        yield held, np.r_[0, starts] if not len(starts) or starts[0] else starts
+
+
+def _resolve(group: list[str], k: int):
+    """Rows sorted by group with `umi_corrected`: the strongest UMI that reaches each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in _whole_runs(batches, group):
+            umis, n = rows["umi"].to_pylist(), rows["n"].to_numpy()
+            ends = np.r_[starts[1:], len(umis)]
+            end = np.repeat(ends, ends - starts)
+            source, target = _close(umis, n, np.arange(len(umis)) + 1, end, k)
+            order = np.lexsort((np.unique(np.array(umis, object), return_inverse=True)[1], -n))
+            rank = np.empty(len(umis), np.int64)
+            rank[order] = np.arange(len(umis))
+            best = rank.copy()
+            while True:
+                after = best.copy()
+                np.minimum.at(after, target, best[source])
+                if (after == best).all():
+                    break
+                best = after
+            yield from rows.append_column("umi_corrected", pa.array([umis[x] for x in order[best]], pa.string())).combine_chunks().to_batches()
+
+    return run
+
+
+def _compare_tiles(keys: list[str], group: list[str], k: int):
+    """Edges (a, na, b, nb) of the tiles; a tile of two blocks compares the rows of one with those of the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in _whole_runs(batches, keys):
+            umis, n, side = rows["umi"].to_pylist(), rows["n"].to_numpy(), rows["_side"].to_numpy()
+            ends = np.r_[starts[1:], len(umis)]
+            end = np.repeat(ends, ends - starts)
+            # Sides are 0 and 1; in a tile of one block all rows have side 0 and meet the rows behind them.
+            lefts = np.add.reduceat((side == 0).astype(np.int64), starts)
+            one_block = rows["_same"].to_numpy(zero_copy_only=False)
+            turn = np.repeat(starts + lefts, ends - starts)
+            first = np.where(one_block, np.arange(len(umis)) + 1, np.where(side == 0, turn, end))
+            source, target = _close(umis, n, first, end, k)
+            made = rows.select(group).take(pa.array(source))
+            for name, values in (("a", source), ("b", target)):
+                made = made.append_column(name, rows["umi"].take(pa.array(values))).append_column(f"n{name}", rows["n"].take(pa.array(values)))
+            yield from made.combine_chunks().to_batches()
+
+    return run
+
+
+def tile_edges(counts: DataFrame, group: Sequence[str], k: int = 3, block: int = BLOCK) -> DataFrame:
+    """`group`, a, na, b, nb: UMIs within k edits of each other where na >= 2 nb - 1, by comparing blocks with blocks.
+
+    The blocks of a group are spread over all tasks; a UMI is sent to as many tiles as its group has blocks.
     """
     g = list(group)
-    places = cut_places(counts, "umi", k + 1)
-    lengths = counts.groupBy(*g).agg(F.collect_set(F.length("umi")).alias("_lengths"))
-    size = F.length("umi")
-    tiny = F.lit("tiny")
-
-    def key(p: int, length: Column, text: Column) -> Column:
-        return F.concat_ws(":", F.lit(str(p)), length.cast("string"), text)
-
-    def own(p: int) -> Column:
-        start, end = bounds(size, places, p)
-        return F.when(size > k, key(p, size, F.substring("umi", start + 1, end - start))).otherwise(tiny)
-
-    def others(p: int) -> Column:
-        def of(length: Column) -> Column:
-            start, end = bounds(length, places, p)
-            # Of the parts that are unchanged one has at most p edits before it and k - p behind it.
-            gap = size - length
-            last = F.least(start + p, start + gap + (k - p), size - (end - start))
-            first = F.greatest(start - p, start + gap - (k - p), F.lit(0))
-            at = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-            return F.transform(at, lambda i: key(p, length, F.substring("umi", i + 1, end - start)))
-
-        near = F.filter("_lengths", lambda x: (x > k) & (F.abs(x - size) <= k))
-        return F.flatten(F.transform(near, of))
-
-    parts = range(len(places) - 1)
-    left = counts.select(*g, F.col("umi").alias("a"), F.col("n").alias("na"), F.explode(F.array_distinct(F.array(*(own(p) for p in parts)))).alias("_k"))
-    offered = F.concat(*(others(p) for p in parts), F.when(size <= 2 * k, F.array(tiny)).otherwise(F.array().cast("array<string>")))
-    right = counts.join(lengths, g).select(*g, F.col("umi").alias("b"), F.col("n").alias("nb"), F.explode(F.array_distinct(offered)).alias("_k"))
-    # Equal keys give many more pairs than rows: small partitions mustn't be put together by their bytes.
+    sizes = counts.groupBy(*g).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    names = [f"_r{i}" for i in range(len(g))]
+    right = sizes.select(*(F.col(c).alias(a) for c, a in zip(g, names)), "_blocks")
+    on = [F.col(c).eqNullSafe(F.col(a)) for c, a in zip(g, names)]
+    placed = counts.join(right, on).withColumn("_own", F.pmod(F.xxhash64("umi"), F.col("_blocks")).cast("int"))
+    tiles = placed.select(*g, "umi", "n", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
+        *g, "umi", "n",
+        F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"),
+        (F.col("_own") > F.col("_other")).cast("int").alias("_side"), (F.col("_own") == F.col("_other")).alias("_same"),
+    )
+    keys = [*g, "_low", "_high"]
     tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = (side.repartition(tasks, *g, "_k") for side in (left, right))
-    met = left.join(right, [*g, "_k"]).filter("a <> b").select(
-        *g,
-        F.when(F.col("a") < F.col("b"), F.struct("a", "na", "b", "nb")).otherwise(
-            F.struct(F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb"))
-        ).alias("_p"),
+    kinds = T.StructType(
+        [*(counts.schema[c] for c in g), T.StructField("a", T.StringType()), T.StructField("na", T.LongType()), T.StructField("b", T.StringType()), T.StructField("nb", T.LongType())]
     )
-    close = met.filter(F.levenshtein("_p.a", "_p.b", k) >= 0).distinct().select(*g, "_p.*")
-    flipped = close.select(*g, F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb"))
-    return close.unionByName(flipped)
+    return tiles.repartition(tasks, *keys).sortWithinPartitions(*keys, "_side").mapInArrow(_compare_tiles(keys, g, k), kinds)
 
 
-def collapse_umis(counts: DataFrame, group: Sequence[str], k: int = 3, max_rounds: int = 60) -> DataFrame:
-    """`group`, umi, n, umi_corrected: every UMI with the strongest UMI that reaches it.
+def _variants(text: Column, alphabet: list[str], edits: int) -> Column:
+    """ARRAY of the texts within so many edits of a text."""
+    found = F.array(text)
+    for _ in range(edits):
 
-    A UMI reaches those within k edits that it has at least 2 n - 1 times the reads of, and what they
-    reach. UMIs rank by reads, then by name; visiting them in this order, each taking what it reaches
-    and nobody took, gives every UMI the highest-ranked that reaches it. UMIs of one read reach each
-    other, so that their components are merged first; all other edges lead to fewer reads, at most half and
-    one more, so that the best rank has spread after as many rounds as the largest count has bits.
+        def once(t: Column) -> Column:
+            def put(letter: str, skip: int):
+                return lambda i: F.concat(F.substring(t, F.lit(1), i), F.lit(letter), F.substring(t, i + 1 + skip, F.length(t)))
+
+            inner = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1)).otherwise(F.array().cast("array<int>"))
+            changes = [F.transform(inner, put(letter, 1)) for letter in ("", *alphabet)]
+            changes += [F.transform(F.sequence(F.lit(0), F.length(t)), put(letter, 0)) for letter in alphabet]
+            return F.concat(F.array(t), *changes)
+
+        found = F.array_distinct(F.flatten(F.transform(found, once)))
+    return found
+
+
+def variant_edges(counts: DataFrame, group: Sequence[str], k: int = 3) -> DataFrame:
+    """The edges of `tile_edges`, found by meeting in the middle.
+
+    Of k edits between two UMIs one half leads from the first to a text to which the other half leads from the second. So
+    UMIs meet on texts within k / 2 edits of one and the rest of the other, a bounded number for each UMI: the work grows in
+    proportion to the UMIs and the pairs that are found.
     """
     g = list(group)
-    named = counts.select(*g, "umi", "n", F.to_json(F.struct(*g, "umi")).alias("id"))
-    nodes = materialize(named, "umis").df
-    near = near_pairs(counts, g, k).filter("na >= 2 * nb - 1")
+    alphabet = sorted(r[0] for r in counts.select(F.explode(F.split("umi", "")).alias("c")).filter("c <> ''").distinct().collect())  # the letters in use
+    near, far = k // 2, k - k // 2
+    left = counts.select(*g, F.col("umi").alias("a"), F.col("n").alias("na"), F.explode_outer(_variants(F.col("umi"), alphabet, near)).alias("_v"))
+    names = [f"_r{i}" for i in range(len(g))]
+    right = counts.select(
+        *(F.col(c).alias(r) for c, r in zip(g, names)), F.col("umi").alias("b"), F.col("n").alias("nb"), F.explode_outer(_variants(F.col("umi"), alphabet, far)).alias("_w")
+    )
+    on = [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(g, names)] + [F.col("_v") == F.col("_w"), F.col("a") != F.col("b")]
+    strong = (F.col("na") >= 2 * F.col("nb") - 1) | (F.col("nb") >= 2 * F.col("na") - 1)
+    met = left.join(right, on).filter(strong).select(*g, "a", "na", "b", "nb").distinct()
+    back = met.select(*g, F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb"))
+    return met.unionByName(back).filter("na >= 2 * nb - 1").distinct()
+
+
+def _follow(counts: DataFrame, g: list[str], edges: DataFrame, max_rounds: int) -> DataFrame:
+    """The strongest UMI that reaches each, over written edges.
+
+    UMIs of one read reach each other, so that their components are merged first; all other edges lead to fewer reads, at
+    most half and one more, so that the best rank has spread after as many rounds as the largest count has bits.
+    """
+    nodes = materialize(counts.select(*g, "umi", "n", F.to_json(F.struct(*g, "umi")).alias("id")), "umis").df
     ids = [F.to_json(F.struct(*g, F.col(x).alias("umi"))).alias(e) for x, e in (("a", "u"), ("b", "v"))]
-    edges = materialize(near.select(*ids, ((F.col("na") == 1) & (F.col("nb") == 1)).alias("mutual")), "umi-edges").df
-    merged = components(edges.filter("mutual").select("u", "v")).select(F.col("node").alias("id"), "component")
+    written = materialize(edges.select(*ids, ((F.col("na") == 1) & (F.col("nb") == 1)).alias("mutual")), "umi-edges")
+    merged = components(written.df.filter("mutual").select("u", "v")).select(F.col("node").alias("id"), "component")
     placed = materialize(
         nodes.join(merged, "id", "left").select(*g, "umi", "n", "id", F.coalesce("component", "id").alias("part")), "umi-parts"
     ).df
     part_of = placed.select("id", "part")
     down = materialize(
-        edges.filter("NOT mutual")
+        written.df.filter("NOT mutual")
         .join(part_of.select(F.col("id").alias("u"), F.col("part").alias("source")), "u")
         .join(part_of.select(F.col("id").alias("v"), F.col("part").alias("target")), "v")
         .select("source", "target")
         .distinct(),
         "umi-down",
-    ).df
+    )
+    written.drop()
     rank = F.struct((-F.col("n")).alias("r"), F.col("umi").alias("u"))
     state = materialize(placed.groupBy("part").agg(F.min(rank).alias("best"), F.lit(True).alias("new")), "umi-best")
     for _ in range(max_rounds):
-        sent = down.join(state.df.filter("new").select(F.col("part").alias("source"), "best"), "source")
+        sent = down.df.join(state.df.filter("new").select(F.col("part").alias("source"), "best"), "source")
         offers = sent.groupBy(F.col("target").alias("part")).agg(F.min("best").alias("offer"))
         taken = F.least("best", F.coalesce("offer", "best"))
         after = materialize(
@@ -108,5 +223,44 @@ def collapse_umis(counts: DataFrame, group: Sequence[str], k: int = 3, max_round
         state.drop()
         state = after
         if state.df.filter("new").isEmpty():
+            down.drop()
             return placed.join(state.df, "part").select(*g, "umi", "n", F.col("best.u").alias("umi_corrected"))
     raise RuntimeError(f"UMIs still change after {max_rounds} rounds")
+
+
+def collapse_umis(
+    counts: DataFrame, group: Sequence[str], k: int = 3, max_rounds: int = 60, whole: int = WHOLE, dense: int = DENSE
+) -> DataFrame:
+    """`group`, umi, n, umi_corrected: every UMI with the strongest UMI that reaches it.
+
+    A UMI reaches those within k edits that it has at least 2 n - 1 times the reads of, and what they
+    reach. UMIs rank by reads, then by name; visiting them in this order, each taking what it reaches
+    and nobody took, gives every UMI the highest-ranked that reaches it. Each group and UMI comes once in `counts`, and rows
+    without a UMI are left out. Groups of at most `whole` UMIs are resolved in one task each; larger ones are spread over
+    all tasks, with the same result.
+    """
+    g = list(group)
+    rows = materialize(counts.select(*g, "umi", F.col("n").cast("long").alias("n")).filter("umi IS NOT NULL"), "umis").df
+    sizes = materialize(rows.groupBy(*g).agg(F.count("*").alias("_size")), "umi-groups").df
+    out = T.StructType([*(rows.schema[c] for c in g), rows.schema["umi"], rows.schema["n"], T.StructField("umi_corrected", T.StringType())])
+    names = [f"_r{i}" for i in range(len(g))]
+
+    def among(chosen: DataFrame, how: str) -> DataFrame:
+        right = chosen.select(*(F.col(c).alias(r) for c, r in zip(g, names)))
+        on = [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(g, names)]
+        return rows.join(right, on or F.lit(True), how)
+
+    large = sizes.filter(F.col("_size") > whole)
+    hot = large.count()
+    small = among(large, "left_anti") if hot else rows
+    spread = small.repartition(*g) if g else small.coalesce(1)
+    resolved = spread.sortWithinPartitions(*g).mapInArrow(_resolve(g, k), out)
+    if not hot:
+        return resolved
+    apart = materialize(among(large, "left_semi"), "umis-hot").df
+    edges = None
+    for part, find in ((large.filter(F.col("_size") <= dense), tile_edges), (large.filter(F.col("_size") > dense), variant_edges)):
+        if not part.isEmpty():
+            found = find(among(part, "left_semi"), g, k)
+            edges = found if edges is None else edges.unionByName(found)
+    return resolved.unionByName(_follow(apart, g, edges, max_rounds))

@@ -335,5 +335,5 @@ ORACLES = {
     "assignment_counts": _M + """ SELECT CASE WHEN NOT known THEN 'gene:region' WHEN regexp_matches(gene, '^([^_]*_)?MT-') THEN 'gene:mito' ELSE 'gene:known' END AS counter, count(*) AS n FROM k GROUP BY 1
         UNION ALL SELECT 'species:' || CASE left(gene, 3) WHEN 'HS_' THEN 'human' WHEN 'MM_' THEN 'mouse' ELSE 'other' END, count(*) FROM k GROUP BY 1""",
     "rank_sample": _M + """, c AS (SELECT barcode, count(*) AS n_reads FROM m GROUP BY barcode), r AS (SELECT *, row_number() OVER (ORDER BY n_reads DESC, barcode) AS cell_rank FROM c)
-        SELECT cell_rank, barcode, n_reads FROM r WHERE bit_count(cell_rank) = 1""",
+        SELECT cell_rank, barcode, n_reads, barcode IN (SELECT {c} FROM read_assigned_cell WHERE {c} IS NOT NULL) AS called FROM r WHERE cell_rank <= 20000""".format(c=sql_clean("cell_id")),
 }

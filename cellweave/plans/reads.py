@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions import seq as S
@@ -130,6 +130,53 @@ def class_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.class_statistics(classify_reads(spark, sf_dir)).withColumn("percent", F.round("percent", 6))
 
 
+def _joined_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each read followed by itself, as it is or as its reverse complement."""
+    rows, same = _sequences(spark, sf_dir), F.substring(F.md5("read_id"), 1, 1) < "8"
+    return rows.withColumns({
+        "seq": F.concat("seq", F.when(same, F.col("seq")).otherwise(S.revcomp(F.col("seq")))),
+        "qual": F.concat("qual", F.when(same, F.col("qual")).otherwise(F.reverse("qual"))),
+    })
+
+
+def joined_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of two molecules, taken apart."""
+    return K.classify(_joined_sequences(spark, sf_dir), _PRIMERS, min_length=100, min_quality=1.0).drop("qual")
+
+
+def joined_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.run_summary(joined_reads(spark, sf_dir)).withColumn("percent", F.round("percent", 6))
+
+
+#: Two primers of full length, with the edits and windows that are the defaults.
+_LONG_PRIMERS = K.Primers(tso="CTACACGACGCTCTTCCGATCT", rtp="AAGCAGTGGTATCAACGCAGAGTAC", umi=25)
+
+
+def classify_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads with primers of full length at both ends, in which the digits of a hash put edits, a third of them as their reverse
+    complements. SQL has no distance to a part of a text, so that this one is tested by brute force on a small table."""
+    h = F.md5("read_id")
+    digit = lambda i: F.conv(F.substring(h, i, 2), 16, 10).cast("int")
+
+    def edited(primer: str, i: int) -> Column:
+        at, kind = digit(i) % len(primer), digit(i + 2) % 4
+        cut = lambda skip, put: F.concat(F.substring(F.lit(primer), F.lit(1), at), F.lit(put), F.substring(F.lit(primer), at + 1 + skip, F.lit(len(primer))))
+        return F.when(kind == 0, cut(1, "A")).when(kind == 1, cut(0, "G")).when(kind == 2, cut(2, "")).otherwise(F.lit(primer))
+
+    rc = _LONG_PRIMERS.rtp.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    rows = _sequences(spark, sf_dir)
+    whole = F.concat(edited(_LONG_PRIMERS.tso, 1), F.col("seq"), edited(rc, 9))
+    turned = F.when(digit(17) % 3 == 0, S.revcomp(whole)).otherwise(whole)
+    long = rows.select("read_id", turned.alias("seq"), F.rpad("qual", F.length(turned), "5").alias("qual"))
+    return K.classify(long, _LONG_PRIMERS, min_length=100).drop("qual")
+
+
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads and bases of each output that classes go to, the merged one included."""
+    rows = K.fan_out(joined_reads(spark, sf_dir))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.length("seq")).alias("bases"))
+
+
 # Pairs of barcodes
 
 
@@ -274,7 +321,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hq_counts, observed_whitelist, strip_fixed, whitelist_expand, validity_summary, unique_barcodes, fuzzy_correct, extract_3p, extract_5p, trim_bounds,
-        read_gate, mean_quality, classify_reads, class_statistics, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, cell_ids, read_to_cell,
+        read_gate, mean_quality, classify_reads, class_statistics, joined_reads, joined_summary, classify_edited, fan_out, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, cell_ids, read_to_cell,
         read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, read_summary, bounded_sample, report_metrics,
     )
 }
@@ -283,7 +330,7 @@ _HQ = f"""WITH q AS (SELECT read_id, floor(max(mean_quality)) AS quality FROM re
 h AS (SELECT barcode, count(*) AS n_reads FROM (SELECT read_id, {sql_clean('putative_barcode')} AS barcode FROM correction_map_3p) JOIN q USING (read_id)
     WHERE quality >= 10 AND barcode IS NOT NULL GROUP BY barcode)"""
 _READS = f"""r AS (SELECT * FROM (SELECT DISTINCT read_id, {sql_clean('bc5n')} AS bc5n, {sql_clean('bc3n')} AS bc3n, {sql_clean('putative_umi')} AS u3,
-    {sql_clean('putative_umi_5p')} AS u5 FROM readids_umi_bc_clean) WHERE u3 IS NULL OR length(replace(u3, 'A', '')) >= 0.5 * length(u3)),
+    {sql_clean('putative_umi_5p')} AS u5 FROM readids_umi_bc_clean) WHERE (u3 IS NULL OR length(replace(u3, 'A', '')) >= 0.5 * length(u3)) AND coalesce(u3, u5) IS NOT NULL AND coalesce(bc5n, bc3n) IS NOT NULL),
 s AS (SELECT least(bc5n, bc3n) AS u, greatest(bc5n, bc3n) AS v, count(*) AS n_reads, count(DISTINCT
     CASE WHEN bc5n = bc3n THEN concat(least(coalesce(u3, ''), coalesce(u5, '')), '|', greatest(coalesce(u3, ''), coalesce(u5, '')))
          WHEN bc5n < bc3n THEN concat(u5, '|', u3) ELSE concat(u3, '|', u5) END) AS n_umis
@@ -362,7 +409,10 @@ _TRIM = """, t AS (SELECT x3.read_id, x3.seq, length(x3.seq) AS n, CASE WHEN x5.
     FROM x3 JOIN x5 ON x3.read_id = x5.read_id AND x3.seq = x5.seq AND x3.bc3 = x5.bc3 AND x3.bc5 = x5.bc5)
 SELECT read_id, CASE WHEN s < e THEN s END AS trim_start, CASE WHEN s < e THEN e END AS trim_end, CASE WHEN s < e THEN substr(seq, s + 1, e - s) END AS cdna FROM t"""
 
-_CLASS = """, p0 AS (SELECT read_id, seq, length(seq) AS n, -10 * log10(list_avg(list_transform(ph, lambda x: pow(10, -x / 10.0)))) AS q, left(seq, 60) AS fr, reverse(right(seq, 80)) AS ba FROM f),
+_SEQ_JOINED = _SEQ.replace("FROM e)", """FROM (SELECT * REPLACE (concat(seq, CASE WHEN substr(md5(read_id), 1, 1) < '8' THEN seq ELSE reverse(translate(seq, 'ACGT', 'TGCA')) END) AS seq,
+    concat(qual, CASE WHEN substr(md5(read_id), 1, 1) < '8' THEN qual ELSE reverse(qual) END) AS qual) FROM e))""")
+_AT = lambda sub: f"list_filter(range(0, n - 5), lambda i: substr(seq, i + 1, 6) = '{sub}')"
+_CLASS = """, p0 AS (SELECT row_number() OVER () AS rid, read_id, seq, length(seq) AS n, -10 * log10(list_avg(list_transform(ph, lambda x: pow(10, -x / 10.0)))) AS q, left(seq, 60) AS fr, reverse(right(seq, 80)) AS ba FROM f),
 p1 AS (SELECT *, contains(fr, 'CCTTCC') AS t, contains(fr, 'GGTAGC') AS r, contains(ba, 'GGAAGG') AS tc, contains(ba, 'CCATCG') AS rc,
     length(fr) - instr(reverse(fr), 'CCTTCC') + 1 AS te, length(fr) - instr(reverse(fr), 'CGATGG') + 1 AS re, length(ba) - instr(reverse(ba), 'GGAAGG') + 1 AS tce, length(ba) - instr(reverse(ba), 'GCTACC') + 1 AS rce,
     nullif(instr(ba, repeat('A', 10)), 0) - 1 AS a, nullif(instr(fr, repeat('T', 10)), 0) - 1 AS tt FROM p0),
@@ -373,14 +423,39 @@ p3 AS (SELECT *, CASE WHEN n < 100 THEN 16 WHEN q < 1 THEN 17 WHEN t AND rc AND
     WHEN t AND NOT rc AND NOT tc AND NOT r THEN 9 WHEN r AND NOT tc AND NOT rc AND NOT t THEN 10 WHEN tc AND NOT r AND NOT t AND NOT rc THEN 11 WHEN rc AND NOT t AND NOT r AND NOT tc THEN 12 ELSE 15 END AS c FROM p2),
 p4 AS (SELECT *, CASE WHEN c IN (0, 2, 7, 13, 9) THEN te WHEN c IN (1, 8, 14, 10) THEN re WHEN c IN (4, 3, 6) THEN tt ELSE 0 END AS s,
     CASE WHEN c IN (0, 7, 14, 12) THEN rce WHEN c IN (1, 3, 8, 13, 11) THEN tce WHEN c IN (4, 2, 5) THEN a ELSE 0 END AS e FROM p3),
-cl AS (SELECT read_id, CAST(CASE WHEN n > s + e OR c > 15 THEN c ELSE 15 END AS INTEGER) AS class, CASE WHEN n > s + e THEN CASE WHEN c IN (1, 3) THEN reverse(translate(substr(seq, s + 1, n - s - e), 'ACGT', 'TGCA'))
+c0 AS (SELECT rid, read_id, CAST(CASE WHEN n > s + e OR c > 15 THEN c ELSE 15 END AS INTEGER) AS class, CASE WHEN n > s + e THEN CASE WHEN c IN (1, 3) THEN reverse(translate(substr(seq, s + 1, n - s - e), 'ACGT', 'TGCA'))
     ELSE substr(seq, s + 1, n - s - e) END ELSE seq END AS seq, CAST(CASE WHEN n > s + e THEN s ELSE 0 END AS INTEGER) AS cut_start, CAST(CASE WHEN n > s + e THEN e ELSE 0 END AS INTEGER) AS cut_end FROM p4),
+hits AS (SELECT rid, n, 0 AS id, unnest(""" + _AT("CCTTCC") + """) + 5 AS place FROM p3 WHERE c < 16 UNION ALL SELECT rid, n, 1, unnest(""" + _AT("GGTAGC") + """) + 5 FROM p3 WHERE c < 16
+    UNION ALL SELECT rid, n, 2, unnest(""" + _AT("GCTACC") + """) FROM p3 WHERE c < 16 UNION ALL SELECT rid, n, 3, unnest(""" + _AT("GGAAGG") + """) FROM p3 WHERE c < 16),
+parted AS (SELECT *, sum(fresh) OVER (PARTITION BY rid ORDER BY place, id ROWS UNBOUNDED PRECEDING) AS cno FROM
+    (SELECT *, CASE WHEN place - lag(place) OVER (PARTITION BY rid ORDER BY place, id) <= 5 THEN 0 ELSE 1 END AS fresh FROM hits)),
+clu AS (SELECT rid, n, cno, min(place) AS lo, max(place) AS hi, max(place) FILTER (id = 0) AS t, max(place) FILTER (id = 1) AS r, max(place) FILTER (id = 2) AS rc, max(place) FILTER (id = 3) AS tc FROM parted GROUP BY ALL),
+jr AS (SELECT rid FROM clu GROUP BY rid, n HAVING count(*) > 2 OR (count(*) = 2 AND min(lo) >= 60 AND max(hi) + 80 < n)),
+nb AS (SELECT x.*, p0.read_id, seq, nullif(instr(substr(seq, r + 2, 45), repeat('T', 10)), 0) - 1 AS tt,
+    nullif(instr(reverse(substr(seq, greatest(rc2 - 45, 0) + 1, rc2 - greatest(rc2 - 45, 0))), repeat('A', 10)), 0) - 1 AS aa FROM
+    (SELECT rid, n, cno, t, r, lead(rc) OVER w AS rc2, lead(tc) OVER w AS tc2 FROM clu WINDOW w AS (PARTITION BY rid ORDER BY cno)) AS x JOIN jr USING (rid) JOIN p0 USING (rid)),
+pc AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY cno) AS no FROM (SELECT *, CASE WHEN k = 19 THEN t + 1 ELSE r + tt + 1 END AS ps, CASE WHEN k = 19 THEN rc2 - aa ELSE tc2 END AS pe FROM
+    (SELECT *, CASE WHEN tt IS NOT NULL AND aa IS NOT NULL THEN NULL WHEN t IS NOT NULL AND rc2 IS NOT NULL THEN 19 WHEN r IS NOT NULL AND tc2 IS NOT NULL THEN 20 END AS k FROM nb)) WHERE k IS NOT NULL AND ps < pe AND pe <= n),
+cl AS (SELECT read_id, class, seq, cut_start, cut_end FROM c0 WHERE rid NOT IN (SELECT rid FROM jr)
+    UNION ALL SELECT read_id || '_rescued_No' || no || CASE k WHEN 19 THEN '_strand_plus' ELSE '_strand_minus' END, k, CASE k WHEN 19 THEN substr(seq, ps + 1, pe - ps)
+        ELSE reverse(translate(substr(seq, ps + 1, pe - ps), 'ACGT', 'TGCA')) END, CAST(ps AS INTEGER), CAST(n - pe AS INTEGER) FROM pc
+    UNION ALL SELECT read_id, 18, seq, 0, 0 FROM p0 JOIN jr USING (rid) WHERE rid NOT IN (SELECT rid FROM pc)),
 nm(class, name) AS (VALUES """ + ", ".join(f"({k}, '{v.replace(chr(39), chr(39) * 2)}')" for k, v in K.CLASSES.items()) + ")"  # noqa: E501
 
 ORACLES = {
     "classify_reads": _SEQ + _CLASS + " SELECT read_id, class, name, seq, cut_start, cut_end FROM cl JOIN nm USING (class)",
     "class_statistics": _SEQ + _CLASS + """ SELECT nm.class, name, count(read_id) AS n, CAST(coalesce(sum(length(seq)), 0) AS BIGINT) AS bases,
         round(CAST(100.0 * count(read_id) / (SELECT count(*) FROM cl) AS DOUBLE), 6) AS percent FROM nm LEFT JOIN cl ON nm.class = cl.class GROUP BY nm.class, name""",
+    "joined_reads": _SEQ_JOINED + _CLASS + " SELECT read_id, class, name, seq, cut_start, cut_end FROM cl JOIN nm USING (class)",
+    "joined_summary": _SEQ_JOINED + _CLASS + """, u AS (SELECT count(*) FILTER (class NOT IN (19, 20)) + count(DISTINCT CASE WHEN class IN (19, 20) THEN regexp_replace(read_id, '_rescued_No[0-9]+_strand_.*', '') END) AS total,
+        count(*) FILTER (class = 16) AS sh, count(*) FILTER (class = 17) AS lo, count(*) FILTER (class <= 3) AS fu, count(*) FILTER (class = 19) AS pl, count(*) FILTER (class = 20) AS mi, count(*) FILTER (class = 18) AS ls,
+        count(DISTINCT CASE WHEN class IN (19, 20) THEN regexp_replace(read_id, '_rescued_No[0-9]+_strand_.*', '') END) AS re FROM cl)
+        SELECT unnest(['Total', 'Length-filtered', 'QC-filtered', 'Full-length+rescued', 'Chimeric', 'Non-chimeric', 'Full-length', 'Chimeric reads rescued', 'Rescued strand:+', 'Rescued strand:-', 'Irrescuable']) AS type,
+        unnest([total, sh, lo, fu + pl + mi, ls + re, total - sh - lo - ls - re, fu, re, pl, mi, ls]) AS n,
+        unnest(list_transform(list_zip([total, sh, lo, fu + pl + mi, ls + re, total - sh - lo - ls - re, fu, re, pl, mi, ls],
+            [total, total, total, total, total, total, total, ls + re, pl + mi + ls, pl + mi + ls, pl + mi + ls]), lambda x: round(CAST(coalesce(100.0 * x[1] / nullif(x[2], 0), 0) AS DOUBLE), 6))) AS percent FROM u""",
+    "fan_out": _SEQ_JOINED + _CLASS + """ SELECT b AS bucket, count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bases FROM (SELECT seq, unnest(CASE WHEN class <= 3 THEN ['full-length', 'full-length-plus-rescued']
+        WHEN class <= 12 THEN ['non-full-length'] WHEN class IN (13, 14, 15, 18) THEN ['discarded'] WHEN class < 18 THEN ['failed-filter'] ELSE ['rescued', 'full-length-plus-rescued'] END) AS b FROM cl) GROUP BY b""",
     "extract_5p": _SEQ + _X5 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x5",
     "extract_3p": _SEQ + _X3 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x3",
     "trim_bounds": _SEQ + _X5 + _X3 + _TRIM,
@@ -414,7 +489,7 @@ ORACLES = {
     "read_to_cell": _CELL_SQL + f""", ab AS (SELECT d.node, cell_id FROM {_DOMINANCE('pruned')} AS d JOIN cells ON d.partner = cells.barcode WHERE dominance >= 0.8),
         x AS (SELECT r.read_id, r.bc5n, r.bc3n, coalesce(a.cell_id, b.cell_id, CASE WHEN bc5n IS NOT NULL AND bc3n IS NOT NULL THEN
             CASE WHEN c.cell_id IS NULL OR d.cell_id IS NULL OR c.cell_id = d.cell_id THEN coalesce(c.cell_id, d.cell_id) END ELSE coalesce(c.cell_id, d.cell_id) END) AS cell_id
-            FROM r LEFT JOIN cells AS a ON r.bc5n = a.barcode LEFT JOIN cells AS b ON r.bc3n = b.barcode LEFT JOIN ab AS c ON r.bc5n = c.node LEFT JOIN ab AS d ON r.bc3n = d.node)
+            FROM (SELECT * FROM r WHERE bc5n IS NULL OR bc3n IS NULL OR EXISTS (SELECT 1 FROM pruned WHERE u = least(bc5n, bc3n) AND v = greatest(bc5n, bc3n))) AS r LEFT JOIN cells AS a ON r.bc5n = a.barcode LEFT JOIN cells AS b ON r.bc3n = b.barcode LEFT JOIN ab AS c ON r.bc5n = c.node LEFT JOIN ab AS d ON r.bc3n = d.node)
         SELECT * FROM x WHERE cell_id IN (SELECT cell_id FROM x WHERE cell_id IS NOT NULL GROUP BY cell_id HAVING count(*) >= 3)""",
     "read_len_hist": _ONCE + """, t AS (SELECT sample_name, greatest(quantile_cont(l / 1000, 0.995), 0.5) AS top FROM ol GROUP BY sample_name),
         b AS (SELECT sample_name, CAST(least(floor(least(l / 1000, top) / (top / 80)), 79) AS INTEGER) AS bin, count(*) AS n FROM ol JOIN t USING (sample_name) GROUP BY ALL),

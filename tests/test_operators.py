@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import barcodes as B
@@ -9,7 +10,7 @@ from cellweave.operators import intervals as I
 from cellweave.operators import molecules as M
 from cellweave.operators import pairs as P
 from cellweave.operators import readqc as R
-from cellweave.operators.umi import collapse_umis
+from cellweave.operators.umi import collapse_umis, tile_edges, variant_edges
 
 
 def _distance(a, b):
@@ -146,17 +147,39 @@ def _collapse(counts):
     return taken
 
 
-def test_collapse_umis(spark):
+def _umi_groups():
     rng = random.Random(8)
     groups = {}
-    for g in ("same", "mixed"):
+    for g in ("same", "mixed", None):
         base = ["".join(rng.choice("ACGT") for _ in range(12 if g == "same" else rng.choice([2, 11, 12]))) for _ in range(8)]
-        near = ["".join(rng.choice("ACGT") if rng.random() < 0.15 else c for c in rng.choice(base)) for _ in range(60)]
+        near = ["".join(rng.choice("ACGT") if rng.random() < 0.15 else c for c in rng.choice(base)) for _ in range(60 if g else 5)]
         groups[g] = {u: rng.choice([1, 1, 1, 2, 3, 9, 30]) for u in base + near}
-    rows = [(g, u, n) for g, c in groups.items() for u, n in c.items()]
-    out = collapse_umis(spark.createDataFrame(rows, "g string, umi string, n long"), ["g"]).collect()
+    groups["one"] = {"ACGT": 3}
+    groups["long"] = {"A" * 200: 4, "A" * 199 + "C": 1, "": 2, "AC": 1}
+    return groups
+
+
+@pytest.mark.parametrize("whole, dense", [(2000, 10**6), (30, 10**6), (30, 31)])
+def test_collapse_umis(spark, whole, dense):
+    """Groups resolved whole, in tiles of blocks, and by variants agree with the rule as it is read."""
+    groups = _umi_groups()
+    if dense < 100:
+        groups = {g: dict(list(c.items())[:45]) for g, c in groups.items()}
+    rows = [(g, u, n) for g, c in groups.items() for u, n in c.items()] + [("same", None, 9)]
+    df = spark.createDataFrame(rows, "g string, umi string, n long").withColumn("umi_corrected", F.lit("x"))
+    out = collapse_umis(df, ["g"], whole=whole, dense=dense).collect()
     want = {(g, u): s for g, c in groups.items() for u, s in _collapse(c).items()}
-    assert {(r.g, r.umi): r.umi_corrected for r in out} == want
+    assert {(r.g, r.umi): r.umi_corrected for r in out} == want and len(out) == len(want)
+    assert collapse_umis(df.limit(0), ["g"]).count() == 0
+
+
+def test_tiles_and_variants_find_the_same_edges(spark):
+    counts = {u: n for u, n in list(_umi_groups()["mixed"].items())[:50]}
+    df = spark.createDataFrame([("g", u, n) for u, n in counts.items()], "g string, umi string, n long")
+    want = {(a, b) for a in counts for b in counts if a != b and counts[a] >= 2 * counts[b] - 1 and _distance(a, b) <= 3}
+    for edges in (tile_edges(df, ["g"], block=7), tile_edges(df, ["g"], block=100), variant_edges(df, ["g"])):
+        got = [(r.a, r.b) for r in edges.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def _semi(p, t):
