@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellweave.functions.seq import ratio_of
@@ -54,14 +54,27 @@ def pair_support(reads: DataFrame, bc5: str, bc3: str, umi5: str, umi3: str) ->
     )
 
 
-def pair_minimum(support: DataFrame, floor: int = 10, quantile: float = 0.1) -> DataFrame:
-    """pair_min, mode: the larger of the floor and the whole part of the quantile of the support."""
+def pair_minimum(support: DataFrame, floor: int = 10, quantile: float = 0.1, stated: int | None = None) -> DataFrame:
+    """pair_min, mode: the larger of the floor and the whole part of the quantile of the support, or the stated number."""
+    if stated is not None:
+        return support.sparkSession.range(1).select(F.lit(stated).cast("long").alias("pair_min"), F.lit("manual").alias("mode"))
     return support.agg(
         F.greatest(F.lit(floor).cast("long"), F.coalesce(F.percentile("n_reads", F.lit(quantile)).cast("long"), F.lit(0))).alias("pair_min"),
         F.when(F.count("*") == 0, "auto_empty").otherwise("auto_quantile").alias("mode"),
     )
 
 
+def clean_reads(reads: DataFrame, bc5: str, bc3: str, umi5: str, umi3: str, floor: int = 10, quantile: float = 0.1) -> DataFrame:
+    """The reads that the table of clean reads takes over.
+
+    These have a barcode and a UMI at one end at least, and if they have two barcodes, a pair with as many reads as the least
+    support asks; the support is that of all `reads`, before any filter.
+    """
+    both = reads.filter(F.col(bc5).isNotNull() & F.col(bc3).isNotNull())
+    counts = both.groupBy(F.least(bc5, bc3).alias("u"), F.greatest(bc5, bc3).alias("v")).agg(F.count("*").alias("n_reads"))
+    return in_pairs(valid_reads(reads, bc5, bc3, umi5, umi3), bc5, bc3, keep_supported(materialize(counts, "pair-counts").df, floor, quantile))
+
+
 def keep_supported(support: DataFrame, floor: int = 10, quantile: float = 0.1) -> DataFrame:
     least = pair_minimum(support, floor, quantile).select("pair_min")
     return support.crossJoin(F.broadcast(least)).filter("n_reads >= pair_min").drop("pair_min")  # one row
@@ -81,34 +94,46 @@ def top_partner(support: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+#: Star passes between two written tables.
+PASSES = 2
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """One large and one small star over links a > b; distinct links come out."""
+    sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
+    near = links.select(F.explode(sides).alias("_s")).select("_s.*")
+    least = near.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
+    large = near.join(least, "x").filter("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    root = large.groupBy("a").agg(F.min("b").alias("m"))
+    linked = large.join(root, "a").select("b", "m").unionByName(root.select(F.col("a").alias("b"), "m"))
+    return linked.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+
+
+def components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
     """node, component: the smallest node that can be reached, by alternating stars.
 
     A large star links the larger neighbours of a node to its smallest, a small star its smaller
     ones; each pass shortens the trees, until every node hangs on the smallest of its component.
     """
     pairs = edges.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b"))
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    stage = materialize(pairs.filter("a <> b").distinct(), "stars")
-    before = None
+    given = materialize(pairs.distinct(), "links").df
+    links, stage, before = given.filter("a <> b"), None, None
     for _ in range(max_rounds):
-        sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
-        near = stage.df.select(F.explode(sides).alias("_s")).select("_s.*")
-        least = near.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
-        large = near.join(least, "x").filter("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        root = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(root, "a")
-        linked = small.select("b", "m").unionByName(root.select(F.col("a").alias("b"), "m"))
-        after = materialize(linked.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "stars")
-        done = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        size = tuple(after.df.agg(F.count("*"), done).first())
-        stage.drop()
-        stage = after
-        if size == before:
+        for _ in range(PASSES):
+            links = _stars(links)
+        seen = Observation()
+        size = (F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("sum"))
+        after = materialize(links.observe(seen, *size), "stars")
+        if stage:
+            stage.drop()
+        stage, links = after, after.df
+        found = (seen.get["n"], seen.get["sum"])
+        if found == before:
             break
-        before = size
+        before = found
     else:
         raise RuntimeError(f"components still change after {max_rounds} rounds")
+    nodes = given.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = stage.df.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
@@ -120,8 +145,12 @@ def label_edges(support: DataFrame, parts: DataFrame) -> DataFrame:
 
 def component_categories(support: DataFrame, parts: DataFrame) -> DataFrame:
     """component, n_nodes, n_edges, n_self, category by the numbers of nodes and edges."""
+    return _categories(label_edges(support, parts), parts)
+
+
+def _categories(labelled: DataFrame, parts: DataFrame) -> DataFrame:
     nodes = parts.groupBy("component").agg(F.count("*").alias("n_nodes"))
-    edges = label_edges(support, parts).groupBy("component").agg(
+    edges = labelled.groupBy("component").agg(
         F.count("*").alias("n_edges"), F.count_if(F.col("u") == F.col("v")).alias("n_self")
     )
     n, m, own = F.col("n_nodes"), F.col("n_edges"), F.col("n_self")
@@ -191,15 +220,15 @@ def _motif_verdicts(edges: DataFrame, categories: DataFrame) -> DataFrame:
 
 def prune_edges(support: DataFrame, parts: DataFrame, both_ends: bool = False, alpha_reads: float = 0.1, alpha_umis: float = 0.3) -> DataFrame:
     """u, v, n_reads, n_umis, kept_by: the edges that stay, by the shape of their component or by their ends."""
-    categories = component_categories(support, parts)
-    edges = label_edges(support, parts)
+    labelled = materialize(label_edges(support, parts), "labelled").df  # three steps read it
+    categories, edges = _categories(labelled, parts), labelled
     tops = _ends(support).groupBy("node").agg(F.max("n_reads").alias("top_reads"), F.max("n_umis").alias("top_umis"))
     passes = {}
     for end in ("u", "v"):
         edges = edges.join(tops.select(F.col("node").alias(end), F.col("top_reads").alias(f"{end}_reads"), F.col("top_umis").alias(f"{end}_umis")), end)
         passes[end] = endpoint_passes(F.col("n_reads"), F.col("n_umis"), F.col(f"{end}_reads"), F.col(f"{end}_umis"), alpha_reads, alpha_umis)
     by_ends = (passes["u"] & passes["v"]) if both_ends else (passes["u"] | passes["v"])
-    verdicts = _motif_verdicts(label_edges(support, parts), categories)
+    verdicts = _motif_verdicts(labelled, categories)
     kept = F.when(F.coalesce("motif_ok", F.lit(False)), "motif").when((F.col("u") == F.col("v")) | by_ends, "ends")
     return edges.join(verdicts, "component", "left").withColumn("kept_by", kept).filter("kept_by IS NOT NULL").select(
         "u", "v", "n_reads", "n_umis", "kept_by"

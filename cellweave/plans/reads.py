@@ -12,6 +12,7 @@ from cellweave.operators import classify as K
 from cellweave.operators import pairs as P
 from cellweave.operators import readqc as R
 from cellweave.plans.common import sql_clean, table
+from cellweave.session import materialize
 
 _FLOOR = 2  # pairs of these tables have few reads
 
@@ -192,8 +193,6 @@ def _support(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supported pairs, written once because several steps read them."""
-    from cellweave.session import materialize
-
     return materialize(P.keep_supported(_support(spark, sf_dir), _FLOOR), "pairs").df
 
 
@@ -219,21 +218,31 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def component_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = _kept(spark, sf_dir)
-    return P.component_categories(kept, P.components(kept))
+    return P.component_categories(kept, _parts(kept))
+
+
+def _parts(pairs: DataFrame) -> DataFrame:
+    """Components, written once because several steps read them."""
+    return materialize(P.components(pairs), "components").df
 
 
 def edge_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = _kept(spark, sf_dir)
-    return P.prune_edges(kept, P.components(kept))
+    return P.prune_edges(kept, _parts(kept))
+
+
+def clean_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that the table of clean reads takes over."""
+    t = table(spark, sf_dir, "readids_umi_bc_clean")
+    rows = t.select("read_id", *(clean_key(c).alias(c) for c in ("bc5n", "bc3n", "putative_umi", "putative_umi_5p"))).distinct()
+    return P.clean_reads(rows, "bc5n", "bc3n", "putative_umi_5p", "putative_umi", _FLOOR)
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cells of barcodes, the strongest partner of each barcode, and the pairs that pruning kept."""
-    from cellweave.session import materialize
-
     kept = _kept(spark, sf_dir)
-    pruned = materialize(P.prune_edges(kept, P.components(kept)).drop("kept_by"), "pruned").df
-    parts = materialize(P.components(pruned), "components").df
+    pruned = materialize(P.prune_edges(kept, _parts(kept)).drop("kept_by"), "pruned").df
+    parts = _parts(pruned)
     return P.number_cells(P.component_categories(pruned, parts), parts), P.top_partner(pruned), pruned
 
 
@@ -321,7 +330,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hq_counts, observed_whitelist, strip_fixed, whitelist_expand, validity_summary, unique_barcodes, fuzzy_correct, extract_3p, extract_5p, trim_bounds,
-        read_gate, mean_quality, classify_reads, class_statistics, joined_reads, joined_summary, classify_edited, fan_out, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, cell_ids, read_to_cell,
+        read_gate, mean_quality, classify_reads, class_statistics, joined_reads, joined_summary, classify_edited, fan_out, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, clean_reads, cell_ids, read_to_cell,
         read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, read_summary, bounded_sample, report_metrics,
     )
 }
@@ -485,6 +494,11 @@ ORACLES = {
     "components": f"WITH RECURSIVE {_READS}, {_REACH('kept', 'part')} SELECT * FROM part",
     "component_category": f"WITH RECURSIVE {_READS}, {_REACH('kept', 'part')}, {_CATEGORY('kept', 'part', 'cat')} SELECT * FROM cat",
     "edge_prune": _PRUNED + " SELECT * FROM pruned",
+    "clean_reads": f"""WITH a AS (SELECT DISTINCT read_id, {sql_clean('bc5n')} AS bc5n, {sql_clean('bc3n')} AS bc3n, {sql_clean('putative_umi')} AS putative_umi, {sql_clean('putative_umi_5p')} AS putative_umi_5p FROM readids_umi_bc_clean),
+        c AS (SELECT *, count(*) OVER (PARTITION BY least(bc5n, bc3n), greatest(bc5n, bc3n)) AS n FROM a WHERE bc5n IS NOT NULL AND bc3n IS NOT NULL),
+        m AS (SELECT greatest({_FLOOR}, CAST(floor(quantile_cont(n, 0.1)) AS BIGINT)) AS least_n FROM (SELECT DISTINCT least(bc5n, bc3n), greatest(bc5n, bc3n), n FROM c))
+        SELECT * EXCLUDE (n, least_n) FROM c, m WHERE n >= least_n AND coalesce(putative_umi, putative_umi_5p) IS NOT NULL
+        UNION ALL SELECT * FROM a WHERE (bc5n IS NULL OR bc3n IS NULL) AND coalesce(bc5n, bc3n) IS NOT NULL AND coalesce(putative_umi, putative_umi_5p) IS NOT NULL""",
     "cell_ids": _CELL_SQL + " SELECT * FROM cells",
     "read_to_cell": _CELL_SQL + f""", ab AS (SELECT d.node, cell_id FROM {_DOMINANCE('pruned')} AS d JOIN cells ON d.partner = cells.barcode WHERE dominance >= 0.8),
         x AS (SELECT r.read_id, r.bc5n, r.bc3n, coalesce(a.cell_id, b.cell_id, CASE WHEN bc5n IS NOT NULL AND bc3n IS NOT NULL THEN
