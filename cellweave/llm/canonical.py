@@ -10,106 +10,31 @@ only the trees of the segments that it contains near their place. Every entry wi
 
 Searches of a batch go through all trees at once, level by level, with the distances worked out by
 bit-parallel recurrences over arrays. The list is broadcast where its size was counted and is under
-a bound, otherwise it is sharded and the winners of the shards are merged.
+a bound, otherwise it is sharded by segments, values go to the shards of the segments they hold, and the winners are merged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellweave.functions.edits import Texts, letters, pair_distances
 from cellweave.session import materialize
 
 #: Entries of a reference list (and of a shard) that one task holds; about 200 bytes each.
 BROADCAST_ENTRIES = 200_000
 #: Values that meet a shard in one task.
 CHUNK_VALUES = 100_000
-_WORD = 63
+#: Entries of a length that its cuts are fitted on where the list is sharded.
+CUT_SAMPLE = 2_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOUND = "value string, entry string, distance int, n_best int"
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points, padded with 0, and lengths."""
-    lengths = np.fromiter((len(t) for t in texts), np.int32, len(texts))
-    width = int(lengths.max()) if len(texts) else 0
-    flat = np.frombuffer("".join(t.ljust(width, "\0") for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return flat.reshape(len(texts), width), lengths
-
-
-def _distance(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
-
-
-@dataclass
-class _Strings:
-    """Texts with what the distance needs: code points, lengths and match masks by letter."""
-
-    texts: list[str]
-    codes: np.ndarray
-    lengths: np.ndarray
-
-    @classmethod
-    def of(cls, texts: list[str]) -> _Strings:
-        return cls(texts, *_codes(texts))
-
-    def masks(self, alphabet: np.ndarray) -> np.ndarray:
-        """For each text and letter (0: any other) the positions that hold it, as bits."""
-        out = np.zeros((len(self.texts), len(alphabet) + 1), np.uint64)
-        letters = _letters(self.codes[:, :_WORD], alphabet)
-        rows = np.arange(len(self.texts))
-        for j in range(letters.shape[1]):
-            np.bitwise_or.at(out, (rows, letters[:, j]), np.uint64(1) << np.uint64(j))
-        out[:, 0] = 0
-        return out
-
-
-def _letters(codes: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(alphabet, codes)
-    at[at == len(alphabet)] = 0
-    return np.where(alphabet[at] == codes, at + 1, 0).astype(np.int16) if len(alphabet) else np.zeros(codes.shape, np.int16)
-
-
-def _distances(left: _Strings, masks: np.ndarray, i: np.ndarray, right: _Strings, letters: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Levenshtein distances of the pairs (left[i], right[j]); `left` gives the bit vectors."""
-    m = left.lengths[i].astype(np.uint64)
-    n = right.lengths[j]
-    out = np.where(m == 0, n, m.astype(np.int32)).astype(np.int32)
-    long = left.lengths[i] > _WORD
-    for x in np.flatnonzero(long):
-        out[x] = _distance(left.texts[i[x]], right.texts[j[x]])
-    one = np.uint64(1)
-    top = np.where(m > 0, one << (np.maximum(m, one) - one), 0).astype(np.uint64)
-    pv = np.full(len(i), ~np.uint64(0))
-    mv = np.zeros(len(i), np.uint64)
-    score = out.copy()
-    live = ~long & (m > 0)
-    for step in range(int(n.max()) if len(n) else 0):
-        eq = masks[i, letters[j, step]]
-        xv = eq | mv
-        xh = (((eq & pv) + pv) ^ pv) | eq
-        ph = mv | ~(xh | pv)
-        mh = pv & xh
-        on = live & (step < n)
-        score += on & ((ph & top) != 0)
-        score -= on & ((mh & top) != 0)
-        ph = (ph << one) | one
-        mh = mh << one
-        pv = mh | ~(xv | ph)
-        mv = ph & xv
-    return np.where(live, score, out)
-
-
 def _cuts(codes: np.ndarray, parts: int) -> list[int]:
     """Where to cut entries of one length, so that equal segments are as rare as can be."""
     sample, length = codes[:: max(1, len(codes) // 2000)], codes.shape[1]
@@ -138,27 +63,56 @@ def _segment_keys(codes: np.ndarray, start: int, end: int, length: int, part: in
     return key
 
 
+def _value_keys(values: Texts, cuts: dict[int, list[int]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of values and the keys of segments that an entry within k edits of them may have."""
+    for size in np.unique(values.lengths):
+        rows = np.flatnonzero(values.lengths == size)
+        own = values.codes[rows, :size]
+        for length, at in cuts.items():
+            gap = int(size) - length
+            if abs(gap) > k:
+                continue
+            for part, (a, b) in enumerate(zip(at, at[1:])):
+                right = k - part
+                low = max(0, a - part, a + gap - right)
+                high = min(int(size) - (b - a), a + part, a + gap + right)
+                if length <= k:
+                    low = high = 0
+                for start in range(low, high + 1):
+                    yield rows, _segment_keys(own, start, start + b - a, length, part)
+
+
+def _within_reach(texts: list[str], lengths: list[int], k: int) -> list[int]:
+    """Numbers of the texts whose length is within k of one of the lengths. The others have no entry within k, and very long ones
+    among them would widen the arrays of all."""
+    near = {n + d for n in lengths for d in range(-k, k + 1)}
+    return [i for i, t in enumerate(texts) if len(t) in near]
+
+
 class Forest:
     """BK-trees over `entries`, one for each segment text, as arrays."""
 
-    def __init__(self, entries: list[str], k: int) -> None:
+    def __init__(self, entries: list[str], k: int, cuts: dict[int, list[int]] | None = None, bucket: tuple[int, int] | None = None) -> None:
+        """`cuts` are those of other entries too, where this is a shard; of `bucket` (number, of how many) only the trees are planted."""
         self.k = k
         entries = sorted(set(entries))
-        self.strings = _Strings.of(entries)
+        self.strings = Texts.of(entries)
         codes, lengths = self.strings.codes, self.strings.lengths
         self.alphabet = np.unique(codes[codes > 0])
-        self.letters = _letters(codes, self.alphabet)
+        self.letters = letters(codes, self.alphabet)
         self.cuts: dict[int, list[int]] = {}
         keys, members = [], []
         for length in np.unique(lengths):
             rows = np.flatnonzero(lengths == length)
             own = codes[rows, :length]
             # Entries too short to be cut stand in one tree, searched by every value near their length.
-            cuts = _cuts(own, k + 1) if length > k else [0, 0]
-            self.cuts[int(length)] = cuts
-            for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                keys.append(_segment_keys(own, a, b, int(length), part))
-                members.append(rows)
+            at = cuts[int(length)] if cuts else _cuts(own, k + 1) if length > k else [0, 0]
+            self.cuts[int(length)] = at
+            for part, (a, b) in enumerate(zip(at, at[1:])):
+                key = _segment_keys(own, a, b, int(length), part)
+                here = key % np.uint64(bucket[1]) == np.uint64(bucket[0]) if bucket else np.ones(len(key), bool)
+                keys.append(key[here])
+                members.append(rows[here])
         self._plant(np.concatenate(keys) if keys else np.zeros(0, np.uint64), np.concatenate(members) if members else np.zeros(0, np.int64))
 
     def _plant(self, keys: np.ndarray, members: np.ndarray) -> None:
@@ -184,7 +138,7 @@ class Forest:
                 first_level = False
             own_root = np.repeat(np.flatnonzero(head), np.diff(np.r_[np.flatnonzero(head), len(group)]))
             rest = ~head
-            apart = _distances(self.strings, masks, members[own_root][rest], self.strings, self.letters, members[rest])
+            apart = pair_distances(self.strings, masks, members[own_root][rest], self.strings, self.letters, members[rest])
             node_at = np.cumsum(head) - 1
             label = nodes[node_at][rest] * np.int64(1 << 20) + apart
             members = members[rest]
@@ -199,43 +153,28 @@ class Forest:
         self.child_from = np.searchsorted(parents_all[children], np.arange(made))
         self.child_to = np.searchsorted(parents_all[children], np.arange(made), side="right")
 
-    def _starts(self, values: _Strings) -> tuple[np.ndarray, np.ndarray]:
+    def _starts(self, values: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The pairs (value, root) that a search begins with."""
-        k, who, roots = self.k, [], []
-        for size in np.unique(values.lengths):
-            rows = np.flatnonzero(values.lengths == size)
-            own = values.codes[rows, :size]
-            for length, cuts in self.cuts.items():
-                gap = int(size) - length
-                if abs(gap) > k:
-                    continue
-                for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    right = k - part
-                    low = max(0, a - part, a + gap - right)
-                    high = min(int(size) - (b - a), a + part, a + gap + right)
-                    if length <= k:
-                        low = high = 0
-                    for start in range(low, high + 1):
-                        keys = _segment_keys(own, start, start + b - a, length, part)
-                        at = np.searchsorted(self.roots, keys)
-                        at[at == len(self.roots)] = 0
-                        hit = self.roots[at] == keys
-                        who.append(rows[hit])
-                        roots.append(self.root_node[at[hit]])
-        if not who:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        who, roots = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for rows, keys in _value_keys(values, self.cuts, self.k) if len(self.roots) else ():
+            at = np.searchsorted(self.roots, keys)
+            at[at == len(self.roots)] = 0
+            hit = self.roots[at] == keys
+            who.append(rows[hit])
+            roots.append(self.root_node[at[hit]])
         return np.concatenate(who), np.concatenate(roots)
 
     def search(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All (value, entry, distance) within k, each pair once; values and entries by number."""
-        values = _Strings.of(texts)
-        if not len(self.strings.texts) or not texts:
+        reach = np.array(_within_reach(texts, list(self.cuts), self.k), np.int64)
+        if not len(reach):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        values = Texts.of([texts[x] for x in reach])
         masks = values.masks(self.alphabet)
         q, node = self._starts(values)
         found = []
         while len(q):
-            d = _distances(values, masks, q, self.strings, self.letters, self.entry[node])
+            d = pair_distances(values, masks, q, self.strings, self.letters, self.entry[node])
             near = d <= self.k
             found.append((q[near], self.entry[node[near]], d[near]))
             spread = self.child_to[node] - self.child_from[node]
@@ -246,7 +185,7 @@ class Forest:
             q, node = q[back[keep]], child[keep]
         who, entry, d = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         pair = np.unique(who * np.int64(max(1, len(self.strings.texts))) + entry, return_index=True)[1]
-        return who[pair], entry[pair], d[pair].astype(np.int32)
+        return reach[who[pair]], entry[pair], d[pair].astype(np.int32)
 
     def nearest(self, texts: list[str]) -> pd.DataFrame:
         """value, entry, distance, n_best: one row for each text that has an entry within k."""
@@ -279,30 +218,79 @@ def _search_broadcast(spark: SparkSession, values: DataFrame, entries: DataFrame
     return values.mapInPandas(run, _FOUND)
 
 
-def _search_shards(values: DataFrame, entries: DataFrame, k: int, shards: int, chunks: int) -> DataFrame:
-    """Every shard of the entries meets every value, in chunks of values; the winners are merged."""
-    left = values.select(
-        "value",
-        F.pmod(F.xxhash64("value"), F.lit(chunks)).alias("chunk"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-    )
-    right = entries.select(
-        "entry",
-        F.pmod(F.xxhash64("entry"), F.lit(shards)).cast("int").alias("shard"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"),
-    )
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return Forest(b["entry"].tolist(), k).nearest(a["value"].tolist())
-
-    winners = left.groupBy("chunk", "shard").cogroup(right.groupBy("chunk", "shard")).applyInPandas(run, _FOUND)
-    least = winners.groupBy("value").agg(F.min("distance").alias("_least"))
-    return (
-        winners.join(least, "value")
-        .filter("distance = _least")
-        .groupBy("value")
-        .agg(F.min("entry").alias("entry"), F.min("distance").alias("distance"), F.sum("n_best").cast("int").alias("n_best"))
-    )
+def _global_cuts(entries: DataFrame, k: int) -> dict[int, list[int]]:
+    """Cuts for each length of entries, fitted on the `CUT_SAMPLE` with the smallest hashes; any cuts find the same entries.
+
+    One row per length comes to the driver, with its sample.
+    """
+    ranked = entries.select("entry", F.length("entry").alias("n"), F.xxhash64("entry").alias("h"))
+    least = Window.partitionBy("n").orderBy("h", "entry")
+    sample = ranked.withColumn("_rn", F.row_number().over(least)).filter(F.col("_rn") <= CUT_SAMPLE)
+    out = {}
+    for n, texts in sample.groupBy("n").agg(F.collect_list("entry")).collect():
+        codes = Texts.of(texts).codes
+        out[n] = _cuts(codes, k + 1) if n > k else [0, 0]
+    return out
+
+
+def _search_shards(values: DataFrame, entries: DataFrame, k: int, n: int, max_entries: int) -> DataFrame:
+    """Entries stand in the shards of their segments' keys, and a value goes to the shards of the keys it holds alone.
+
+    A shard with many entries is split by entry, one with many values by value, so that a hot key doesn't fill a task. An
+    entry may be found in several shards; the winners are merged by their texts.
+    """
+    spark = values.sparkSession
+    cuts = _global_cuts(entries, k)
+    lengths = list(cuts)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * (k + 1) // max_entries))
+
+    def keyed(side: str):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                texts = batch["text"].tolist()
+                reach = _within_reach(texts, lengths, k if side == "value" else 0)
+                own = Texts.of([texts[x] for x in reach])
+                pairs = [np.zeros((0, 2), np.int64)]
+                if side == "value":
+                    found = _value_keys(own, cuts, k)
+                else:
+                    found = (
+                        (rows, _segment_keys(own.codes[rows, :length], a, b, int(length), part))
+                        for length in np.unique(own.lengths)
+                        for rows in [np.flatnonzero(own.lengths == length)]
+                        for part, (a, b) in enumerate(zip(cuts[int(length)], cuts[int(length)][1:]))
+                    )
+                for rows, keys in found:
+                    pairs.append(np.stack([rows, (keys % np.uint64(buckets)).astype(np.int64)], axis=1))
+                each = np.unique(np.concatenate(pairs), axis=0)
+                yield pd.DataFrame({"text": pd.Series([texts[reach[x]] for x in each[:, 0]], dtype=object), "bucket": each[:, 1]})
+
+        return run
+
+    def placed(df: DataFrame, column: str, room: int) -> DataFrame:
+        rows = materialize(df.select(F.col(column).alias("text")).mapInPandas(keyed(column), "text string, bucket long"), "shards").df
+        sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / room).cast("int").alias("splits"))  # one row for each bucket
+        return rows.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("text"), F.col("splits")).cast("int"))
+
+    left, right = placed(values, "value", CHUNK_VALUES), placed(entries, "entry", max_entries)
+    counts = [x.groupBy("bucket").agg(F.max("splits").alias(c)) for x, c in ((left, "_chunks"), (right, "_shards"))]
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    asked = left.join(counts[1], "bucket").select("bucket", F.col("own").alias("chunk"), every("_shards").alias("shard"), "text")
+    known = right.join(counts[0], "bucket").select("bucket", every("_chunks").alias("chunk"), F.col("own").alias("shard"), "text")
+
+    def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        forest = Forest(b["text"].tolist(), k, cuts, (int(key[0]), buckets))
+        texts = a["text"].tolist()
+        who, entry, d = forest.search(texts)
+        columns = {"value": [texts[x] for x in who], "entry": [forest.strings.texts[x] for x in entry]}
+        found = pd.DataFrame({c: pd.Series(x, dtype=object) for c, x in columns.items()} | {"distance": d.astype(np.int32)})
+        return found[found["distance"] == found.groupby("value")["distance"].transform("min")]
+
+    at = ["bucket", "chunk", "shard"]
+    winners = asked.groupBy(*at).cogroup(known.groupBy(*at)).applyInPandas(run, "value string, entry string, distance int").distinct()
+    by_distance = winners.groupBy("value", "distance").agg(F.min("entry").alias("entry"), F.count("*").cast("int").alias("n_best"))
+    best = by_distance.groupBy("value").agg(F.min(F.struct("distance", "entry", "n_best")).alias("_b"))
+    return best.select("value", "_b.entry", "_b.distance", "_b.n_best")
 
 
 def nearest_entries(
@@ -327,6 +315,4 @@ def nearest_entries(
     n = entries.count()
     if n <= max_entries:
         return _search_broadcast(spark, asked, entries, k)
-    written = materialize(asked, "values").df
-    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-written.count() // CHUNK_VALUES))
-    return _search_shards(written, entries, k, -(-n // max_entries), chunks)
+    return _search_shards(asked, entries, k, n, max_entries)

@@ -145,7 +145,7 @@ def leaks(
             split = {t: words(t) for t in {*batch["doc_text"], *batch["item_text"]}}
             runs = [longest_runs(split[d], split[t], g) for d, t, g in zip(batch["doc_text"], batch["item_text"], batch["gaps"])]
             found = pd.DataFrame(runs, columns=["shared_words", "doc_word"])
-            found = pd.concat([batch[["doc", "item"]].reset_index(drop=True), found], axis=1)
+            found = pd.concat([batch[["doc", "item"]].astype(object).reset_index(drop=True), found], axis=1)
             yield found[found["shared_words"] >= min_words]
 
     kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("doc", "item"))

@@ -28,6 +28,8 @@ def test_leaks_without_a_broadcast_and_with_repeats(spark, monkeypatch):
         monkeypatch.setattr(leakage, "BROADCAST_FINGERPRINTS", bound)
         outs.append(sorted(map(tuple, leakage.leaks(docs, "id", "t", items, "no", "t").collect())))
     assert outs[0] == outs[1] == [(1, 7, 200, 1), (2, 8, 60, 0)]
+    named = leakage.leaks(docs.selectExpr("concat('d', id) AS id", "t"), "id", "t", items, "no", "t")
+    assert sorted((r.doc, r.item) for r in named.collect()) == [("d1", 7), ("d2", 8)]
 
 
 def test_summaries_of_many_partitions_merge_in_a_tree(spark, monkeypatch):
