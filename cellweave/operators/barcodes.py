@@ -123,6 +123,24 @@ def trim_bounds(end3: Column, end5: Column, length: Column, valid3: Column, vali
     return F.when((start < end) & (end <= length), F.struct(start.alias("start"), end.alias("end")))
 
 
+def trimmed_reads(clean: DataFrame, reads: DataFrame, seq: str, qual: str, bounds: str) -> DataFrame:
+    """read_id, seq, qual, fell_back: the cDNA of the clean reads; a read whose bounds are NULL keeps its whole sequence.
+
+    `reads` has read_id, the sequence, its qualities and the STRUCT of `trim_bounds`. A clean read that isn't among them is an error.
+    """
+    found = F.col("_b.start").isNotNull()
+    rows = clean.select("read_id").join(reads.select("read_id", F.col(seq).alias("_s"), F.col(qual).alias("_q"), F.col(bounds).alias("_b")), "read_id", "left")
+    missing = F.raise_error(F.concat(F.lit("a clean read has no sequence: "), F.col("read_id")))
+    cut = lambda c: F.when(found, F.substring(F.col(c), F.col("_b.start") + 1, F.col("_b.end") - F.col("_b.start"))).otherwise(F.col(c))
+    return rows.select("read_id", F.coalesce(cut("_s"), missing).alias("seq"), cut("_q").alias("qual"), (~found).alias("fell_back"))
+
+
+def known_barcodes(rows: DataFrame, barcode: str, quality: str, min_quality: int = 2) -> DataFrame:
+    """barcode: the distinct ones, but for rows whose quality is known to be too low; blank barcodes left out."""
+    low = F.coalesce(F.col(quality) < min_quality, F.lit(False))
+    return rows.filter(~low & (F.trim(F.col(barcode)) != "")).select(F.col(barcode).alias("barcode")).distinct()
+
+
 def strip_middle(barcode: Column, middle: str) -> Column:
     """The 20 outer bases of a barcode of 26 with the fixed middle, otherwise an empty string."""
     fits = (F.length(barcode) == 26) & (F.substring(barcode, 11, 6) == middle)
@@ -152,9 +170,9 @@ def expand_whitelist(tens: DataFrame, column: str, middle: str, reverse: bool =
 
 
 def high_quality_counts(rows: DataFrame, barcode: str, quality: str, min_quality: int = 2) -> DataFrame:
-    """barcode, n_reads of the rows whose quality is known and high enough; blank barcodes left out."""
+    """barcode, n_reads of the rows whose quality is known and high enough, most reads first; blank barcodes left out."""
     keep = F.col(quality).isNotNull() & (F.col(quality) >= min_quality) & (F.trim(F.col(barcode)) != "")
-    return rows.filter(keep).groupBy(F.col(barcode).alias("barcode")).agg(F.count("*").alias("n_reads"))
+    return rows.filter(keep).groupBy(F.col(barcode).alias("barcode")).agg(F.count("*").alias("n_reads")).orderBy(F.desc("n_reads"), "barcode")
 
 
 def observed_whitelist(counts: DataFrame, full: DataFrame, expected_cells: int = 5000) -> DataFrame:
@@ -162,7 +180,7 @@ def observed_whitelist(counts: DataFrame, full: DataFrame, expected_cells: int =
     known = counts.join(full.select("barcode").distinct(), "barcode", "left_semi")
     top = known.orderBy(F.desc("n_reads"), "barcode").limit(expected_cells)
     cut = top.agg((F.percentile("n_reads", F.lit(0.95)) / 20).alias("cut"))
-    return known.crossJoin(F.broadcast(cut)).filter("n_reads > cut").drop("cut")  # one row
+    return known.crossJoin(F.broadcast(cut)).filter("n_reads > cut").drop("cut").orderBy("barcode")  # one row
 
 
 def validity_summary(rows: DataFrame, bc3: str, bc5: str) -> DataFrame:

@@ -132,3 +132,36 @@ def region_name(chrom: Column, first: Column, last: Column, interval: int = 1000
     low = F.floor(middle / interval) * interval
     high = F.ceil(middle / interval) * interval
     return F.concat_ws("_", chrom, low.cast("string"), high.cast("string"))
+
+
+def bed_records(alignments: DataFrame) -> DataFrame:
+    """chrom, start, end, name, score, strand of the mapped records (flag bit 4 unset, a chrom and a start that isn't negative).
+
+    `alignments` has read_id, flag, chrom, start, cigar and mapq. First and last reads of a pair (bits 64 and 128) get /1 and /2.
+    """
+    bit = lambda b: F.col("flag").bitwiseAND(b) != 0
+    ends = F.concat(F.when(bit(64), "/1").otherwise(""), F.when(bit(128), "/2").otherwise(""))
+    return alignments.filter(~bit(4) & F.col("chrom").isNotNull() & (F.col("start") >= 0)).select(
+        "chrom", "start", (F.col("start") + reference_length(F.col("cigar"))).alias("end"), F.concat(F.col("read_id").cast("string"), ends).alias("name"),
+        F.col("mapq").alias("score"), F.when(bit(16), "-").otherwise("+").alias("strand"),
+    )
+
+
+def tag_and_assign(alignments: DataFrame, tags: DataFrame, genes: DataFrame, mapq: int = 30, keep_untagged: bool = False, width: int = 100_000) -> DataFrame:
+    """read_id, barcode, umi, status, score, gene: tags and genes of mapped records in one plan.
+
+    `tags` has read_id, barcode and umi; of several rows of a read the smallest counts. Records without tags are left out
+    unless `keep_untagged`. Each record is assigned by itself.
+    """
+    first = tags.groupBy("read_id").agg(F.min(F.struct("barcode", "umi")).alias("_t")).select("read_id", "_t.*")
+    tagged = alignments.join(first, "read_id", "left" if keep_untagged else "inner")
+    mapped = tagged.filter((F.col("flag").bitwiseAND(4) == 0) & F.col("chrom").isNotNull() & (F.col("start") >= 0)).select(
+        F.struct("read_id", "flag", "chrom", "start", "cigar", "mapq").alias("_record"), "barcode", "umi"
+    ).distinct()
+    records = mapped.select(
+        F.col("_record").alias("read_id"), F.col("_record.chrom").alias("chrom"), F.col("_record.start").alias("start"),
+        (F.col("_record.start") + reference_length(F.col("_record.cigar"))).alias("end"),
+        F.when(F.col("_record.flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), F.col("_record.mapq").alias("score"),
+    )
+    found = assign_genes(records, genes, mapq, width)
+    return found.join(mapped.withColumnRenamed("_record", "read_id"), "read_id").select(F.col("read_id.read_id").alias("read_id"), "barcode", "umi", "status", "score", "gene")

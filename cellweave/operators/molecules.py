@@ -8,8 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.functions.text import clean_key
+from cellweave.functions.text import clean_key, parse_number, whole_number
+from cellweave.operators.metrics import wide_quantiles
 from cellweave.operators.prefix import running_sum
+from cellweave.session import materialize
 
 
 def molecules(df: DataFrame) -> DataFrame:
@@ -42,6 +44,56 @@ def gene_matrix(rows: DataFrame) -> DataFrame:
     return count_matrix(rows.filter(~is_placeholder(F.col("gene"))), "gene")
 
 
+def matrix_cells(rows: DataFrame) -> DataFrame:
+    """barcode, n_features, n: every cell of the input, those that hold placeholders alone with 0, as the columns of a matrix."""
+    counted = gene_matrix(rows).groupBy("barcode").agg(F.count("*").alias("_f"), F.sum("n").alias("_n"))
+    return rows.select("barcode").distinct().join(counted, "barcode", "left").select(
+        "barcode", F.coalesce("_f", F.lit(0)).alias("n_features"), F.coalesce("_n", F.lit(0)).alias("n")
+    )
+
+
+#: Largest count of a cell and largest total, as the formats that hold them can take.
+MAX_COUNT, MAX_TOTAL = 2**32 - 1, 2**64 - 1
+
+
+def checked_totals(matrix: DataFrame, feature: str, n: str = "n", max_count: int = MAX_COUNT, max_total: int = MAX_TOTAL) -> DataFrame:
+    """`feature`, total DECIMAL(38, 0) of counts given as text or number; a count that is no whole number or too large, or a total
+    too large, raises an error. NULL is no count."""
+    count = whole_number(F.col(n).cast("string"))
+    wrong = F.raise_error(F.concat(F.lit("not a count: "), F.coalesce(F.col(n).cast("string"), F.lit("NULL"))))
+    checked = F.when(count.isNull() | (count > F.lit(max_count).cast("decimal(38,0)")), wrong).otherwise(count)
+    totals = matrix.select(feature, checked.alias("_n")).groupBy(feature).agg(F.sum("_n").cast("decimal(38,0)").alias("total"))
+    over = F.raise_error(F.concat(F.lit("a total is too large: "), F.col("total").cast("string")))
+    return totals.select(feature, F.when(F.col("total") > F.lit(str(max_total)).cast("decimal(38,0)"), over).otherwise(F.col("total")).alias("total"))
+
+
+def needs_fallback(matrix: DataFrame, feature: str = "gene") -> DataFrame:
+    """One row, `fallback`: whether the cells with counts are too few or too alike to be clustered."""
+    counts = matrix.filter("n > 0")
+    sizes = counts.agg(F.countDistinct("barcode").alias("_c"), F.countDistinct(feature).alias("_f"))
+    return sizes.crossJoin(F.broadcast(identical_profiles(counts, feature))).select(  # one row
+        ((F.col("_c") < 4) | (F.col("_f") < 2) | F.col("identical")).alias("fallback")
+    )
+
+
+def fallback_layout(cells: DataFrame) -> DataFrame:
+    """barcode, x, y, label, status, n of cells (barcode, n) that aren't clustered: a centred line in the order of their names.
+
+    Cells without counts stand in a line of their own one below, unassigned. Places come from running counts, so that no task
+    holds all cells.
+    """
+    rows = cells.select("barcode", "n", (F.col("n") > 0).alias("_some"), F.lit(1).cast("long").alias("_one"))
+    numbered, written = running_sum(rows, ["_some"], ["barcode"], {"_no": "_one"}, name="layout")
+    sizes = written.df.groupBy(F.col("_some").alias("_kind")).agg(F.count("*").alias("_size"))  # two rows
+    some = written.df.agg(F.coalesce(F.max("_some"), F.lit(False)).alias("_any"))  # one row
+    x = F.col("_no") - 1 - (F.col("_size") - 1) / F.lit(2.0)
+    y = F.when(F.col("_some") | ~F.col("_any"), 0.0).otherwise(-1.0)
+    label = lambda a, b: F.when(F.col("_some"), a).otherwise(b)
+    return numbered.join(F.broadcast(sizes), F.col("_some") == F.col("_kind")).crossJoin(F.broadcast(some)).select(
+        "barcode", x.alias("x"), y.alias("y"), label("0", "unassigned").alias("label"), label("fallback", "unassigned").alias("status"), "n"
+    )
+
+
 def pivot_matrix(matrix: DataFrame, feature: str, cells: Sequence[str]) -> DataFrame:
     """One row per feature and one column per listed cell, absent counts 0. For export of a bounded list of cells."""
     return matrix.groupBy(feature).pivot("barcode", list(cells)).agg(F.sum("n")).na.fill(0).orderBy(feature)
@@ -163,7 +215,63 @@ def species_cells(rows: DataFrame, singlet: float = 0.9) -> DataFrame:
 
 def drop_ambient(cells: DataFrame, least: int = 1000) -> DataFrame:
     """Cells with at least so many molecules of one species; all of them where the limit isn't positive."""
-    return cells if least <= 0 else cells.filter((F.col("umi_human") >= least) | (F.col("umi_mouse") >= least))
+    return cells if least <= 0 else cells.filter(~_ambient(least))
+
+
+def ambient_cells(cells: DataFrame, least: int = 1000) -> DataFrame:
+    """The cells that `drop_ambient` removes."""
+    return cells.filter(_ambient(least) if least > 0 else F.lit(False))
+
+
+def _ambient(least: int) -> Column:
+    return (F.col("umi_human") < least) & (F.col("umi_mouse") < least)
+
+
+def filter_stats(cells: DataFrame, kept: Column) -> DataFrame:
+    """One row: cells before and after a filter, and removed by it."""
+    return cells.agg(F.count("*").alias("cells_before"), F.count_if(kept).alias("cells_after"), F.count_if(~kept).alias("cells_removed"))
+
+
+def least_molecules(cells: DataFrame, least: int) -> DataFrame:
+    """Cells with at least so many molecules over all species."""
+    return cells.filter(F.col("umi_total") >= least)
+
+
+def whole_numbers(listed: str | None) -> list[int] | None:
+    """The different numbers of a comma list, sorted; None if it names none. Others than whole numbers from 1 on are errors."""
+    parts = [p.strip() for p in (listed or "").split(",") if p.strip()]
+    if any(not p.lstrip("+").isdigit() or int(p) < 1 for p in parts):
+        raise ValueError(f"not a list of whole numbers from 1 on: {listed!r}")
+    return sorted({int(p) for p in parts}) or None
+
+
+def with_barcode_count(cells: DataFrame, listed: str | None) -> DataFrame:
+    """Cells whose `n_barcodes` is one of a comma list; all of them without a list."""
+    values = whole_numbers(listed)
+    if values and "n_barcodes" not in cells.columns:
+        raise ValueError("cells have no n_barcodes: attach their metadata first")
+    return cells.filter(F.col("n_barcodes").isin(values)) if values else cells
+
+
+def attach_metadata(cells: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Cells with core_type and n_barcodes of the metadata (cell_id, type, and n_barcodes or barcodes joined by |).
+
+    A cell that comes twice in `cells` is an error; of several rows of a cell in the metadata the smallest counts. A number of barcodes that
+    is none is 0; a cell without metadata has NULLs.
+    """
+    listed = F.filter(F.split(F.coalesce("barcodes", F.lit("")), r"\|"), lambda b: F.trim(b) != "") if "barcodes" in metadata.columns else None
+    count = F.coalesce(parse_number(F.col("n_barcodes").cast("string")), F.lit(0.0)).cast("int") if "n_barcodes" in metadata.columns else F.lit(None).cast("int") if listed is None else F.size(listed)
+    kind = F.coalesce(F.col("type").cast("string"), F.lit("")) if "type" in metadata.columns else F.lit(None).cast("string")
+    one = metadata.groupBy("cell_id").agg(F.min(F.struct(kind.alias("core_type"), count.alias("n_barcodes"))).alias("_m")).select("cell_id", "_m.*")
+    twice = cells.groupBy("cell_id").agg(F.count("*").alias("_times"))
+    checked = F.when(F.col("_times") > 1, F.raise_error(F.concat(F.lit("a cell comes twice: "), F.col("cell_id")))).otherwise(F.col("cell_id"))
+    rest = [c for c in cells.columns if c not in ("cell_id", "core_type", "n_barcodes")]
+    return cells.join(twice, "cell_id").join(one, "cell_id", "left").select(checked.alias("cell_id"), "core_type", "n_barcodes", *rest)
+
+
+def by_assignment(cells: DataFrame) -> DataFrame:
+    """Cells in the order of their assignment, those with most molecules first."""
+    return cells.orderBy("assignment", F.desc("umi_total"), "cell_id")
 
 
 def _long(one: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -176,36 +284,39 @@ def species_summary(cells: DataFrame) -> DataFrame:
     a = F.col("assignment")
     only = lambda kind, c: F.when(a == kind, F.col(c))
     n = lambda kind: F.count_if(a == kind)
-    h = F.when(a == "mixed", F.col("human_umi_fraction"))
+    h = only("mixed", "human_umi_fraction")
     near = h.between(0.4, 0.6)
     far = h.between(0.05, 0.10) | h.between(0.90, 0.95)
-    mid = lambda c, p: F.percentile(c, F.lit(p))
-    metrics = {
+    ranked = {f"{kind}:{c}": only(kind, c) for kind in ("human_singlet", "mouse_singlet", "mixed") for c in ("human_umi_fraction", "mouse_umi_fraction", "umi_total")}
+    wanted = {
+        "human_singlet_mouse_fraction_median": ("human_singlet:mouse_umi_fraction", 0.5),
+        "human_singlet_mouse_fraction_p95": ("human_singlet:mouse_umi_fraction", 0.95),
+        "mouse_singlet_human_fraction_median": ("mouse_singlet:human_umi_fraction", 0.5),
+        "mouse_singlet_human_fraction_p95": ("mouse_singlet:human_umi_fraction", 0.95),
+        "mixed_human_fraction_median": ("mixed:human_umi_fraction", 0.5),
+        "mixed_mouse_fraction_median": ("mixed:mouse_umi_fraction", 0.5),
+        **{f"{kind}_umi_total_median": (f"{kind}:umi_total", 0.5) for kind in ("human_singlet", "mouse_singlet", "mixed")},
+    }
+    cells = materialize(cells.select("assignment", "human_umi_fraction", "mouse_umi_fraction", "umi_total"), "cells").df
+    quantiles = wide_quantiles(cells.select(*(v.alias(k) for k, v in ranked.items())), wanted)
+    counts = {
         "total_cells": F.count("*"),
         "human_singlet_cells": n("human_singlet"),
         "mouse_singlet_cells": n("mouse_singlet"),
         "mixed_cells": n("mixed"),
         "unclassified_cells": n("unclassified"),
         "cross_species_doublet_rate_among_classified": F.try_divide(n("mixed"), n("human_singlet") + n("mouse_singlet") + n("mixed")),
-        "human_singlet_mouse_fraction_median": mid(only("human_singlet", "mouse_umi_fraction"), 0.5),
-        "human_singlet_mouse_fraction_p95": mid(only("human_singlet", "mouse_umi_fraction"), 0.95),
-        "mouse_singlet_human_fraction_median": mid(only("mouse_singlet", "human_umi_fraction"), 0.5),
-        "mouse_singlet_human_fraction_p95": mid(only("mouse_singlet", "human_umi_fraction"), 0.95),
-        "mixed_human_fraction_median": mid(h, 0.5),
-        "mixed_mouse_fraction_median": mid(only("mixed", "mouse_umi_fraction"), 0.5),
         "mixed_near_50_50_cells": F.count_if(near),
         "mixed_near_50_50_fraction": F.try_divide(F.count_if(near), n("mixed")),
         "mixed_mostly_90_10_cells": F.count_if(far),
         "mixed_mostly_90_10_fraction": F.try_divide(F.count_if(far), n("mixed")),
-        "human_singlet_umi_total_median": mid(only("human_singlet", "umi_total"), 0.5),
-        "mouse_singlet_umi_total_median": mid(only("mouse_singlet", "umi_total"), 0.5),
-        "mixed_umi_total_median": mid(only("mixed", "umi_total"), 0.5),
     }
-    return _long(cells.agg(*(c.alias(k) for k, c in metrics.items())), list(metrics))
+    one = cells.agg(*(c.alias(k) for k, c in counts.items())).crossJoin(quantiles)  # one row each
+    return _long(one, [*counts, *wanted])
 
 
 def purity(cells: DataFrame) -> DataFrame:
-    """metric, value: own and all molecules of the singlets of each species, and overall."""
+    """metric, value, text: own and all molecules of the singlets of each species, and overall; the names of the species have a text only."""
     a = F.col("assignment")
     total = lambda kind, c: F.coalesce(F.sum(F.when(a == kind, F.col(c))), F.lit(0))
     own0, all0 = total("human_singlet", "umi_human"), total("human_singlet", "umi_total")
@@ -220,17 +331,34 @@ def purity(cells: DataFrame) -> DataFrame:
         "genome1_singlet_total_umis": all1,
         "all_singlet_dominant_species_umis": own0 + own1,
         "all_singlet_total_umis": all0 + all1,
+        "human_mean_purity": F.try_divide(own0, all0),
+        "mouse_mean_purity": F.try_divide(own1, all1),
         "genome0_mean_purity": F.try_divide(own0, all0),
         "genome1_mean_purity": F.try_divide(own1, all1),
         "overall_purity": F.try_divide(own0 + own1, all0 + all1),
     }
-    return _long(cells.agg(*(c.alias(k) for k, c in metrics.items())), list(metrics))
+    numbers = _long(cells.agg(*(c.alias(k) for k, c in metrics.items())), list(metrics)).withColumn("text", F.lit(None).cast("string"))
+    names = [(f"genome{i}_name", None, name) for i, name in enumerate(SPECIES)]
+    return cells.sparkSession.createDataFrame(names, numbers.schema).unionByName(numbers)
 
 
-def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int = 1) -> DataFrame:
-    """The first `n` rows of each key in the given order."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+#: Rows of a key up to which a window keeps them without sorting the whole key.
+WINDOW_ROWS = 1_000
+
+
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str], n: int = 1) -> DataFrame:
+    """The first `n` rows of each key in the given order; equal rows take places one after the other.
+
+    Up to `WINDOW_ROWS` rows every task keeps its first rows of a key only. For more, ranks come from running counts over sorted ranges, so
+    that no key is sorted in one task.
+    """
+    if n <= WINDOW_ROWS:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    told = rows.groupBy(*rows.columns).agg(F.count("*").alias("_times"))
+    ranked, _ = running_sum(told, list(keys), [*order, *(c for c in rows.columns if c not in {*keys, *order})], {"_upto": "_times"}, name="firsts")
+    kept = F.least(F.col("_times"), n - F.col("_upto") + F.col("_times"))
+    return ranked.withColumn("_kept", kept.cast("int")).filter("_kept > 0").select(*rows.columns, F.explode(F.sequence(F.lit(1), F.col("_kept"))).alias("_i")).drop("_i")
 
 
 def knee_points(counts: DataFrame, item: str, n: str, called: DataFrame, points: int = 20_000) -> DataFrame:

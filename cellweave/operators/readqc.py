@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.prefix import running_sum
+from cellweave.operators.selection import select_quantiles
+from cellweave.session import materialize
 
 
 def length_counts(reads: DataFrame, group: Sequence[str], length: str) -> DataFrame:
@@ -93,15 +95,52 @@ def yield_curve(counts: DataFrame, group: Sequence[str], points: int = 300) -> D
     return placed.select(*g, "read_rank", (F.col("length") / 1000).alias("x_kb"), ((F.col("_all") - before) / 1e9).alias("y_gb")).distinct()
 
 
-def qc_payload(counts: DataFrame, group: Sequence[str]) -> DataFrame:
-    """`group`, payload: the length section of the summary as JSON."""
+def qc_payload(reads: DataFrame, group: Sequence[str], length: str, quality: str, points: int = 300) -> DataFrame:
+    """`group`, payload: the summary of raw read values as JSON, with sections on quality, length and the yield above a length.
+
+    Values that are NULL or negative are left out of their section; a group without a length has no summary. Lists have 60, 80 and
+    at most `points` places, whatever the number of reads.
+    """
     g = list(group)
-    size = n50(counts, g)
-    hist = length_histogram(counts, g).groupBy(*g).agg(F.sort_array(F.collect_list(F.struct("bin", F.round("mid_kb", 6).alias("mid_kb"), "n"))).alias("h"))
-    section = F.struct(
-        F.col("n_reads"), F.col("n50").alias("n50_bp"), F.col("total_bases"), F.col("h.mid_kb").alias("bins_kb"), F.col("h.n").alias("counts")
+    rows = materialize(reads.select(*g, F.col(length).alias("_l"), F.col(quality).cast("float").cast("double").alias("_q")), "reads").df
+    counts = materialize(length_counts(rows, g, "_l"), "lengths").df
+    kinds = F.array(F.struct(F.lit("l").alias("k"), F.col("_l").cast("double").alias("v")), F.struct(F.lit("q").alias("k"), F.col("_q").alias("v")))
+    values = rows.select(*g, F.explode(kinds).alias("_i")).select(*g, "_i.*").filter("v >= 0").groupBy(*g, "k", "v").agg(F.count("*").alias("w"))
+    middle = select_quantiles(values, [*g, "k"], "v", [0.5], weight="w", interpolate=True).withColumn("mean", F.col("total") / F.col("n"))
+    of = lambda k, c: F.max(F.when(F.col("k") == k, F.col(c)))
+    stats = middle.groupBy(*g).agg(of("l", "value").alias("_lm"), of("l", "mean").alias("_la"), of("q", "value").alias("_qm"), of("q", "mean").alias("_qa"))
+    ends = counts.groupBy(*g).agg(F.min("length").alias("_min"), F.max("length").alias("_max"))
+    listed = lambda df, by, *c: df.groupBy(*g).agg(F.sort_array(F.collect_list(F.struct(by, *c))).alias("_h"))
+    parts = [
+        n50(counts, g),
+        stats,
+        ends,
+        listed(length_histogram(counts, g), "bin", F.round("mid_kb", 6).alias("m"), "n").withColumnRenamed("_h", "_lh"),
+        listed(quality_histogram(rows, g, "_q"), "bin", F.round("mid", 6).alias("m"), "n").withColumnRenamed("_h", "_qh"),
+        listed(yield_curve(counts, g, points), "read_rank", "x_kb", "y_gb").withColumnRenamed("_h", "_yh"),
+    ]
+    one = parts[0]
+    for i, part in enumerate(parts[1:]):
+        names = [f"_r{i}_{j}" for j in range(len(g))]
+        renamed = part.select(*(F.col(c).alias(r) for c, r in zip(g, names)), *(c for c in part.columns if c not in g))
+        one = one.join(renamed, [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(g, names)] or F.lit(True), "left").drop(*names)
+    payload = F.struct(
+        "n_reads",
+        F.struct(F.col("_qa").alias("mean"), F.col("_qm").alias("median"), F.col("_qh.m").alias("bins"), F.col("_qh.n").alias("counts")).alias("quality"),
+        F.struct(
+            F.col("_la").alias("mean"), F.col("_lm").alias("median"), F.col("_min").alias("min"), F.col("_max").alias("max"), F.col("_lh.m").alias("bins_kb"), F.col("_lh.n").alias("counts")
+        ).alias("length"),
+        F.struct(F.col("_yh.x_kb").alias("x_kb"), F.col("_yh.y_gb").alias("y_gb"), (F.col("total_bases") / 1e9).alias("total_gb"), F.col("n50").alias("n50_bp")).alias("yield_above_length"),
     )
-    return size.join(hist, g).select(*g, F.to_json(section).alias("payload"))
+    return one.select(*g, F.to_json(payload).alias("payload"))
+
+
+#: Schema of the JSON that `qc_payload` makes.
+PAYLOAD = (
+    "n_reads long, quality struct<mean: double, median: double, bins: array<double>, counts: array<long>>, "
+    "length struct<mean: double, median: double, min: long, max: long, bins_kb: array<double>, counts: array<long>>, "
+    "yield_above_length struct<x_kb: array<double>, y_gb: array<double>, total_gb: double, n50_bp: long>"
+)
 
 
 def sample_per_class(rows: DataFrame, group: str, key: str, whole: int = 100_000, most: int = 25_000) -> DataFrame:

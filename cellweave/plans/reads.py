@@ -11,6 +11,7 @@ from cellweave.operators import barcodes as B
 from cellweave.operators import classify as K
 from cellweave.operators import pairs as P
 from cellweave.operators import readqc as R
+from cellweave.operators.selection import select_quantiles
 from cellweave.plans.common import sql_clean, table
 from cellweave.session import materialize
 
@@ -285,23 +286,56 @@ def yield_above_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qc_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.qc_payload(R.length_counts(_reads_once(spark, sf_dir), ["sample_name"], "read_length"), ["sample_name"])
+    return R.qc_payload(_reads_once(spark, sf_dir), ["sample_name"], "read_length", "mean_quality")
+
+
+def qc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the JSON of each sample says, parsed again."""
+    p = qc_payload(spark, sf_dir).select("sample_name", F.from_json("payload", R.PAYLOAD).alias("p"))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + x)
+    return p.select(
+        "sample_name", "p.n_reads",
+        *(F.round(f"p.{k}.{c}", 6).alias(f"{k}_{c}") for k in ("quality", "length") for c in ("mean", "median")),
+        F.col("p.length.min").alias("length_min"), F.col("p.length.max").alias("length_max"),
+        F.col("p.yield_above_length.n50_bp").alias("n50_bp"), F.round("p.yield_above_length.total_gb", 9).alias("total_gb"),
+        total(F.col("p.length.counts")).alias("in_length_bins"), total(F.col("p.quality.counts")).alias("in_quality_bins"),
+        F.size("p.length.bins_kb").alias("length_bins"), F.size("p.quality.bins").alias("quality_bins"), F.size("p.yield_above_length.x_kb").alias("points"),
+    )
 
 
 def read_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads, mean and median length and quality, smallest and largest length of each sample."""
     ok = lambda c: F.when(F.col(c) >= 0, F.col(c))
-    rows = _reads_once(spark, sf_dir)
-    return rows.groupBy("sample_name").agg(
+    rows = materialize(_reads_once(spark, sf_dir).select("read_id", "sample_name", "read_length", "mean_quality"), "reads").df
+    kinds = F.array(*(F.struct(F.lit(c).alias("k"), ok(c).cast("double").alias("v")) for c in ("read_length", "mean_quality")))
+    values = rows.select("sample_name", F.explode(kinds).alias("_i")).select("sample_name", "_i.*").filter("v IS NOT NULL")
+    counts = values.groupBy("sample_name", "k", "v").agg(F.count("*").alias("w"))
+    middle = select_quantiles(counts, ["sample_name", "k"], "v", [0.5], weight="w", interpolate=True)
+    of = lambda c: F.max(F.when(F.col("k") == c, F.col("value")))
+    medians = middle.groupBy(F.col("sample_name").alias("_s")).agg(of("read_length").alias("median_length"), F.round(of("mean_quality"), 6).alias("median_quality"))
+    one = rows.groupBy("sample_name").agg(
         F.count("*").alias("n_reads"),
         F.round(F.avg(ok("read_length")), 6).alias("mean_length"),
-        F.median(ok("read_length")).alias("median_length"),
         F.min(ok("read_length")).alias("min_length"),
         F.max(ok("read_length")).alias("max_length"),
         F.round(F.avg(ok("mean_quality")), 6).alias("mean_quality"),
-        F.round(F.median(ok("mean_quality")), 6).alias("median_quality"),
         F.count_if(is_missing("read_id")).alias("n_unnamed"),
     )
+    return one.join(medians, F.col("sample_name").eqNullSafe(F.col("_s")), "left").drop("_s")
+
+
+def trimmed_fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cDNA and its qualities of the clean reads, whole where the bounds conflict."""
+    rows = B.extract_5p(B.extract_3p(_sequences(spark, sf_dir), "seq", "qual"), "seq", "qual", anchor="CAGCA")
+    bounds = B.trim_bounds(F.col("end3"), F.col("end5"), F.length("seq"), F.col("bc3") != "", F.col("bc5") != "")
+    clean = clean_reads(spark, sf_dir).select("read_id", F.coalesce("bc5n", F.lit("")).alias("_5"), F.coalesce("bc3n", F.lit("")).alias("_3")).distinct()
+    named = lambda a, b: F.concat_ws(":", "read_id", a, b).alias("read_id")  # noqa: E731 - a read that comes with other barcodes is another one here
+    reads = rows.select(named("bc5", "bc3"), "seq", "qual", bounds.alias("b"))
+    return B.trimmed_reads(clean.select(named("_5", "_3")), reads, "seq", "qual", "b")
+
+
+def known_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.known_barcodes(_putative(spark, sf_dir), "barcode", "quality", 10)
 
 
 def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +365,7 @@ QUERIES = {
     for f in (
         hq_counts, observed_whitelist, strip_fixed, whitelist_expand, validity_summary, unique_barcodes, fuzzy_correct, extract_3p, extract_5p, trim_bounds,
         read_gate, mean_quality, classify_reads, class_statistics, joined_reads, joined_summary, classify_edited, fan_out, pair_support, pair_min_auto, supported_pairs, top1_dominance, components, component_category, edge_prune, clean_reads, cell_ids, read_to_cell,
-        read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, read_summary, bounded_sample, report_metrics,
+        read_len_hist, quality_hist, n50_yield, yield_above_length, qc_payload, qc_fields, read_summary, bounded_sample, report_metrics, trimmed_fastq, known_barcodes,
     )
 }
 
@@ -468,6 +502,7 @@ ORACLES = {
     "extract_5p": _SEQ + _X5 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x5",
     "extract_3p": _SEQ + _X3 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x3",
     "trim_bounds": _SEQ + _X5 + _X3 + _TRIM,
+    "trimmed_fastq": _SEQ + _X5 + _X3 + _TRIM.replace("SELECT read_id, CASE WHEN s < e", "SELECT DISTINCT t.read_id || ':' || t.bc5 || ':' || t.bc3 AS read_id, CASE WHEN s < e THEN substr(t.seq, s + 1, e - s) ELSE t.seq END AS seq, CASE WHEN s < e THEN substr(f.qual, s + 1, e - s) ELSE f.qual END AS qual, NOT (s < e) AS fell_back FROM t JOIN f ON t.read_id = f.read_id AND t.seq = f.seq AND t.bc3 = f.bc3 AND t.bc5 = f.bc5 JOIN cr ON cr.read_id = t.read_id AND coalesce(bc5n, '') = t.bc5 AND coalesce(bc3n, '') = t.bc3 --").replace("AS (SELECT x3.read_id, x3.seq,", "AS (SELECT x3.read_id, x3.bc3, x3.bc5, x3.seq,").replace(", t AS", ", cr AS (__CLEAN__), t AS"),
     "hq_counts": _HQ + " SELECT * FROM h",
     "observed_whitelist": _HQ + """, w AS (SELECT * FROM h WHERE barcode IN (SELECT barcode FROM whitelist_3p)),
         t AS (SELECT quantile_cont(n_reads, 0.95) / 20 AS cut FROM (SELECT * FROM w ORDER BY n_reads DESC, barcode LIMIT 50)) SELECT w.* FROM w, t WHERE n_reads > cut""",
@@ -522,6 +557,14 @@ ORACLES = {
         p AS (SELECT DISTINCT sample_name, CASE WHEN least(n, 300) = 1 THEN 0 ELSE (i * (n - 1)) // (least(n, 300) - 1) END AS read_rank
             FROM (SELECT DISTINCT sample_name, n, unnest(range(least(n, 300))) AS i FROM w))
         SELECT z.sample_name, z.read_rank, round(l / 1000, 6) AS x_kb, round(rest / 1e9, 9) AS y_gb FROM z JOIN p ON z.sample_name = p.sample_name AND z.read_rank = p.read_rank""",
+    "qc_fields": _ONCE + """, qv AS (SELECT sample_name, CAST(CAST(q AS FLOAT) AS DOUBLE) AS q FROM o WHERE q >= 0),
+        qs AS (SELECT sample_name, round(avg(q), 6) AS quality_mean, round(median(q), 6) AS quality_median, count(*) AS in_quality_bins FROM qv GROUP BY sample_name),
+        w AS (SELECT sample_name, l, sum(l) OVER (PARTITION BY sample_name ORDER BY l DESC, rid ROWS UNBOUNDED PRECEDING) AS c, sum(l) OVER (PARTITION BY sample_name) AS t FROM (SELECT sample_name, l, row_number() OVER () AS rid FROM ol)),
+        ls AS (SELECT sample_name, count(*) AS n_reads, round(avg(l), 6) AS length_mean, round(CAST(median(l) AS DOUBLE), 6) AS length_median, min(l) AS length_min, max(l) AS length_max, max(l) FILTER (c >= ceil(t / 2)) AS n50_bp,
+            round(sum(l) / 1e9, 9) AS total_gb, count(*) AS in_length_bins, least(count(*), 300) AS points FROM w GROUP BY sample_name)
+        SELECT ls.*, quality_mean, quality_median, in_quality_bins, 80 AS length_bins, 60 AS quality_bins FROM ls JOIN qs ON ls.sample_name = qs.sample_name""",
+    "known_barcodes": f"""WITH q AS (SELECT read_id, floor(max(mean_quality)) AS quality FROM read_qc_reads GROUP BY read_id)
+        SELECT DISTINCT barcode FROM (SELECT read_id, {sql_clean('putative_barcode')} AS barcode FROM correction_map_3p) LEFT JOIN q USING (read_id) WHERE barcode IS NOT NULL AND NOT coalesce(quality < 10, false)""",
     "bounded_sample": """WITH d AS (SELECT DISTINCT sample_name, read_id, read_length, mean_quality FROM read_qc_reads),
         r AS (SELECT *, count(*) OVER (PARTITION BY sample_name) AS n, row_number() OVER (PARTITION BY sample_name ORDER BY sha256(read_id), read_id) AS rn FROM d)
         SELECT sample_name, read_id, read_length, mean_quality FROM r WHERE n <= 1000 OR rn <= 250""",
@@ -532,3 +575,4 @@ ORACLES = {
         max(l) FILTER (l >= 0) AS max_length, round(avg(q) FILTER (q >= 0), 6) AS mean_quality, round(median(q) FILTER (q >= 0), 6) AS median_quality,
         count(*) FILTER (upper(trim(coalesce(read_id, ''), ' ')) IN ('', 'NA', 'NAN', 'NONE')) AS n_unnamed FROM o GROUP BY sample_name""",
 }
+ORACLES["trimmed_fastq"] = ORACLES["trimmed_fastq"].split(" --")[0].replace("__CLEAN__", ORACLES["clean_reads"])

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import gzip
+import io
+import itertools
 import os
 import re
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -21,55 +26,132 @@ def natural_key(path: str) -> list:
     return [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"(\d+)", os.path.basename(path)) if x]
 
 
+def _open(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of an address and the path in it; an address without a scheme is a path of this machine."""
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), os.path.abspath(uri))
+
+
 def discover(paths: Sequence[str]) -> list[str]:
-    """FASTQ files of the given files, patterns and folders (not below them) in natural order; repeats are an error."""
+    """FASTQ files of the given files, patterns and folders (not below them) in natural order; repeats are an error.
+
+    Addresses may name any file system that pyarrow knows; all executors must reach it.
+    """
     found: list[str] = []
     for path in paths:
-        if os.path.isdir(path):
-            found += [os.path.join(path, f) for f in os.listdir(path) if f.endswith(_SUFFIXES)]
+        system, at = _open(path)
+        head = path[: len(path) - len(at)] if "://" in path else ""
+        parent, _, name = at.rpartition("/")
+        if system.get_file_info(at).type == fs.FileType.Directory:
+            inside = system.get_file_info(fs.FileSelector(at))
+            found += [head + f.path for f in inside if f.is_file and f.path.endswith(_SUFFIXES)]
+        elif any(c in name for c in "*?["):
+            found += [head + f.path for f in system.get_file_info(fs.FileSelector(parent or "/")) if f.is_file and fnmatch.fnmatch(f.base_name, name)]
         else:
-            found += glob.glob(path) or [path]
-    real = [os.path.realpath(f) for f in found]
+            found.append(head + at)
+    real = [f if "://" in f else os.path.realpath(f) for f in found]
     if len(set(real)) < len(real):
         raise ValueError("a FASTQ file is named twice")
     return sorted(real, key=natural_key)
 
 
-def records(path: str) -> Iterator[tuple[str, str, str]]:
-    """(id, sequence, qualities) of a file, streamed; gzip files may have several members."""
-    opener = gzip.open if path.endswith(".gz") else open
-    with opener(path, "rt") as lines:
-        for head in lines:
-            head = head.rstrip("\r\n")
+def _record(lines: list[bytes], path: str) -> tuple[str, str, str]:
+    head, seq, plus, qual = (x.rstrip(b"\r\n").decode() for x in lines)
+    if not head.startswith("@") or not plus.startswith("+"):
+        raise ValueError(f"malformed FASTQ record in {path}: {head[:60]}")
+    if len(seq) != len(qual):
+        raise ValueError(f"sequence and qualities differ in length in {path}: {head[:60]}")
+    return (head[1:].split() or [""])[0], seq, qual
+
+
+def _first_record(source, start: int) -> int:
+    """Place of the first record that begins at or behind `start`: an @ line with a + line two below, its lengths alike."""
+    if start:
+        source.seek(start - 1)
+        source.readline()
+    places, lines = [], []
+    while True:
+        places.append(source.tell())
+        lines.append(source.readline())
+        if len(lines) >= 4 or not lines[-1]:
+            for i in range(len(lines)):
+                four = lines[i : i + 4]
+                whole = len(four) == 4 and four[0][:1] == b"@" and four[2][:1] == b"+" and len(four[1].rstrip(b"\r\n")) == len(four[3].rstrip(b"\r\n"))
+                if whole:
+                    return places[i]
+            if not lines[-1]:
+                return places[-1]
+            places, lines = places[-3:], lines[-3:]
+
+
+def records(path: str, start: int = 0, end: int | None = None) -> Iterator[tuple[str, str, str, int]]:
+    """(id, sequence, qualities, place) of a file, streamed; gzip files may have several members.
+
+    Of a plain file the records that begin from byte `start` up to `end` come, so that parts of a file can be read apart.
+    """
+    system, at = _open(path)
+    if path.endswith(".gz"):
+        source = gzip.open(system.open_input_file(at), "rb")
+    else:
+        source = io.BufferedReader(pa.PythonFile(system.open_input_file(at), "r"), 1 << 20)
+        if start:
+            source.seek(_first_record(source, start))
+    with source:
+        place = source.tell()
+        while end is None or place < end:
+            head = source.readline()
             if not head:
-                continue
-            body = [lines.readline().rstrip("\r\n") for _ in range(3)]
-            if not head.startswith("@") or not body[1].startswith("+"):
-                raise ValueError(f"malformed FASTQ record in {path}: {head[:60]}")
-            if len(body[0]) != len(body[2]):
-                raise ValueError(f"sequence and qualities differ in length in {path}: {head[:60]}")
-            yield (head[1:].split() or [""])[0], body[0], body[2]
+                break
+            if head.strip():
+                yield *_record([head, *(source.readline() for _ in range(3))], path), place
+            place = source.tell()
+
 
+@dataclass
+class _Part(InputPartition):
+    path: str
+    start: int = 0
+    end: int | None = None
 
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
+
+#: Bytes of a plain file that one task reads.
+SPLIT = 128 << 20
+_ROWS = 5_000
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.paths = options["path"].split(",")
+        self.split = int(options.get("split", SPLIT))
 
-    def partitions(self) -> list[_File]:
-        return [_File(p) for p in discover(self.paths)]
-
-    def read(self, partition: _File) -> Iterator[tuple]:
-        for i, (name, seq, qual) in enumerate(records(partition.path)):
-            yield name, seq, qual, partition.path, i
+    def partitions(self) -> list[_Part]:
+        out: list[_Part] = []
+        for path in discover(self.paths):
+            if path.endswith(".gz"):
+                out.append(_Part(path))
+                continue
+            system, at = _open(path)
+            size = system.get_file_info(at).size
+            out += [_Part(path, s, min(s + self.split, size)) for s in range(0, size, self.split)] or [_Part(path)]
+        return out
+
+    def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
+        rows = records(partition.path, partition.start, partition.end)
+        numbers = itertools.count()
+        while block := list(itertools.islice(rows, _ROWS)):
+            names, seqs, quals, places = zip(*block)
+            if partition.path.endswith(".gz"):
+                places = list(itertools.islice(numbers, len(block)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(seqs, pa.string()), pa.array(quals, pa.string()), pa.array([partition.path] * len(block), pa.string()), pa.array(places, pa.int64())],
+                names=["read_id", "seq", "qual", "file", "ord"],
+            )
 
 
 class FastqSource(DataSource):
-    """`spark.read.format("fastq").load(path)`: one partition for each file, since gzip can't be split."""
+    """`spark.read.format("fastq").load(path)`: plain files in parts of `split` bytes, gzip files, which can't be split, whole.
+
+    `ord` grows along a file: in gzip files it is the number of the record, in plain ones its first byte.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -82,9 +164,9 @@ class FastqSource(DataSource):
         return _Reader(self.options)
 
 
-def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
+def read_fastq(spark: SparkSession, *paths: str, split: int = SPLIT) -> DataFrame:
     spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").load(",".join(paths))
+    return spark.read.format("fastq").option("split", split).load(",".join(paths))
 
 
 def fastq_text(read_id: Column, seq: Column, qual: Column) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import io
 import zipfile
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions.seq import revcomp_upper
@@ -105,3 +106,55 @@ def prefix_reference(gtf: DataFrame, prefix: str) -> DataFrame:
     chrom = F.when(twice, F.raise_error(F.concat(F.lit("already prefixed: "), F.col("chrom")))).otherwise(F.concat_ws("_", F.lit(prefix), "chrom"))
     ids = F.regexp_replace("attributes", r'((?:gene_id|gene_name|transcript_id) ")', f"$1{prefix}_")
     return gtf.withColumns({"chrom": chrom, "attributes": ids})
+
+
+def prefixed(name: Column, prefix: str) -> Column:
+    """`name` with the prefix of its species; one that has it already stays."""
+    return F.when(name.startswith(f"{prefix}_"), name).otherwise(F.concat_ws("_", F.lit(prefix), name))
+
+
+def prefix_sizes(sizes: DataFrame, prefix: str) -> DataFrame:
+    """chrom, size with prefixed contigs."""
+    return sizes.select(prefixed(F.col("chrom"), prefix).alias("chrom"), "size")
+
+
+def prefix_bed(bed: DataFrame, prefix: str) -> DataFrame:
+    """A BED table with prefixed contigs; of a name of parts joined by | the first and the third are prefixed too."""
+    part = lambda x, i: F.when(i.isin(0, 2) & (x != ""), prefixed(x, prefix)).otherwise(x)
+    names = F.array_join(F.transform(F.split("name", r"\|", -1), part), "|")
+    return bed.withColumns({"chrom": prefixed(F.col("chrom"), prefix), "name": names})
+
+
+def prefix_fasta(lines: DataFrame, prefix: str) -> DataFrame:
+    """FASTA lines (`value`) whose headers have prefixed contigs; a description behind the contig stays."""
+    header = F.regexp_extract("value", r"^>(\S+)\s*(.*)$", 1)
+    rest = F.regexp_extract("value", r"^>(\S+)\s*(.*)$", 2)
+    made = F.concat(F.lit(">"), prefixed(header, prefix), F.when(rest != "", F.concat(F.lit(" "), rest)).otherwise(""))
+    return lines.withColumn("value", F.when(header != "", made).otherwise(F.col("value")))
+
+
+def mixed_reference(parts: dict[str, DataFrame], prefix) -> DataFrame:
+    """The tables of several species under each other, each prefixed by one of the functions above."""
+    return reduce(DataFrame.unionByName, [prefix(df, name) for name, df in parts.items()])
+
+
+# Names of the column of barcodes in a list of 10-base codes.
+TEN_COLUMNS = ("sequence", "seq", "barcode", "cellbarcode", "序列")
+
+
+def read_tens(spark: SparkSession, path: str) -> DataFrame:
+    """ten: the 10-base codes of a text, comma or tab list in upper case; the column is found by its header, else the first is taken."""
+    first = spark.read.text(path).filter(F.trim("value") != "").first()
+    head = first[0] if first else ""
+    sep = "," if "," in head else "\t"
+    names = [c.strip().strip("\ufeff").lower() for c in head.split(sep)]
+    at = next((i for i, c in enumerate(names) if c in TEN_COLUMNS), None)
+    cells = F.split("value", sep)
+    rows = spark.read.text(path).filter(F.trim("value") != "").select("value", F.upper(F.trim(F.get(cells, F.lit(at or 0)))).alias("ten"))
+    named_column = F.lower(F.trim(F.regexp_replace(F.get(cells, F.lit(at or 0)), "\ufeff", ""))).isin(*TEN_COLUMNS)
+    return rows.filter(~named_column & (F.col("ten") != "")).select("ten")
+
+
+def read_tmap(spark: SparkSession, path: str) -> DataFrame:
+    """qry_id, ref_id, class_code of a tab-separated comparison of assembled with reference transcripts."""
+    return spark.read.csv(path, sep="\t", header=True).select("qry_id", "ref_id", "class_code")
