@@ -125,7 +125,7 @@ def saturation(rows: DataFrame, fractions: Sequence[float], salt: int = 42) -> D
     is in, so all fractions come from one pass over the first ranks. A molecule is its joined text.
     """
     keyed = rows.select("*", F.concat_ws("_", "gene", "barcode", "umi").alias("_mol")).withColumn(
-        "_o", F.xxhash64(F.lit(salt), "read_id", "gene", "barcode", "umi")
+        "_o", F.md5(F.concat_ws("|", F.lit(str(salt)), "read_id", "gene", "barcode", "umi"))
     ).withColumn("_one", F.lit(1).cast("long"))
     ranked, _ = running_sum(keyed, [], ["_o", "read_id", "gene", "barcode", "umi"], {"_rank": "_one"}, name="ranks")
     total = rows.agg(F.count("*").alias("_all"))

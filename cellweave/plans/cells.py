@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions.text import clean_key
+from cellweave.operators import metrics as X
 from cellweave.operators import molecules as M
+from cellweave.operators.prefix import running_sum
+from cellweave.operators.readqc import sample_per_class
 from cellweave.operators.umi import collapse_umis, umi_counts
 from cellweave.plans.common import SQL_MOLECULES, sql_clean, table
+from cellweave.session import materialize
 
 _FRACTIONS = (0.0, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 
@@ -33,48 +39,71 @@ def per_cell_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.per_cell_qc(_rows(spark, sf_dir)).withColumn("mito_percent", F.round("mito_percent", 6))
 
 
+def matrix_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.matrix_cells(_rows(spark, sf_dir))
+
+
+def _alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record for each row of the correction map; a digit of a hash makes it unmapped, secondary or supplementary."""
+    digit = F.substring(F.md5("read_id"), 1, 1)
+    flag = F.when(digit == "0", 4).when(digit == "1", 2048).when(digit == "2", 256).otherwise(0)
+    return table(spark, sf_dir, "correction_map_3p").select(F.trim("read_id").alias("read_id"), flag.alias("flag"))
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcript calls of the molecule table; reads of a region have none."""
+    rows = _rows(spark, sf_dir)
+    known = M.is_known_gene(F.col("gene"))
+    tx = F.concat_ws(".", "gene", F.substring("umi", 7, 1))
+    return rows.select("read_id", F.when(known, "Assigned").otherwise("Unassigned_no_features").alias("status"), F.when(known, tx).otherwise("NA").alias("transcript_id"))
+
+
+def _final_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "read_assigned_cell").filter(clean_key("cell_id").isNotNull())
+    return rows.select(F.trim("read_id").alias("read_id")).distinct()
+
+
+def bam_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.alignment_summary(_alignments(spark, sf_dir), _final_reads(spark, sf_dir))
+
+
+def transcript_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.transcript_summary(_calls(spark, sf_dir), _final_reads(spark, sf_dir))
+
+
 def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """metric, value: reads kept by each step and what cells hold."""
-    distinct = lambda t: table(spark, sf_dir, t).agg(F.countDistinct("read_id").cast("double").alias("n"))
-    rows = _rows(spark, sf_dir)
-    cells = M.per_cell_qc(rows)
+
+    def distinct(name: str, as_: str) -> DataFrame:
+        # Distinct first, so that no task holds all ids.
+        return table(spark, sf_dir, name).select("read_id").distinct().agg(F.count("read_id").cast("double").alias(as_))
+
+    rows = materialize(_rows(spark, sf_dir), "molecules").df
     known = M.is_known_gene(F.col("gene"))
-    parts = (
-        distinct("read_qc_reads").withColumnRenamed("n", "Input reads")
-        .crossJoin(distinct("correction_map_3p").withColumnRenamed("n", "Full length reads"))
-        .crossJoin(distinct("readids_umi_bc_clean").withColumnRenamed("n", "Barcode-valid reads"))
-        .crossJoin(distinct("read_assigned_cell").withColumnRenamed("n", "Reads assigned to final cells"))
-        .crossJoin(rows.agg(
-            F.countDistinct(F.when(known, F.col("read_id"))).cast("double").alias("Gene assigned reads"),
-            F.countDistinct("read_id").cast("double").alias("Reads in final cells"),
-            F.countDistinct(F.when(known, F.col("gene"))).cast("double").alias("Unique genes"),
-        ))
-        .crossJoin(cells.agg(
-            F.count("*").cast("double").alias("Estimated number of cells"),
-            F.avg("n_reads").alias("Mean cell-associated reads per cell"),
-            F.avg("n_umis").alias("Mean UMI counts per cell"),
-            F.median("n_umis").alias("Median UMI counts per cell"),
-            F.avg("n_genes").alias("Mean Genes per cell"),
-            F.median("n_genes").alias("Median Genes per cell"),
-        ))
-    )  # every side is one row
-    ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
-    full = "Full length reads"
-    parts = parts.select(
-        "*",
-        ratio("Input reads", "Estimated number of cells").alias("Mean reads per cell"),
-        ratio("Reads in final cells", full).alias("Fraction reads in cells"),
-        ratio(full, "Input reads").alias("Percent full length reads"),
-        ratio("Barcode-valid reads", full).alias("Percent barcode-valid reads of full length"),
-        ratio("Reads assigned to final cells", full).alias("Percent reads assigned to final cells of full length"),
-        ratio("Gene assigned reads", full).alias("Percent gene assigned reads of full length"),
+    kinds = F.array(
+        F.struct(F.lit("r").alias("k"), F.col("read_id").alias("v")),
+        F.struct(F.lit("kr").alias("k"), F.when(known, F.col("read_id")).alias("v")),
+        F.struct(F.lit("g").alias("k"), F.when(known, F.col("gene")).alias("v")),
     )
-    pairs = F.array(*(F.struct(F.lit(c).alias("metric"), F.round(F.col(f"`{c}`"), 6).alias("value")) for c in parts.columns))
-    return parts.select(F.explode(pairs).alias("_m")).select("_m.*")
+    once = rows.select(F.explode(kinds).alias("_k")).select("_k.*").filter("v IS NOT NULL").distinct()
+    held = once.agg(*(F.count_if(F.col("k") == k).cast("double").alias(n) for k, n in (("kr", "gene_reads"), ("r", "in_cells"), ("g", "genes"))))
+    sources = (("read_qc_reads", "input"), ("correction_map_3p", "full"), ("readids_umi_bc_clean", "valid"), ("read_assigned_cell", "assigned"))
+    totals = reduce(DataFrame.crossJoin, [*(distinct(t, n) for t, n in sources), held])  # every side is one row
+    cells = materialize(M.per_cell_qc(rows), "cells").df
+    out = X.experiment_metrics(totals, cells, bam_summary(spark, sf_dir), transcript_summary(spark, sf_dir))
+    return out.withColumn("value", F.round("value", 6))
+
+
+def stage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of a run with their shares of the raw reads; reads of less than 200 bases or quality 7 stand for the filtered ones."""
+    reads = table(spark, sf_dir, "read_qc_reads").dropDuplicates(["read_id"])
+    short = F.coalesce(F.col("read_length") < 200, F.lit(True))
+    filtered = reads.agg(F.count_if(short).alias("too_short"), F.count_if(~short & F.coalesce(F.col("mean_quality") < 7, F.lit(True))).alias("too_bad"))
+    return X.read_summary(experiment_metrics(spark, sf_dir), filtered).withColumn("share", F.round("share", 6))
 
 
 def saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.saturation(_rows(spark, sf_dir), _FRACTIONS)
+    return M.saturation(_rows(spark, sf_dir), _FRACTIONS).withColumn("saturation", F.round("saturation", 9))
 
 
 def saturation_full_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +140,43 @@ def purity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.purity(M.species_cells(_rows(spark, sf_dir))).withColumn("value", F.round("value", 6))
 
 
+def _cells_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Species counts of the cells with the number of their barcodes."""
+    rows = table(spark, sf_dir, "read_assigned_cell").select(
+        clean_key("cell_id").alias("cell_id"), F.explode(F.array(clean_key("bc5n"), clean_key("bc3n"))).alias("b")
+    )
+    pairs = rows.filter("cell_id IS NOT NULL AND b IS NOT NULL").distinct()
+    metadata = pairs.groupBy("cell_id").agg(F.count("*").cast("string").alias("n_barcodes"), F.lit("core").alias("type"))
+    return M.attach_metadata(M.species_cells(_rows(spark, sf_dir)), metadata)
+
+
+def cells_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of two, three or four barcodes and at least 5 molecules, in the order of their assignment."""
+    chosen = M.least_molecules(M.with_barcode_count(_cells_with_metadata(spark, sf_dir), "2, 4,3"), 5)
+    return M.by_assignment(chosen).select("cell_id", "core_type", "n_barcodes", "umi_total", "assignment")
+
+
+def ambient_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells that the ambient filter removes."""
+    return M.ambient_cells(M.species_cells(_rows(spark, sf_dir)), 20).select("cell_id", "umi_human", "umi_mouse", "assignment")
+
+
+def count_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked totals of the genes over all cells."""
+    return M.checked_totals(M.gene_matrix(_rows(spark, sf_dir)), "gene").select("gene", F.col("total").cast("long").alias("total"))
+
+
+def fallback_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of the cells where they aren't clustered, those without counts apart."""
+    return M.fallback_layout(M.matrix_cells(_rows(spark, sf_dir)).select("barcode", "n"))
+
+
+def cell_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 2,000 cells, those with the smallest hashes, with what a report shows of them."""
+    cells = per_cell_qc(spark, sf_dir).withColumn("_class", F.lit(0))
+    return sample_per_class(cells, "_class", "barcode", 2000, 2000).drop("_class")
+
+
 def first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UMI counts of the first 20 reads of each cell and gene."""
     capped = M.first_per_key(_rows(spark, sf_dir), ["barcode", "gene"], ["read_id", "umi"], 20)
@@ -141,18 +207,15 @@ def beads_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def barcode_to_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cell_id, barcodes: the sorted list of a cell's barcodes, and a name from their number."""
+    """cell_id, cell, place, barcode: the sorted barcodes of a cell, one a row, and a name from their number."""
     rows = table(spark, sf_dir, "read_assigned_cell").select(
         clean_key("cell_id").alias("cell_id"), F.explode(F.array(clean_key("bc5n"), clean_key("bc3n"))).alias("barcode")
     )
-    pairs = rows.filter("cell_id IS NOT NULL AND barcode IS NOT NULL").distinct()
-    listed = pairs.groupBy("cell_id").agg(F.sort_array(F.collect_list("barcode")).alias("b"))
+    pairs = rows.filter("cell_id IS NOT NULL AND barcode IS NOT NULL").distinct().withColumn("_one", F.lit(1).cast("long"))
+    placed, written = running_sum(pairs, ["cell_id"], ["barcode"], {"place": "_one"}, name="beads")
+    sizes = written.df.groupBy("cell_id").agg(F.count("*").alias("_n"))
     number = F.expr("try_cast(regexp_extract(cell_id, 'CELL_([0-9]+)', 1) AS BIGINT)")
-    return listed.select(
-        "cell_id",
-        F.format_string("CELL%d_N%d", number, F.size("b")).alias("cell"),
-        F.array_join("b", ";").alias("barcodes"),
-    )
+    return placed.join(sizes, "cell_id").select("cell_id", F.format_string("CELL%d_N%d", number, F.col("_n")).alias("cell"), "place", "barcode")
 
 
 def cell_read_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +270,7 @@ QUERIES = {
     for f in (
         gene_matrix, isoform_matrix, per_cell_qc, experiment_metrics, saturation, saturation_full_depth, matrix_norm, identical_profiles,
         barnyard_cells, barnyard_filtered, barnyard_summary, purity, first_n_per_group, dedup_first, umi_directional, corrected_matrix,
+        matrix_cells, bam_summary, transcript_summary, stage_summary, cells_with_metadata, ambient_removed, count_totals, fallback_layout, cell_sample,
         beads_hist, barcode_to_cell, cell_read_stats, read_tags, semi_filter, anti_filter, assignment_counts, rank_sample,
     )
 }
@@ -247,39 +311,64 @@ _ASSIGNED = f"""WITH r AS (SELECT trim(read_id, ' ') AS read_id, {sql_clean('cel
     {sql_clean('putative_umi')} AS u3, {sql_clean('putative_umi_5p')} AS u5 FROM read_assigned_cell),
 p AS (SELECT DISTINCT cell_id, x FROM (SELECT cell_id, a AS x FROM r UNION ALL SELECT cell_id, b FROM r) WHERE cell_id IS NOT NULL AND x IS NOT NULL)"""
 _IN = f"read_id {{}}IN (SELECT read_id FROM read_assigned_cell WHERE {sql_clean('cell_id')} IS NOT NULL)"
+_FINAL = f"(SELECT DISTINCT trim(read_id, ' ') AS read_id FROM read_assigned_cell WHERE {sql_clean('cell_id')} IS NOT NULL)"
+_BAM = f""", al AS (SELECT trim(read_id, ' ') AS read_id, CASE substr(md5(read_id), 1, 1) WHEN '0' THEN 'u' WHEN '1' THEN 's' WHEN '2' THEN '2' ELSE 'p' END AS f FROM correction_map_3p),
+bam AS (SELECT count(*) AS records, count(*) FILTER (f = 'u') AS unmapped, count(*) FILTER (f = 'p') AS primary_mapped, count(*) FILTER (f = 's') AS supplementary,
+    count(DISTINCT read_id) FILTER (f <> 'u') AS mapped_reads, count(DISTINCT read_id) FILTER (f <> 'u' AND read_id IN {_FINAL}) AS mapped_in_cells FROM al)"""
+_TX = f""", tx AS (SELECT count(DISTINCT read_id) AS known_reads, count(DISTINCT gene || '.' || substr(umi, 7, 1)) AS isoforms FROM k WHERE known AND read_id IN {_FINAL})"""
+_DISTINCT = lambda t: f"(SELECT count(DISTINCT read_id) FROM {t})"
+_FULL, _INPUT = _DISTINCT("correction_map_3p"), _DISTINCT("read_qc_reads")
+_KNOWN, _IN_CELLS = "(SELECT count(DISTINCT read_id) FROM k WHERE known)", "(SELECT count(DISTINCT read_id) FROM k)"
+_GENES, _N_CELLS = "(SELECT count(DISTINCT gene) FROM k WHERE known)", "(SELECT count(*) FROM pc)"
+_FROM = lambda c, t: f"(SELECT {c} FROM {t})"
 _TOTALS = {
-    "Input reads": "(SELECT count(DISTINCT read_id) FROM read_qc_reads)",
-    "Full length reads": "(SELECT count(DISTINCT read_id) FROM correction_map_3p)",
-    "Barcode-valid reads": "(SELECT count(DISTINCT read_id) FROM readids_umi_bc_clean)",
-    "Reads assigned to final cells": "(SELECT count(DISTINCT read_id) FROM read_assigned_cell)",
-    "Gene assigned reads": "(SELECT count(DISTINCT read_id) FROM k WHERE known)",
-    "Reads in final cells": "(SELECT count(DISTINCT read_id) FROM k)",
-    "Unique genes": "(SELECT count(DISTINCT gene) FROM k WHERE known)",
-    "Estimated number of cells": "(SELECT count(*) FROM pc)",
-    "Mean cell-associated reads per cell": "(SELECT avg(n_reads) FROM pc)",
-    "Mean UMI counts per cell": "(SELECT avg(n_umis) FROM pc)",
-    "Median UMI counts per cell": "(SELECT median(n_umis) FROM pc)",
-    "Mean Genes per cell": "(SELECT avg(n_genes) FROM pc)",
-    "Median Genes per cell": "(SELECT median(n_genes) FROM pc)",
-}
-_TOTALS |= {
-    name: f"{_TOTALS[a]} / {_TOTALS[b]}"
-    for name, a, b in (
-        ("Mean reads per cell", "Input reads", "Estimated number of cells"),
-        ("Fraction reads in cells", "Reads in final cells", "Full length reads"),
-        ("Percent full length reads", "Full length reads", "Input reads"),
-        ("Percent barcode-valid reads of full length", "Barcode-valid reads", "Full length reads"),
-        ("Percent reads assigned to final cells of full length", "Reads assigned to final cells", "Full length reads"),
-        ("Percent gene assigned reads of full length", "Gene assigned reads", "Full length reads"),
-    )
-}
+    "Input reads": _INPUT, "Raw FASTQ reads": _INPUT, "Full length reads": _FULL, "Pass reads": _FULL, "Estimated number of cells": _N_CELLS,
+    "Aligned BAM reads": _FROM("mapped_reads", "bam"), "Aligned BAM records": _FROM("records", "bam"), "Mapped": _FROM("primary_mapped", "bam"), "Unmapped": _FROM("unmapped", "bam"),
+    "Supplementary": _FROM("supplementary", "bam"), "Barcode-valid reads": _DISTINCT("readids_umi_bc_clean"), "Reads assigned to final cells": _DISTINCT("read_assigned_cell"),
+    "Gene assigned reads": _KNOWN, "Reads in final cells": _IN_CELLS, "Reads aligned to reference genome in final cells": _FROM("mapped_in_cells", "bam"),
+    "Reads per cell (mean)": f"{_INPUT} / {_N_CELLS}", "Mean reads per cell": f"{_INPUT} / {_N_CELLS}", "Mean cell-associated reads per cell": _FROM("avg(n_reads)", "pc"),
+    "Mean UMI counts per cell": _FROM("avg(n_umis)", "pc"), "Median UMI counts per cell": _FROM("median(n_umis)", "pc"), "Mean Genes per cell": _FROM("avg(n_genes)", "pc"),
+    "Median Genes per cell": _FROM("median(n_genes)", "pc"), "Genes per cell (median)": _FROM("median(n_genes)", "pc"), "Unique genes": _GENES, "Total genes detected": _GENES,
+    "Fraction reads in cells": f"{_IN_CELLS} / {_FULL}", "Percent full length reads": f"{_FULL} / {_INPUT}", "Percent barcode-valid reads of full length": f"{_DISTINCT('readids_umi_bc_clean')} / {_FULL}",
+    "Percent reads assigned to final cells of full length": f"{_DISTINCT('read_assigned_cell')} / {_FULL}", "Percent gene assigned reads of full length": f"{_KNOWN} / {_FULL}",
+    "Fraction reads aligned to reference genome in final cells": f"{_FROM('mapped_in_cells', 'bam')} / {_FULL}",
+    "Transcript assigned reads": _FROM("known_reads", "tx"), "Percent transcript assigned reads of full length": f"{_FROM('known_reads', 'tx')} / {_FULL}",
+    "High-confidence known-transcript reads": _FROM("known_reads", "tx"), "Fraction high-confidence known-transcript reads in final cells": f"{_FROM('known_reads', 'tx')} / {_FULL}",
+    "Unique isoforms": _FROM("isoforms", "tx"),
+}
 
 ORACLES = {
     "gene_matrix": _M + _MATRIX + " SELECT * FROM gm",
     "isoform_matrix": _M + """, t AS (SELECT read_id, min(gene || '.' || substr(umi, 7, 1)) AS transcript_id FROM m GROUP BY read_id)
         SELECT transcript_id, barcode, count(DISTINCT umi) AS n FROM m JOIN t USING (read_id) GROUP BY ALL""",
     "per_cell_qc": _M + _CELLS + " SELECT barcode, n_reads, n_umis, n_genes, round(mito_percent, 6) AS mito_percent FROM pc",
-    "experiment_metrics": _M + _CELLS + " ".join(["", " UNION ALL ".join(f"SELECT '{n}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value" for n, e in _TOTALS.items())]),
+    "matrix_cells": _M + _MATRIX + """ SELECT c.barcode, coalesce(f, 0) AS n_features, CAST(coalesce(n, 0) AS BIGINT) AS n FROM (SELECT DISTINCT barcode FROM m) AS c
+        LEFT JOIN (SELECT barcode, count(*) AS f, sum(n) AS n FROM gm GROUP BY barcode) AS g ON c.barcode = g.barcode""",
+    "bam_summary": _M + _BAM + " SELECT * FROM bam",
+    "transcript_summary": _M + _TX + " SELECT * FROM tx",
+    "stage_summary": _M + f""", q AS (SELECT count(*) FILTER (coalesce(l < 200, true)) AS sh, count(*) FILTER (NOT coalesce(l < 200, true) AND coalesce(q < 7, true)) AS bad
+            FROM (SELECT any_value(read_length) AS l, any_value(mean_quality) AS q FROM read_qc_reads GROUP BY read_id)){_TX},
+        s AS (SELECT 0 AS no, 'Raw reads' AS metric, {_INPUT} AS n UNION ALL SELECT 1, 'Clean reads', {_INPUT} - sh - bad FROM q UNION ALL SELECT 2, 'Full length', {_FULL} UNION ALL SELECT 3, 'Barcode-valid', {_DISTINCT('readids_umi_bc_clean')}
+            UNION ALL SELECT 4, 'Cell-assigned', {_DISTINCT('read_assigned_cell')} UNION ALL SELECT 5, 'Gene assigned', {_KNOWN} UNION ALL SELECT 6, 'Transcript assigned', known_reads FROM tx)
+        SELECT no, metric, CAST(n AS DOUBLE) AS n, round(n / {_INPUT}, 6) AS share FROM s""",
+    "cells_with_metadata": _M + _SPECIES + f""", b AS (SELECT cell_id, count(DISTINCT x) AS n_barcodes FROM (SELECT {sql_clean('cell_id')} AS cell_id, {sql_clean('bc5n')} AS x FROM read_assigned_cell
+            UNION ALL SELECT {sql_clean('cell_id')}, {sql_clean('bc3n')} FROM read_assigned_cell) WHERE cell_id IS NOT NULL AND x IS NOT NULL GROUP BY cell_id)
+        SELECT cells.cell_id, 'core' AS core_type, CAST(n_barcodes AS INTEGER) AS n_barcodes, umi_total, assignment FROM cells JOIN b ON cells.cell_id = b.cell_id WHERE n_barcodes IN (2, 3, 4) AND umi_total >= 5""",
+    "ambient_removed": _M + _SPECIES + " SELECT cell_id, umi_human, umi_mouse, assignment FROM cells WHERE umi_human < 20 AND umi_mouse < 20",
+    "count_totals": _M + _MATRIX + " SELECT gene, CAST(sum(n) AS BIGINT) AS total FROM gm GROUP BY gene",
+    "fallback_layout": _M + _MATRIX + """, c AS (SELECT barcode, coalesce((SELECT CAST(sum(n) AS BIGINT) FROM gm WHERE gm.barcode = x.barcode), 0) AS n FROM (SELECT DISTINCT barcode FROM m) AS x),
+        p AS (SELECT *, row_number() OVER (PARTITION BY n > 0 ORDER BY barcode) - 1 - (count(*) OVER (PARTITION BY n > 0) - 1) / 2.0 AS x FROM c)
+        SELECT barcode, CAST(x AS DOUBLE) AS x, CAST(CASE WHEN n > 0 OR NOT (SELECT bool_or(n > 0) FROM c) THEN 0 ELSE -1 END AS DOUBLE) AS y, CASE WHEN n > 0 THEN '0' ELSE 'unassigned' END AS label,
+            CASE WHEN n > 0 THEN 'fallback' ELSE 'unassigned' END AS status, n FROM p""",
+    "cell_sample": _M + _CELLS + """ SELECT barcode, n_reads, n_umis, n_genes, round(mito_percent, 6) AS mito_percent FROM pc QUALIFY row_number() OVER (ORDER BY sha256(barcode), barcode) <= 2000""",
+    "experiment_metrics": _M + _CELLS + _BAM + _TX + " ".join(["", " UNION ALL ".join(f"SELECT '{n}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value" for n, e in _TOTALS.items())]),
+    "saturation": _M + f""", o AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', read_id, gene, barcode, umi)), read_id, gene, barcode, umi) AS rk FROM k),
+        f AS (SELECT CAST(fraction AS DOUBLE) AS fraction, CAST(round_even(fraction * (SELECT count(*) FROM m), 0) AS BIGINT) AS reads FROM (SELECT unnest({list(_FRACTIONS)}) AS fraction)),
+        c AS (SELECT fraction, barcode, count(DISTINCT read_id) AS r, count(DISTINCT umi) AS u, count(DISTINCT CASE WHEN known THEN gene END) AS g FROM f JOIN o ON rk <= reads GROUP BY ALL),
+        d AS (SELECT fraction, median(r) AS r, median(u) AS u, median(g) AS g FROM c GROUP BY fraction),
+        n AS (SELECT fraction, count(DISTINCT gene || '_' || barcode || '_' || umi) AS mols FROM f JOIN o ON rk <= reads GROUP BY fraction)
+        SELECT f.fraction, reads, coalesce(r, 0.0) AS reads_per_cell, coalesce(g, 0.0) AS genes_per_cell, coalesce(u, 0.0) AS umis_per_cell,
+            CASE WHEN reads > 0 THEN round(1 - mols / reads, 9) ELSE 0.0 END AS saturation FROM f LEFT JOIN d ON f.fraction = d.fraction LEFT JOIN n ON f.fraction = n.fraction""",
     "saturation_full_depth": _M + """, c AS (SELECT barcode, count(DISTINCT read_id) AS r, count(DISTINCT umi) AS u, count(DISTINCT CASE WHEN known THEN gene END) AS g FROM k GROUP BY barcode)
         SELECT CAST(1.0 AS DOUBLE) AS fraction, (SELECT count(*) FROM m) AS reads, median(r) AS reads_per_cell, median(g) AS genes_per_cell, median(u) AS umis_per_cell,
         round(1 - (SELECT count(DISTINCT gene || '_' || barcode || '_' || umi) FROM m) / (SELECT count(*) FROM m), 9) AS saturation FROM c""",
@@ -310,22 +399,23 @@ ORACLES = {
         f"coalesce(sum({c}) FILTER (assignment = '{a}'), 0) AS {n}"
         for n, a, c in (("o0", "human_singlet", "umi_human"), ("t0", "human_singlet", "umi_total"), ("o1", "mouse_singlet", "umi_mouse"), ("t1", "mouse_singlet", "umi_total"))
     ) + f", {_COUNT('human_singlet')} AS n0, {_COUNT('mouse_singlet')} AS n1 FROM cells) " + " UNION ALL ".join(
-        f"SELECT '{n}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value FROM own"
+        f"SELECT '{n}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value, CAST(NULL AS VARCHAR) AS text FROM own"
         for n, e in (
             ("genome0_singlet_cells", "n0"), ("genome1_singlet_cells", "n1"), ("effective_singlet_cells_for_overall_purity", "n0 + n1"),
             ("genome0_singlet_own_umis", "o0"), ("genome0_singlet_total_umis", "t0"), ("genome1_singlet_own_umis", "o1"), ("genome1_singlet_total_umis", "t1"),
             ("all_singlet_dominant_species_umis", "o0 + o1"), ("all_singlet_total_umis", "t0 + t1"),
+            ("human_mean_purity", "o0 / nullif(t0, 0)"), ("mouse_mean_purity", "o1 / nullif(t1, 0)"),
             ("genome0_mean_purity", "o0 / nullif(t0, 0)"), ("genome1_mean_purity", "o1 / nullif(t1, 0)"), ("overall_purity", "(o0 + o1) / nullif(t0 + t1, 0)"),
         )
-    ),
+    ) + " UNION ALL SELECT 'genome0_name', NULL, 'human' UNION ALL SELECT 'genome1_name', NULL, 'mouse'",
     "first_n_per_group": _M + """, f AS (SELECT *, row_number() OVER (PARTITION BY barcode, gene ORDER BY read_id, umi) AS rn FROM m)
         SELECT barcode, gene, umi, count(*) AS n FROM f WHERE rn <= 20 GROUP BY ALL""",
     "dedup_first": _M + """ SELECT read_id, gene, barcode, umi FROM (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY gene, barcode, umi) AS rn FROM m) WHERE rn = 1""",
     "umi_directional": _RECURSIVE + _UMI + " SELECT * FROM umis",
     "corrected_matrix": _RECURSIVE + _UMI + r" SELECT gene, barcode, count(DISTINCT umi_corrected) AS n FROM umis WHERE NOT regexp_matches(gene, '^.+_[0-9]+_[0-9]+$') GROUP BY ALL",
     "beads_hist": _ASSIGNED + " SELECT n_barcodes, count(*) AS n_cells FROM (SELECT cell_id, count(*) AS n_barcodes FROM p GROUP BY cell_id) GROUP BY n_barcodes",
-    "barcode_to_cell": _ASSIGNED + """ SELECT cell_id, 'CELL' || CAST(regexp_extract(cell_id, 'CELL_([0-9]+)', 1) AS BIGINT) || '_N' || count(*) AS cell,
-        string_agg(x, ';' ORDER BY x) AS barcodes FROM p GROUP BY cell_id""",
+    "barcode_to_cell": _ASSIGNED + """ SELECT cell_id, 'CELL' || CAST(regexp_extract(cell_id, 'CELL_([0-9]+)', 1) AS BIGINT) || '_N' || count(*) OVER (PARTITION BY cell_id) AS cell,
+        row_number() OVER (PARTITION BY cell_id ORDER BY x) AS place, x AS barcode FROM p""",
     "cell_read_stats": _ASSIGNED + " SELECT cell_id, count(*) AS n_reads FROM r WHERE cell_id IS NOT NULL GROUP BY cell_id HAVING count(*) >= 20",
     "read_tags": _ASSIGNED + """, t AS (SELECT read_id, cell_id, a AS barcode_5p, b AS barcode_3p, concat_ws('+', a, b) AS barcode_dual, coalesce(u5, u3) AS umi FROM r
         WHERE cell_id IS NOT NULL AND coalesce(a, b) IS NOT NULL AND coalesce(u5, u3) IS NOT NULL)

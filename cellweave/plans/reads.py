@@ -446,11 +446,11 @@ x3 AS (SELECT read_id, bc3, bc5, seq, {_CUT('bs', 'be')} AS bc, loc AS bc_loc, C
     CASE WHEN ue = 0 THEN '' ELSE coalesce({_CUT('ue - 15', 'ue')}, '') END AS umi, ul AS umi_loc, coalesce({_CUT('ue - 20', 'ue - 15')}, '') AS flank, CASE WHEN length(w) - ts >= 8 THEN ts - length(w) + we END AS poly_a,
     CASE WHEN loc = -1 AND ul IS NULL THEN 11 WHEN loc > -16 AND ul IS NULL THEN 14 ELSE CASE WHEN loc = -16 THEN 1 WHEN loc < -16 THEN 5 WHEN loc = -1 THEN 9 ELSE 12 END
         + CASE WHEN ul IS NULL THEN 2 ELSE 0 END + CASE WHEN length(w) - ts >= 8 THEN 0 ELSE 1 END END AS read_type FROM i3)"""
-_TRIM = """, t AS (SELECT x3.read_id, x3.seq, length(x3.seq) AS n, CASE WHEN x5.bc5 <> '' THEN coalesce(least(x5.umi_loc + 15, length(x5.seq)), CASE WHEN x5.bc_loc >= 0 THEN least(x5.bc_loc + 31, length(x5.seq)) END, 0) ELSE 0 END AS s,
+_BOUNDS = """, t AS (SELECT x3.read_id, x3.bc3, x3.bc5, x3.seq, length(x3.seq) AS n, CASE WHEN x5.bc5 <> '' THEN coalesce(least(x5.umi_loc + 15, length(x5.seq)), CASE WHEN x5.bc_loc >= 0 THEN least(x5.bc_loc + 31, length(x5.seq)) END, 0) ELSE 0 END AS s,
     CASE WHEN x3.bc3 <> '' THEN coalesce(CASE WHEN length(x3.seq) + poly_a >= 0 THEN length(x3.seq) + poly_a END, CASE WHEN length(x3.seq) + x3.umi_loc >= 0 THEN greatest(length(x3.seq) + x3.umi_loc - 10, 0) END,
         CASE WHEN x3.bc_loc <> -1 THEN greatest(length(x3.seq) + x3.bc_loc - 25, 0) END, length(x3.seq)) ELSE length(x3.seq) END AS e
-    FROM x3 JOIN x5 ON x3.read_id = x5.read_id AND x3.seq = x5.seq AND x3.bc3 = x5.bc3 AND x3.bc5 = x5.bc5)
-SELECT read_id, CASE WHEN s < e THEN s END AS trim_start, CASE WHEN s < e THEN e END AS trim_end, CASE WHEN s < e THEN substr(seq, s + 1, e - s) END AS cdna FROM t"""
+    FROM x3 JOIN x5 ON x3.read_id = x5.read_id AND x3.seq = x5.seq AND x3.bc3 = x5.bc3 AND x3.bc5 = x5.bc5)"""
+_TRIM = _BOUNDS + """ SELECT read_id, CASE WHEN s < e THEN s END AS trim_start, CASE WHEN s < e THEN e END AS trim_end, CASE WHEN s < e THEN substr(seq, s + 1, e - s) END AS cdna FROM t"""
 
 _SEQ_JOINED = _SEQ.replace("FROM e)", """FROM (SELECT * REPLACE (concat(seq, CASE WHEN substr(md5(read_id), 1, 1) < '8' THEN seq ELSE reverse(translate(seq, 'ACGT', 'TGCA')) END) AS seq,
     concat(qual, CASE WHEN substr(md5(read_id), 1, 1) < '8' THEN qual ELSE reverse(qual) END) AS qual) FROM e))""")
@@ -502,7 +502,6 @@ ORACLES = {
     "extract_5p": _SEQ + _X5 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x5",
     "extract_3p": _SEQ + _X3 + " SELECT * EXCLUDE (bc3, bc5, seq) FROM x3",
     "trim_bounds": _SEQ + _X5 + _X3 + _TRIM,
-    "trimmed_fastq": _SEQ + _X5 + _X3 + _TRIM.replace("SELECT read_id, CASE WHEN s < e", "SELECT DISTINCT t.read_id || ':' || t.bc5 || ':' || t.bc3 AS read_id, CASE WHEN s < e THEN substr(t.seq, s + 1, e - s) ELSE t.seq END AS seq, CASE WHEN s < e THEN substr(f.qual, s + 1, e - s) ELSE f.qual END AS qual, NOT (s < e) AS fell_back FROM t JOIN f ON t.read_id = f.read_id AND t.seq = f.seq AND t.bc3 = f.bc3 AND t.bc5 = f.bc5 JOIN cr ON cr.read_id = t.read_id AND coalesce(bc5n, '') = t.bc5 AND coalesce(bc3n, '') = t.bc3 --").replace("AS (SELECT x3.read_id, x3.seq,", "AS (SELECT x3.read_id, x3.bc3, x3.bc5, x3.seq,").replace(", t AS", ", cr AS (__CLEAN__), t AS"),
     "hq_counts": _HQ + " SELECT * FROM h",
     "observed_whitelist": _HQ + """, w AS (SELECT * FROM h WHERE barcode IN (SELECT barcode FROM whitelist_3p)),
         t AS (SELECT quantile_cont(n_reads, 0.95) / 20 AS cut FROM (SELECT * FROM w ORDER BY n_reads DESC, barcode LIMIT 50)) SELECT w.* FROM w, t WHERE n_reads > cut""",
@@ -519,6 +518,15 @@ ORACLES = {
     "unique_barcodes": f"""WITH r AS (SELECT {sql_clean('bc3n')} AS a, {sql_clean('bc5n')} AS b FROM readids_umi_bc_clean)
         SELECT '3p' AS side, count(DISTINCT a) AS n FROM r UNION ALL SELECT '5p', count(DISTINCT b) FROM r
         UNION ALL SELECT 'any', count(*) FROM (SELECT a FROM r WHERE a IS NOT NULL UNION SELECT b FROM r WHERE b IS NOT NULL)""",
+    # All entries have 26 letters. Within 2 edits one of three parts of an entry stays; parts of a value near that length are compared with it.
+    "fuzzy_correct": f"""WITH w AS (SELECT DISTINCT barcode FROM whitelist_3p WHERE barcode <> ''), v AS (SELECT DISTINCT {sql_clean('putative_barcode')} AS v FROM correction_map_3p),
+        a AS (SELECT v FROM v WHERE v IS NOT NULL AND v NOT IN (SELECT barcode FROM w)),
+        q AS (SELECT barcode, unnest([substr(barcode, 1, 8), substr(barcode, 9, 11), substr(barcode, 20)]) AS s FROM w),
+        p AS (SELECT DISTINCT v, substr(v, i, n) AS s FROM (SELECT v, n, unnest(range(1, length(v) - n + 2)) AS i FROM a, (VALUES (8), (11), (7)) AS k(n))),
+        m AS (SELECT DISTINCT v, barcode FROM p JOIN q USING (s)),
+        d AS (SELECT v, barcode, list_min(list_transform(range(0, 5 * length(v)), lambda i: levenshtein(substr(v, i // 5 + 1, 24 + i % 5), barcode))) AS d FROM m),
+        b AS (SELECT v, count(*) AS n, min(barcode) AS barcode FROM d WHERE d <= 2 AND d = (SELECT min(d) FROM d AS x WHERE x.v = d.v) GROUP BY v)
+        SELECT v.v AS value, CASE WHEN v.v IN (SELECT barcode FROM w) THEN v.v WHEN n = 1 THEN b.barcode ELSE '' END AS corrected FROM v LEFT JOIN b ON v.v = b.v WHERE v.v IS NOT NULL""",
     "read_gate": _SEQ + """ SELECT CASE WHEN length(seq) < 100 THEN 16 WHEN -10 * log10(list_avg(list_transform(ph, lambda x: pow(10, -x / 10.0)))) < 7 THEN 17 ELSE 0 END AS gate, count(*) AS n FROM f GROUP BY ALL""",
     "mean_quality": _SEQ + """, g AS (SELECT read_id, ph, CASE WHEN length(seq) >= 100 THEN ph[11:length(seq) - 10] ELSE ph END AS t FROM f)
         SELECT read_id, round(CAST(CAST(-10 * log10(list_avg(list_transform(t, lambda x: pow(10, -x / 10.0)))) AS FLOAT) AS DOUBLE), 4) AS mean_quality, list_min(ph) AS min_quality FROM g""",
@@ -575,4 +583,6 @@ ORACLES = {
         max(l) FILTER (l >= 0) AS max_length, round(avg(q) FILTER (q >= 0), 6) AS mean_quality, round(median(q) FILTER (q >= 0), 6) AS median_quality,
         count(*) FILTER (upper(trim(coalesce(read_id, ''), ' ')) IN ('', 'NA', 'NAN', 'NONE')) AS n_unnamed FROM o GROUP BY sample_name""",
 }
-ORACLES["trimmed_fastq"] = ORACLES["trimmed_fastq"].split(" --")[0].replace("__CLEAN__", ORACLES["clean_reads"])
+ORACLES["trimmed_fastq"] = _SEQ + _X5 + _X3 + _BOUNDS + f""", cr AS ({ORACLES['clean_reads']}) SELECT DISTINCT t.read_id || ':' || t.bc5 || ':' || t.bc3 AS read_id,
+    CASE WHEN s < e THEN substr(t.seq, s + 1, e - s) ELSE t.seq END AS seq, CASE WHEN s < e THEN substr(f.qual, s + 1, e - s) ELSE f.qual END AS qual, NOT (s < e) AS fell_back
+    FROM t JOIN f ON t.read_id = f.read_id AND t.seq = f.seq AND t.bc3 = f.bc3 AND t.bc5 = f.bc5 JOIN cr ON cr.read_id = t.read_id AND coalesce(bc5n, '') = t.bc5 AND coalesce(bc3n, '') = t.bc3"""
