@@ -41,6 +41,21 @@ def p1_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p1_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The barcodes with at least 1% of the rows, and whether the summary has each within its bound.
+
+    The summary depends on how the rows are parted, its guarantee doesn't.
+    """
+
+    def bounded(keys: DataFrame) -> DataFrame:
+        summary = frequent.frequent_items(keys, "item")
+        exact = keys.join(F.broadcast(summary), "item").groupBy("item", "approx_count", "max_error", "n_rows").agg(F.count("*").alias("n"))  # as many rows as counters
+        within = F.col("n").between(F.col("approx_count"), F.col("approx_count") + F.col("max_error"))
+        return exact.filter(F.col("n") / F.col("n_rows") >= 0.01).select("item", F.col("n").alias("n_rows"), within.alias("within"))
+
+    return _per_field(spark, sf_dir, bounded).select("field", "item", "n_rows", "within")
+
+
 # 2. Groups of barcodes
 
 
@@ -205,7 +220,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_frequent, p2_found, p2_groups, p4_found, p4_percentiles, p5_found, p5_unmatched,
+        p1_found, p1_frequent, p1_bounds, p2_found, p2_groups, p4_found, p4_percentiles, p5_found, p5_unmatched,
         p6_found, p6_leaks, p7_found, p7_report, p8_found, p8_repairs,
     )
 }
@@ -224,6 +239,13 @@ _P1_SQL = " UNION ALL ".join(
     for field, table in _P1_FIELDS.items()
 )
 
+_P1_BOUNDS = " UNION ALL ".join(
+    f"""SELECT '{field}' AS field, item, count(*) AS n_rows, true AS within FROM (
+        SELECT {_clean(field)} AS item FROM {table}) WHERE item IS NOT NULL
+        GROUP BY item HAVING count(*) >= 0.01 * (SELECT count({_clean(field)}) FROM {table})"""
+    for field, table in _P1_FIELDS.items()
+)
+
 _P2_GROUPS = f"""
 WITH RECURSIVE r AS (SELECT DISTINCT {_clean("bc5n")} AS a, {_clean("bc3n")} AS b, {_clean("cell_id")} AS c FROM read_assigned_cell),
 n AS (SELECT DISTINCT c, x FROM (SELECT c, a AS x FROM r UNION ALL SELECT c, b FROM r) WHERE x IS NOT NULL),
@@ -261,6 +283,16 @@ dg AS (SELECT doc_id, array_to_string(w[s:s + 11], ' ') AS g FROM (SELECT doc_id
 ig AS (SELECT DISTINCT item_no, array_to_string(w[s:s + 11], ' ') AS g FROM (SELECT item_no, w, unnest(range(1, len(w) - 10)) AS s FROM i))
 SELECT DISTINCT doc_id, item_no FROM dg JOIN ig USING (g)"""
 
+# 12-grams that both hold, by the distance of their places: runs of them are runs of words, 11 longer.
+_P6_LEAKS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_no, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_passages),
+dg AS (SELECT doc_id, s, array_to_string(w[s:s + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS s FROM d)),
+ig AS (SELECT item_no, s, array_to_string(w[s:s + 11], ' ') AS g FROM (SELECT item_no, w, unnest(range(1, len(w) - 10)) AS s FROM i)),
+m AS (SELECT doc_id, item_no, dg.s AS s, dg.s - ig.s AS gap FROM dg JOIN ig USING (g)),
+r AS (SELECT doc_id, item_no, gap, min(s) AS s, count(*) + 11 AS n FROM (SELECT *, s - row_number() OVER (PARTITION BY doc_id, item_no, gap ORDER BY s) AS run FROM m) GROUP BY doc_id, item_no, gap, run)
+SELECT doc_id, item_no, CAST(n AS INTEGER) AS shared_words, CAST(s - 1 AS INTEGER) AS doc_word FROM r QUALIFY row_number() OVER (PARTITION BY doc_id, item_no ORDER BY n DESC, s) = 1"""
+
 _P7_SQL = rf"""
 WITH s AS (SELECT lower(trim(source, ' ')) AS source, len(list_filter(regexp_split_to_array(text, '{mixing.WHITE}'), lambda x: x <> '')) AS size FROM documents),
 t AS (SELECT lower(trim(source, ' ')) AS source, target_share, max_repeats FROM mix_targets),
@@ -289,6 +321,8 @@ ORACLES: dict[str, str] = {
     "p5_found": _P5_SQL + "SELECT read_id, CASE WHEN n_best = 1 THEN barcode ELSE 'UNMATCHED' END AS barcode FROM r LEFT JOIN x ON r.v = x.v",
     "p5_unmatched": _P5_SQL + """SELECT r.v AS item, count(*) AS n_reads, coalesce(any_value(n_best), 0) AS n_nearest, any_value(d) AS distance FROM r LEFT JOIN x ON r.v = x.v
         WHERE n_best IS NULL OR n_best > 1 GROUP BY r.v""",
+    "p1_bounds": _P1_BOUNDS,
+    "p6_leaks": _P6_LEAKS,
     "p6_found": _P6_SQL,
     "p7_found": _P7_SQL,
 }
