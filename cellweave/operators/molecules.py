@@ -266,7 +266,7 @@ def attach_metadata(cells: DataFrame, metadata: DataFrame) -> DataFrame:
     twice = cells.groupBy("cell_id").agg(F.count("*").alias("_times"))
     checked = F.when(F.col("_times") > 1, F.raise_error(F.concat(F.lit("a cell comes twice: "), F.col("cell_id")))).otherwise(F.col("cell_id"))
     rest = [c for c in cells.columns if c not in ("cell_id", "core_type", "n_barcodes")]
-    return cells.join(twice, "cell_id").join(one, "cell_id", "left").select(checked.alias("cell_id"), "core_type", "n_barcodes", *rest)
+    return cells.drop("core_type", "n_barcodes").join(twice, "cell_id").join(one, "cell_id", "left").select(checked.alias("cell_id"), "core_type", "n_barcodes", *rest)
 
 
 def by_assignment(cells: DataFrame) -> DataFrame:

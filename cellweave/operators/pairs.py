@@ -94,10 +94,6 @@ def top_partner(support: DataFrame) -> DataFrame:
     )
 
 
-#: Star passes between two written tables.
-PASSES = 2
-
-
 def _stars(links: DataFrame) -> DataFrame:
     """One large and one small star over links a > b; distinct links come out."""
     sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
@@ -109,18 +105,17 @@ def _stars(links: DataFrame) -> DataFrame:
     return linked.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, component: the smallest node that can be reached, by alternating stars.
 
     A large star links the larger neighbours of a node to its smallest, a small star its smaller
-    ones; each pass shortens the trees, until every node hangs on the smallest of its component.
+    ones; each pass shortens the trees, until every node hangs on the smallest of its component. The result is a written table.
     """
     pairs = edges.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b"))
-    given = materialize(pairs.distinct(), "links").df
-    links, stage, before = given.filter("a <> b"), None, None
+    given = materialize(pairs.distinct(), "links")
+    links, stage, before = given.df.filter("a <> b"), None, None
     for _ in range(max_rounds):
-        for _ in range(PASSES):
-            links = _stars(links)
+        links = _stars(links)
         seen = Observation()
         size = (F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("sum"))
         after = materialize(links.observe(seen, *size), "stars")
@@ -133,9 +128,12 @@ def components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
         before = found
     else:
         raise RuntimeError(f"components still change after {max_rounds} rounds")
-    nodes = given.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = given.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = stage.df.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
-    return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    named = materialize(nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components").df
+    given.drop()
+    stage.drop()
+    return named
 
 
 def label_edges(support: DataFrame, parts: DataFrame) -> DataFrame:
@@ -219,8 +217,9 @@ def _motif_verdicts(edges: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def prune_edges(support: DataFrame, parts: DataFrame, both_ends: bool = False, alpha_reads: float = 0.1, alpha_umis: float = 0.3) -> DataFrame:
-    """u, v, n_reads, n_umis, kept_by: the edges that stay, by the shape of their component or by their ends."""
-    labelled = materialize(label_edges(support, parts), "labelled").df  # three steps read it
+    """u, v, n_reads, n_umis, kept_by: the edges that stay, by the shape of their component or by their ends; a written table."""
+    written = materialize(label_edges(support, parts), "labelled")  # three steps read it
+    labelled = written.df
     categories, edges = _categories(labelled, parts), labelled
     tops = _ends(support).groupBy("node").agg(F.max("n_reads").alias("top_reads"), F.max("n_umis").alias("top_umis"))
     passes = {}
@@ -230,9 +229,10 @@ def prune_edges(support: DataFrame, parts: DataFrame, both_ends: bool = False, a
     by_ends = (passes["u"] & passes["v"]) if both_ends else (passes["u"] | passes["v"])
     verdicts = _motif_verdicts(labelled, categories)
     kept = F.when(F.coalesce("motif_ok", F.lit(False)), "motif").when((F.col("u") == F.col("v")) | by_ends, "ends")
-    return edges.join(verdicts, "component", "left").withColumn("kept_by", kept).filter("kept_by IS NOT NULL").select(
-        "u", "v", "n_reads", "n_umis", "kept_by"
-    )
+    pruned = edges.join(verdicts, "component", "left").withColumn("kept_by", kept).filter("kept_by IS NOT NULL")
+    result = materialize(pruned.select("u", "v", "n_reads", "n_umis", "kept_by"), "pruned").df
+    written.drop()
+    return result
 
 
 def number_cells(categories: DataFrame, parts: DataFrame, include_other: bool = False, max_other: int = 8) -> DataFrame:

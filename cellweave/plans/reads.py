@@ -219,17 +219,12 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def component_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = _kept(spark, sf_dir)
-    return P.component_categories(kept, _parts(kept))
-
-
-def _parts(pairs: DataFrame) -> DataFrame:
-    """Components, written once because several steps read them."""
-    return materialize(P.components(pairs), "components").df
+    return P.component_categories(kept, P.components(kept))
 
 
 def edge_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = _kept(spark, sf_dir)
-    return P.prune_edges(kept, _parts(kept))
+    return P.prune_edges(kept, P.components(kept))
 
 
 def clean_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,8 +237,8 @@ def clean_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cells of barcodes, the strongest partner of each barcode, and the pairs that pruning kept."""
     kept = _kept(spark, sf_dir)
-    pruned = materialize(P.prune_edges(kept, _parts(kept)).drop("kept_by"), "pruned").df
-    parts = _parts(pruned)
+    pruned = P.prune_edges(kept, P.components(kept)).drop("kept_by")
+    parts = P.components(pruned)
     return P.number_cells(P.component_categories(pruned, parts), parts), P.top_partner(pruned), pruned
 
 
