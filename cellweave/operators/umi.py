@@ -20,8 +20,8 @@ from cellweave.operators.pairs import components
 from cellweave.operators.prefix import run_starts
 from cellweave.session import materialize
 
-#: UMIs of a group that one task resolves whole.
-WHOLE = 2_000
+#: UMIs of a group that one task resolves whole: at most 32 million comparisons, some ten seconds.
+WHOLE = 8_000
 #: UMIs of a block; two blocks are compared in one task.
 BLOCK = 1_000
 #: UMIs of a group from which on comparing all blocks costs more than the variants of each UMI.
@@ -102,7 +102,23 @@ def _resolve(group: list[str], k: int):
     return run
 
 
-def _compare_tiles(keys: list[str], group: list[str], k: int):
+def _thin(source: np.ndarray, target: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges without those between UMIs of one read, and one edge from each such UMI to the first it is joined with instead."""
+    mutual = (n[source] == 1) & (n[target] == 1)
+    a, b = source[mutual], target[mutual]
+    label = np.arange(len(n))
+    while True:
+        after = label.copy()
+        np.minimum.at(after, b, label[a])
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    joined = np.flatnonzero(label != np.arange(len(n)))
+    return np.concatenate([source[~mutual], label[joined]]), np.concatenate([target[~mutual], joined])
+
+
+def _compare_tiles(keys: list[str], group: list[str], k: int, thin: bool):
     """Edges (a, na, b, nb) of the tiles; a tile of two blocks compares the rows of one with those of the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,6 +132,8 @@ def _compare_tiles(keys: list[str], group: list[str], k: int):
             turn = np.repeat(starts + lefts, ends - starts)
             first = np.where(one_block, np.arange(len(umis)) + 1, np.where(side == 0, turn, end))
             source, target = _close(umis, n, first, end, k)
+            if thin:
+                source, target = _thin(source, target, n)
             made = rows.select(group).take(pa.array(source))
             for name, values in (("a", source), ("b", target)):
                 made = made.append_column(name, rows["umi"].take(pa.array(values))).append_column(f"n{name}", rows["n"].take(pa.array(values)))
@@ -124,9 +142,10 @@ def _compare_tiles(keys: list[str], group: list[str], k: int):
     return run
 
 
-def tile_edges(counts: DataFrame, group: Sequence[str], k: int = 3, block: int = BLOCK) -> DataFrame:
+def tile_edges(counts: DataFrame, group: Sequence[str], k: int = 3, block: int = BLOCK, thin: bool = False) -> DataFrame:
     """`group`, a, na, b, nb: UMIs within k edits of each other where na >= 2 nb - 1, by comparing blocks with blocks.
 
+    With `thin` the UMIs of one read that a tile joins come as one edge each instead of all pairs: they reach each other all the same.
     The blocks of a group are spread over all tasks; a UMI is sent to as many tiles as its group has blocks.
     """
     g = list(group)
@@ -145,7 +164,7 @@ def tile_edges(counts: DataFrame, group: Sequence[str], k: int = 3, block: int =
     kinds = T.StructType(
         [*(counts.schema[c] for c in g), T.StructField("a", T.StringType()), T.StructField("na", T.LongType()), T.StructField("b", T.StringType()), T.StructField("nb", T.LongType())]
     )
-    return tiles.repartition(tasks, *keys).sortWithinPartitions(*keys, "_side").mapInArrow(_compare_tiles(keys, g, k), kinds)
+    return tiles.repartition(tasks, *keys).sortWithinPartitions(*keys, "_side").mapInArrow(_compare_tiles(keys, g, k, thin), kinds)
 
 
 def _variants(text: Column, alphabet: list[str], edits: int) -> Column:
@@ -259,8 +278,9 @@ def collapse_umis(
         return resolved
     apart = materialize(among(large, "left_semi"), "umis-hot").df
     edges = None
-    for part, find in ((large.filter(F.col("_size") <= dense), tile_edges), (large.filter(F.col("_size") > dense), variant_edges)):
+    tiled = lambda part: tile_edges(part, g, k, thin=True)
+    for part, find in ((large.filter(F.col("_size") <= dense), tiled), (large.filter(F.col("_size") > dense), lambda part: variant_edges(part, g, k))):
         if not part.isEmpty():
-            found = find(among(part, "left_semi"), g, k)
+            found = find(among(part, "left_semi"))
             edges = found if edges is None else edges.unionByName(found)
     return resolved.unionByName(_follow(apart, g, edges, max_rounds))
