@@ -263,10 +263,11 @@ def resolve_reads(reads: DataFrame, bc5: str, bc3: str, cells: DataFrame, partne
         .join(cells.select(F.col("node").alias("partner"), F.col("cell_id").alias("_via")), "partner")
         .select("_from", "_via")
     )
+    # One table for both, so that the reads are joined once for each end.
+    known = cells.select(F.col("node").alias("_from"), F.col("cell_id").alias("_cell")).join(absorbed, "_from", "full")
     out = reads
     for end in (bc5, bc3):
-        out = out.join(cells.select(F.col("node").alias(end), F.col("cell_id").alias(f"_cell_{end}")), end, "left")
-        out = out.join(absorbed.select(F.col("_from").alias(end), F.col("_via").alias(f"_via_{end}")), end, "left")
+        out = out.join(known.select(F.col("_from").alias(end), F.col("_cell").alias(f"_cell_{end}"), F.col("_via").alias(f"_via_{end}")), end, "left")
     via5, via3 = F.col(f"_via_{bc5}"), F.col(f"_via_{bc3}")
     paired = F.col(bc5).isNotNull() & F.col(bc3).isNotNull()
     agreed = F.when(via5.isNull() | via3.isNull() | (via5 == via3), F.coalesce(via5, via3))
