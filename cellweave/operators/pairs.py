@@ -279,3 +279,20 @@ def resolve_reads(reads: DataFrame, bc5: str, bc3: str, cells: DataFrame, partne
 def cell_reads(assigned: DataFrame, least: int = 20) -> DataFrame:
     """cell_id, n_reads of the cells with enough reads."""
     return assigned.filter("cell_id IS NOT NULL").groupBy("cell_id").agg(F.count("*").alias("n_reads")).filter(F.col("n_reads") >= least)
+
+
+def assign_reads(reads: DataFrame, bc5: str, bc3: str, pairs: DataFrame, cells: DataFrame, partners: DataFrame, least: int = 20) -> DataFrame:
+    """The reads of cells that have at least `least`, with `cell_id`; a read with two barcodes needs one of `pairs` (u, v).
+
+    The cell of a read follows from its two barcodes. It is resolved once for each couple of barcodes that reads have, with
+    their number, so that the reads go through one join only. Missing barcodes count as values of their own; reads
+    without a cell are left out, repeated rows stay. A column `cell_id` that the reads have is replaced.
+    """
+    couples = reads.select(F.col(bc5).alias("_5"), F.col(bc3).alias("_3")).groupBy("_5", "_3").agg(F.count("*").alias("_n"))
+    found = resolve_reads(in_pairs(couples, "_5", "_3", pairs), "_5", "_3", cells, partners).filter("cell_id IS NOT NULL")
+    resolved = materialize(found, "couples").df  # counted and joined
+    large = resolved.groupBy("cell_id").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= least).select("cell_id")
+    known = resolved.select("_5", "_3", "cell_id").join(large, "cell_id", "left_semi")
+    rows = reads.drop("cell_id")
+    same = rows[bc5].eqNullSafe(known["_5"]) & rows[bc3].eqNullSafe(known["_3"])
+    return rows.join(known, same).drop("_5", "_3")

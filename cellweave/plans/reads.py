@@ -188,13 +188,13 @@ def _pair_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.drop_a_rich(P.valid_reads(rows, "bc5n", "bc3n", "putative_umi_5p", "putative_umi"), "putative_umi")
 
 
-def _support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.pair_support(_pair_reads(spark, sf_dir), "bc5n", "bc3n", "putative_umi_5p", "putative_umi")
+def _support(spark: SparkSession, sf_dir: str, reads: DataFrame | None = None) -> DataFrame:
+    return P.pair_support(_pair_reads(spark, sf_dir) if reads is None else reads, "bc5n", "bc3n", "putative_umi_5p", "putative_umi")
 
 
-def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _kept(spark: SparkSession, sf_dir: str, reads: DataFrame | None = None) -> DataFrame:
     """Supported pairs, written once because several steps read them."""
-    return materialize(P.keep_supported(_support(spark, sf_dir), _FLOOR), "pairs").df
+    return materialize(P.keep_supported(_support(spark, sf_dir, reads), _FLOOR), "pairs").df
 
 
 def pair_support(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,9 +234,9 @@ def clean_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.clean_reads(rows, "bc5n", "bc3n", "putative_umi_5p", "putative_umi", _FLOOR)
 
 
-def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _cells(spark: SparkSession, sf_dir: str, reads: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cells of barcodes, the strongest partner of each barcode, and the pairs that pruning kept."""
-    kept = _kept(spark, sf_dir)
+    kept = _kept(spark, sf_dir, reads)
     pruned = P.prune_edges(kept, P.components(kept)).drop("kept_by")
     parts = P.components(pruned)
     return P.number_cells(P.component_categories(pruned, parts), parts), P.top_partner(pruned), pruned
@@ -248,11 +248,9 @@ def cell_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_to_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads of cells that have at least 3, by the cell of their barcodes; a read with two needs a pair that was kept."""
-    cells, partners, pairs = _cells(spark, sf_dir)
-    reads = P.in_pairs(_pair_reads(spark, sf_dir), "bc5n", "bc3n", pairs)
-    resolved = P.resolve_reads(reads, "bc5n", "bc3n", cells, partners)
-    large = P.cell_reads(resolved, 3).select("cell_id")
-    return resolved.join(large, "cell_id", "left_semi").select("read_id", "bc5n", "bc3n", "cell_id")
+    reads = materialize(_pair_reads(spark, sf_dir), "pair-reads").df  # three steps read them
+    cells, partners, pairs = _cells(spark, sf_dir, reads)
+    return P.assign_reads(reads.select("read_id", "bc5n", "bc3n"), "bc5n", "bc3n", pairs, cells, partners, 3)
 
 
 # Raw read quality

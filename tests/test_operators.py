@@ -60,6 +60,24 @@ def test_resolve_reads(spark):
     assert {r.id: r.cell_id for r in out.collect()} == {1: "cell_1", 2: "cell_2", 3: "cell_1", 4: None, 5: "cell_1", 6: None, 7: None}
 
 
+def test_assign_reads_equals_each_read_resolved(spark):
+    """One answer for each couple of barcodes is the answer of each read; cells with too few reads go."""
+    cells = spark.createDataFrame([("a", "cell_1"), ("b", "cell_1"), ("c", "cell_2")], "node string, cell_id string")
+    tops = spark.createDataFrame([("x", "a", 0.9), ("z", "c", 0.5)], "node string, partner string, dominance double")
+    pairs = spark.createDataFrame([("a", "b"), ("a", "x"), ("c", "z")], "u string, v string")
+    couples = [("a", "b"), ("b", "a"), ("a", "c"), ("a", None), (None, "b"), ("x", None), ("x", "a"), ("c", None), ("z", "c"), ("z", None), ("q", "q"), (None, None), ("a", "a")]
+    rows = [(i, *couples[i % len(couples)], "old") for i in range(40)]
+    reads = spark.createDataFrame([*rows, rows[0]], "id int, s string, t string, cell_id string")
+    plain = P.resolve_reads(P.in_pairs(reads.drop("cell_id"), "s", "t", pairs), "s", "t", cells, tops)
+    for least in (1, 8, 100):
+        large = P.cell_reads(plain, least).select("cell_id")
+        want = sorted((r.id, r.cell_id) for r in plain.join(large, "cell_id", "left_semi").collect())
+        out = P.assign_reads(reads, "s", "t", pairs, cells, tops, least)
+        assert sorted((r.id, r.cell_id) for r in out.collect()) == want and set(out.columns) == {"id", "s", "t", "cell_id"}
+    assert P.assign_reads(reads.limit(0), "s", "t", pairs, cells, tops, 1).count() == 0
+    assert P.assign_reads(reads, "s", "t", pairs.limit(0), cells.limit(0), tops.limit(0), 1).count() == 0
+
+
 def test_reads_of_dropped_pairs_are_left_out(spark):
     schema = "id int, s string, t string, u5 string, u3 string"
     rows = [(1, "a", "b", "U", "V"), (2, "b", "a", "U", None), (3, "a", "c", "U", "V"), (4, "a", None, None, "V"), (5, None, "z", "U", "V"), (6, "a", "a", "U", "V"), (7, None, None, "U", "V"), (8, "a", "b", None, None)]
