@@ -1,6 +1,8 @@
 """Directional UMI collapsing within cells and genes.
 
-Most groups are small and are resolved whole, many of them in one array batch. A group above `WHOLE` UMIs never comes
+Most groups are small and are resolved whole, many of them in one array batch. From `VISITED` UMIs on a group is visited in
+the order of ranks instead, and a UMI that was reached isn't compared again: where UMIs lie close, each meets a neighbour
+after some hundred comparisons. A group above `WHOLE` UMIs whose visit takes more than `COMPARED` comparisons never comes
 together: its UMIs are compared in tiles of two blocks, and above `DENSE` UMIs they meet on variants instead, a
 bounded number for each UMI; the edges found are then followed in rounds of joins.
 """
@@ -22,12 +24,17 @@ from cellweave.session import materialize
 
 #: UMIs of a group that one task resolves whole: at most 32 million comparisons, some ten seconds.
 WHOLE = 8_000
+#: UMIs of a group from which on it is visited rather than compared all with all.
+VISITED = 256
+#: Comparisons of a visit to a group above `WHOLE`, about a minute, after which it is left to the tiles.
+COMPARED = 1_500_000_000
 #: UMIs of a block; two blocks are compared in one task.
 BLOCK = 1_000
 #: UMIs of a group from which on comparing all blocks costs more than the variants of each UMI.
 DENSE = 500_000
 #: Pairs compared at a time.
 _PAIRS = 1 << 20
+_CELLS = 1 << 16
 
 
 def umi_counts(rows: DataFrame, group: Sequence[str], umi: str) -> DataFrame:
@@ -78,15 +85,140 @@ def _whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
         yield held, np.r_[0, starts] if not len(starts) or starts[0] else starts
 
 
-def _resolve(group: list[str], k: int):
-    """Rows sorted by group with `umi_corrected`: the strongest UMI that reaches each."""
+def _within(at: np.ndarray, lengths: np.ndarray, own: np.ndarray, others: np.ndarray, letter_count: int, k: int) -> np.ndarray:
+    """Whether texts `own` and `others` lie within k edits, as a matrix; `at` has the letters by place. Texts have at most 64 letters.
+
+    The vertical differences of the last column of the usual table, as bits, give the distance.
+    """
+    m, n = lengths[own].astype(np.int64), lengths[others]
+    longest = int(m.max())
+    kind = np.uint16 if longest <= 16 else np.uint32 if longest <= 32 else np.uint64
+    one = kind(1)
+    masks = np.zeros((len(own), letter_count + 1), kind)
+    for place in range(longest):
+        rows = np.flatnonzero(m > place)
+        masks[rows, at[place, own[rows]]] |= one << kind(place)
+    pv = np.full((len(own), len(others)), ~kind(0))
+    mv = np.zeros_like(pv)
+    even = bool((n == n[0]).all())
+    for step in range(int(n.max())):
+        eq = masks.take(at[step, others], axis=1)
+        xh = eq & pv
+        xh += pv
+        xh ^= pv
+        xh |= eq
+        eq |= mv
+        ph = xh | pv
+        np.invert(ph, out=ph)
+        ph |= mv
+        xh &= pv
+        ph <<= one
+        ph |= one
+        xh <<= one
+        after = eq | ph
+        np.invert(after, out=after)
+        after |= xh
+        ph &= eq
+        if even:
+            pv, mv = after, ph
+        else:
+            on = n > step
+            pv, mv = np.where(on, after, pv), np.where(on, ph, mv)
+    used = np.array([(1 << int(x)) - 1 for x in m], kind)[:, None]
+    return n + np.bitwise_count(pv & used).astype(np.int32) - np.bitwise_count(mv & used).astype(np.int32) <= k
+
+
+def _visit(umis: list[str], n: np.ndarray, k: int, most: float) -> np.ndarray | None:
+    """For each UMI of a group the number of the strongest that reaches it; None if that took more than `most` comparisons.
+
+    UMIs are visited by rank, each with all that it reaches. What was reached is compared no more, which leaves the result
+    as it is: it belongs to the first that reached it.
+    """
+    texts = Texts.of(umis)
+    if texts.codes.shape[1] > 64:
+        return None
+    order = np.lexsort((np.unique(np.array(umis, object), return_inverse=True)[1], -n))
+    n, lengths = n[order], texts.lengths[order]
+    alphabet = np.unique(texts.codes[texts.codes > 0])
+    at = np.ascontiguousarray(letters(texts.codes[order], alphabet).T)
+    limit = (n + 1) // 2  # what a UMI may reach has no more reads
+    owner = np.full(len(n), -1, np.int64)
+    left = np.arange(len(n))  # in the order of ranks, so that reads fall
+    left_at, left_n, left_lengths, gone = at, n, lengths, 0
+    met: dict[int, np.ndarray] = {}
+    done = 0
+
+    def compare(batch: np.ndarray) -> None:
+        nonlocal done
+        start = int(np.searchsorted(-left_n, -int(limit[batch].max())))
+        for x in batch.tolist():
+            met[x] = left[:0]
+        if start == len(left):
+            return
+        own = np.ascontiguousarray(at[:, batch])
+        both = np.concatenate([own, left_at[:, start:]], axis=1)
+        sizes = np.r_[lengths[batch], left_lengths[start:]]
+        near = _within(both, sizes, np.arange(len(batch)), np.arange(len(batch), both.shape[1]), len(alphabet), k)
+        near &= left_n[start:] <= limit[batch][:, None]
+        rows, columns = np.nonzero(near)
+        found = left[start + columns]
+        for x, part in zip(batch.tolist(), np.split(found, np.searchsorted(rows, np.arange(1, len(batch))))):
+            met[x] = part
+        done += near.size
+
+    for root in range(len(n)):
+        if owner[root] >= 0:
+            continue
+        owner[root] = root
+        gone += 1
+        open_ = [root]
+        while open_:
+            x = open_.pop()
+            if x not in met:
+                if gone * 8 > len(left):
+                    keep = owner[left] < 0
+                    left, left_at, left_n, left_lengths, gone = left[keep], np.ascontiguousarray(left_at[:, keep]), left_n[keep], left_lengths[keep], 0
+                    if not len(left):
+                        break
+                room = max(1, _CELLS // max(1, len(left) - int(np.searchsorted(-left_n, -int(limit[x])))))
+                batch, waiting = [x], {x}
+                for y in reversed(open_[-room:]):
+                    if len(batch) < room and y not in met and limit[y] == limit[x] and y not in waiting:
+                        batch.append(y)
+                        waiting.add(y)
+                if len(open_) < room:  # the next roots, as far as nothing reaches them before
+                    ahead = np.flatnonzero(owner[root + 1 : root + 1 + 4 * room] < 0)[: room - len(batch)] + root + 1
+                    batch += [y for y in ahead.tolist() if y not in met and limit[y] == limit[x] and y not in waiting]
+                compare(np.array(batch))
+                if done > most:
+                    return None
+            fresh = met.pop(x)
+            fresh = fresh[owner[fresh] < 0]
+            owner[fresh] = root
+            gone += len(fresh)
+            open_ += fresh.tolist()
+    best = np.empty(len(n), np.int64)
+    best[order] = order[owner]
+    return best
+
+
+def _resolve(group: list[str], k: int, most: float = np.inf):
+    """Rows sorted by group with `umi_corrected`: the strongest UMI that reaches each; NULL in groups that took more than `most` comparisons."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, starts in _whole_runs(batches, group):
             umis, n = rows["umi"].to_pylist(), rows["n"].to_numpy()
             ends = np.r_[starts[1:], len(umis)]
             end = np.repeat(ends, ends - starts)
-            source, target = _close(umis, n, np.arange(len(umis)) + 1, end, k)
+            first = np.arange(len(umis)) + 1
+            visited = []
+            for a, z in zip(starts.tolist(), ends.tolist()):
+                if z - a >= VISITED:
+                    found = _visit(umis[a:z], n[a:z], k, most)
+                    if found is not None or most < np.inf:
+                        visited.append((a, z, found))
+                        end[a:z] = 0  # compared with nothing more
+            source, target = _close(umis, n, first, end, k)
             order = np.lexsort((np.unique(np.array(umis, object), return_inverse=True)[1], -n))
             rank = np.empty(len(umis), np.int64)
             rank[order] = np.arange(len(umis))
@@ -97,7 +229,10 @@ def _resolve(group: list[str], k: int):
                 if (after == best).all():
                     break
                 best = after
-            yield from rows.append_column("umi_corrected", pa.array([umis[x] for x in order[best]], pa.string())).combine_chunks().to_batches()
+            chosen = order[best]
+            for a, z, found in visited:
+                chosen[a:z] = -1 if found is None else a + found
+            yield from rows.append_column("umi_corrected", pa.array([umis[x] if x >= 0 else None for x in chosen], pa.string())).combine_chunks().to_batches()
 
     return run
 
@@ -248,15 +383,15 @@ def _follow(counts: DataFrame, g: list[str], edges: DataFrame, max_rounds: int)
 
 
 def collapse_umis(
-    counts: DataFrame, group: Sequence[str], k: int = 3, max_rounds: int = 60, whole: int = WHOLE, dense: int = DENSE
+    counts: DataFrame, group: Sequence[str], k: int = 3, max_rounds: int = 60, whole: int = WHOLE, dense: int = DENSE, compared: float = COMPARED
 ) -> DataFrame:
     """`group`, umi, n, umi_corrected: every UMI with the strongest UMI that reaches it.
 
     A UMI reaches those within k edits that it has at least 2 n - 1 times the reads of, and what they
     reach. UMIs rank by reads, then by name; visiting them in this order, each taking what it reaches
     and nobody took, gives every UMI the highest-ranked that reaches it. Each group and UMI comes once in `counts`, and rows
-    without a UMI are left out. Groups of at most `whole` UMIs are resolved in one task each; larger ones are spread over
-    all tasks, with the same result.
+    without a UMI are left out. Groups of at most `whole` UMIs are resolved in one task each, and those of at most `dense` too if that takes
+    at most `compared` comparisons; the others are spread over all tasks, with the same result.
     """
     g = list(group)
     rows = materialize(counts.select(*g, "umi", F.col("n").cast("long").alias("n")).filter("umi IS NOT NULL"), "umis").df
@@ -269,13 +404,23 @@ def collapse_umis(
         on = [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(g, names)]
         return rows.join(right, on or F.lit(True), how)
 
+    def resolve(part: DataFrame, most: float = np.inf, tasks: Sequence[int] = ()) -> DataFrame:
+        spread = part.repartition(*tasks, *g) if g else part.coalesce(1)
+        return spread.sortWithinPartitions(*g).mapInArrow(_resolve(g, k, most), out)
+
     large = sizes.filter(F.col("_size") > whole)
     hot = large.count()
-    small = among(large, "left_anti") if hot else rows
-    spread = small.repartition(*g) if g else small.coalesce(1)
-    resolved = spread.sortWithinPartitions(*g).mapInArrow(_resolve(g, k), out)
+    resolved = resolve(among(large, "left_anti") if hot else rows)
     if not hot:
         return resolved
+    if compared > 0:
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, so that few rows of much work aren't put together
+        tried = materialize(resolve(among(large.filter(F.col("_size") <= dense), "left_semi"), compared, [tasks]), "umis-tried").df
+        resolved = resolved.unionByName(tried.filter("umi_corrected IS NOT NULL"))
+        undone = tried.filter("umi_corrected IS NULL").select(*g).distinct().withColumn("_size", F.lit(dense).cast("long"))
+        large = materialize(undone.unionByName(large.filter(F.col("_size") > dense).select(*undone.columns)), "umi-groups").df
+        if large.isEmpty():
+            return resolved
     apart = materialize(among(large, "left_semi"), "umis-hot").df
     edges = None
     tiled = lambda part: tile_edges(part, g, k, thin=True)
