@@ -155,7 +155,8 @@ def correction_status(putative: Column, corrected: Column) -> Column:
 def expand_whitelist(tens: DataFrame, column: str, middle: str, reverse: bool = False) -> DataFrame:
     """`barcode`: every pair of 10-base entries around the middle. The product is the result asked for.
 
-    Entries that aren't 10 of ACGT, or that repeat, raise an error.
+    Entries that aren't 10 of ACGT, or that repeat, raise an error; so there are at most 4^10, and one side can be broadcast. The
+    other is spread over a stated number of tasks, since adaptive execution sees only few rows and would put them into one.
     """
     bad = ~F.col(column).rlike("^[ACGT]{10}$")
     checked = tens.select(
@@ -165,8 +166,10 @@ def expand_whitelist(tens: DataFrame, column: str, middle: str, reverse: bool =
         F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("repeated barcode: "), F.col("ten")))).otherwise(F.col("ten")).alias("ten")
     )
     part = once.select((S.revcomp(F.col("ten")) if reverse else F.col("ten")).alias("ten"))
-    left, right = part.withColumnRenamed("ten", "a"), part.withColumnRenamed("ten", "b")
-    return left.crossJoin(right).select(F.concat("a", F.lit(middle), "b").alias("barcode"))
+    spark = tens.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    left = part.select(F.concat("ten", F.lit(middle)).alias("a")).repartition(tasks, "a")
+    return left.crossJoin(F.broadcast(part.withColumnRenamed("ten", "b"))).select(F.concat("a", "b").alias("barcode"))
 
 
 def high_quality_counts(rows: DataFrame, barcode: str, quality: str, min_quality: int = 2) -> DataFrame:
