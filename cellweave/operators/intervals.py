@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+#: Reads of a bin from which on genes are swept over the ends of reads rather than compared with each read.
+SWEPT = 2_000
+#: Bins of a read's length class are so many times wider than those of the class below.
+_LADDER = 64
+#: Reads answered at a time, and cells of a comparison.
+_READS, _CELLS = 100_000, 1 << 20
+#: Strands as numbers, and for each strand of a read those of the genes it may meet: only two known strands can differ, and a
+#: missing one is unlike any but a strand that is known to be open.
+_PLUS, _MINUS, _OPEN, _MISSING = range(4)
+_MEETS = {_PLUS: (_PLUS, _OPEN), _MINUS: (_MINUS, _OPEN), _OPEN: (_PLUS, _MINUS, _OPEN, _MISSING), _MISSING: (_OPEN,)}
 
 
 def overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
@@ -59,19 +76,163 @@ def _status(mapq: int) -> Column:
     )
 
 
+def _compared(s: np.ndarray, e: np.ndarray, gs: np.ndarray, ge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each read the number of genes that share most bases with it (at most 2 are told apart) and one of them, by comparing all."""
+    ties, who = np.zeros(len(s), np.int32), np.zeros(len(s), np.int64)
+    step = max(1, _CELLS // len(gs))
+    for x in range(0, len(s), step):
+        shared = np.minimum(e[x : x + step, None], ge) - np.maximum(s[x : x + step, None], gs)
+        who[x : x + step] = shared.argmax(1)
+        most = shared.max(1)
+        ties[x : x + step] = np.where(most > 0, np.minimum((shared == most[:, None]).sum(1), 2), 0)
+    return ties, who
+
+
+def _swept(s: np.ndarray, e: np.ndarray, gs: np.ndarray, ge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same as `_compared`, for genes sorted by start.
+
+    Of the genes that start no later than a read the two that end last share most with it. Genes that start later are swept from the
+    last to the first; after each the two largest overlaps for every end of a read are known.
+    """
+    before = np.r_[np.int64(np.iinfo(np.int64).min), np.maximum.accumulate(ge)[:-1]]
+    last, second = np.maximum.accumulate(ge), np.maximum.accumulate(np.minimum(ge, before))
+    holder = np.maximum.accumulate(np.where(ge > before, np.arange(len(ge)), 0))
+    p = np.searchsorted(gs, s, side="right") - 1
+    some = p >= 0
+    v1 = np.where(some, np.minimum(last[p], e) - s, 0)
+    v2 = np.where(some, np.minimum(np.maximum(second[p], s), e) - s, 0)
+    v1, v2, v_who = np.maximum(v1, 0), np.maximum(v2, 0), holder[p]
+
+    order = np.argsort(-s, kind="stable")
+    ends, at = np.unique(e[order], return_inverse=True)
+    t1, t2, lead = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+    u1, u2, u_who = (np.zeros(len(s), np.int64) for _ in range(3))
+    answered = np.searchsorted(-s[order], -gs, side="right")  # reads that start no earlier than a gene
+    behind = np.searchsorted(ends, gs, side="right")
+    done = 0
+    for g in range(len(gs) - 1, -2, -1):
+        upto = int(answered[g]) if g >= 0 else len(s)
+        if upto > done:
+            places, reads = at[done:upto], order[done:upto]
+            u1[reads], u2[reads], u_who[reads] = t1[places], t2[places], lead[places]
+            done = upto
+        if g < 0 or done == len(s):
+            break
+        j = int(behind[g])
+        v = np.minimum(ends[j:], ge[g]) - gs[g]
+        top = t1[j:]
+        np.maximum(t2[j:], np.minimum(top, v), out=t2[j:])
+        np.copyto(lead[j:], g, where=v > top)
+        np.maximum(top, v, out=top)
+    most = np.maximum(v1, u1)
+    tied = np.maximum(np.minimum(v1, u1), np.maximum(v2, u2)) == most
+    return np.where(most > 0, 1 + tied, 0).astype(np.int32), np.where(v1 >= u1, v_who, u_who)
+
+
+def _name_reads(carry: list[str], kinds: pa.Schema):
+    """Rows of a bin, its genes first, to its reads with the number of best genes (NULL: none) and the name of one."""
+
+    def answer(reads: pa.Table, genes: pa.Table | None) -> Iterator[pa.RecordBatch]:
+        ties, names = np.zeros(len(reads), np.int32), np.full(len(reads), -1, np.int64)
+        if genes is not None:
+            s, e, strand = (reads[c].to_numpy() for c in ("_s", "_e", "_strand"))
+            gs, ge, g_strand = (genes[c].to_numpy() for c in ("_s", "_e", "_strand"))
+            by_start = np.argsort(gs, kind="stable")
+            for own in np.unique(strand):
+                able = by_start[np.isin(g_strand[by_start], _MEETS[int(own)])]
+                rows = np.flatnonzero(strand == own)
+                if len(able):
+                    find = _swept if len(rows) > SWEPT else _compared
+                    ties[rows], who = find(s[rows], e[rows], gs[able], ge[able])
+                    names[rows] = able[who]
+        found = ties > 0
+        labels = pa.nulls(len(reads), pa.string()) if genes is None else genes["_label"].take(pa.array(np.where(found, names, 0), mask=~found))
+        out = reads.select([*carry, "score"]).append_column("_b_label", labels).append_column("_ties", pa.array(ties.astype(np.int64), mask=~found))
+        yield from out.cast(kinds).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, genes, reads, waiting = None, [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if reads:
+                if len(genes) > 1:
+                    genes[:] = [pa.concat_tables(genes).combine_chunks()]
+                yield from answer(pa.concat_tables(reads).combine_chunks(), genes[0] if genes else None)
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if not len(rows):
+                continue
+            run_of = [rows[c].to_numpy(zero_copy_only=False) for c in ("_class", "_chrom", "_bin", "_read")]
+            starts = np.r_[0, 1 + np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in run_of])), len(rows)]
+            for x, z in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                key = tuple(c[x] for c in run_of[:3])
+                if key != at:
+                    yield from flush()
+                    at, genes, reads, waiting = key, [], [], 0
+                part = rows.slice(x, z - x)
+                if not run_of[3][x]:
+                    genes.append(part)
+                    continue
+                reads.append(part)
+                waiting += z - x
+                if waiting >= _READS:
+                    yield from flush()
+                    reads, waiting = [], 0
+        yield from flush()
+
+    return run
+
+
+def _name_genes(reads: DataFrame, carry: list[str], genes: DataFrame, mapq: int, width: int) -> DataFrame:
+    """`carry`, status, score, gene of each row of `reads`; see `assign_genes`.
+
+    Reads and genes aren't paired. A read goes to one bin, that of its start, whose width follows from its length so that it ends in
+    the next one at the latest; genes go to the bins from which reads reach them. Of genes of one start and strand only the two that end
+    last count, since no other is alone in sharing most with any read.
+    """
+    code = lambda c: F.when(F.col(c) == "+", _PLUS).when(F.col(c) == "-", _MINUS).when(F.col(c).isNull(), _MISSING).otherwise(_OPEN)
+    wide = [width, width * _LADDER, 0]  # 0: all in one bin
+    bin_of = lambda x, w: F.floor(x / w).cast("long") if w else F.lit(0).cast("long")
+    able = (F.col("score") >= mapq) & (F.col("start") < F.col("end")) & F.col("chrom").isNotNull()
+    length = F.col("end") - F.col("start")
+    size = F.when(length <= wide[0], 0).when(length <= wide[1], 1).otherwise(2)
+    tagged = reads.select(
+        *carry, "score", size.alias("_class"), F.col("chrom").alias("_chrom"), F.lit(True).alias("_read"),
+        F.col("start").cast("long").alias("_s"), F.col("end").cast("long").alias("_e"), code("strand").alias("_strand"), F.lit(None).cast("string").alias("_label"), able.alias("_able"),
+    )
+    placed = tagged.filter("_able").withColumn(
+        "_bin", F.when(F.col("_class") == 0, bin_of(F.col("_s"), wide[0])).when(F.col("_class") == 1, bin_of(F.col("_s"), wide[1])).otherwise(F.lit(0).cast("long"))
+    ).drop("_able")
+    known = genes.filter((F.col("start") < F.col("end")) & F.col("chrom").isNotNull()).select(
+        F.col("chrom").alias("_chrom"), F.col("start").cast("long").alias("_s"), F.col("end").cast("long").alias("_e"), code("strand").alias("_strand"), F.col("label").alias("_label")
+    )
+    last = Window.partitionBy("_chrom", "_s", "_strand").orderBy(F.desc("_e"))
+    kept = known.withColumn("_rn", F.row_number().over(last)).filter("_rn <= 2").drop("_rn")
+    reach = lambda w: F.sequence(bin_of(F.col("_s"), w) - 1, bin_of(F.col("_e") - 1, w)) if w else F.array(F.lit(0).cast("long"))
+    of_class = lambda c: lambda b: F.struct(F.lit(c).alias("_class"), b.alias("_bin"))
+    bins = F.array(*(F.transform(reach(w), of_class(c)) for c, w in enumerate(wide)))
+    spread = kept.withColumn("_at", F.explode(F.flatten(bins))).select("_chrom", "_s", "_e", "_strand", "_label", "_at.*", F.lit(False).alias("_read"))
+    tasks = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["_class", "_chrom", "_bin"]
+    kinds = T.StructType([*(tagged.schema[c] for c in [*carry, "score"]), T.StructField("_b_label", T.StringType()), T.StructField("_ties", T.LongType())])
+    named = (
+        placed.unionByName(spread, allowMissingColumns=True)
+        .repartition(tasks, *keys).sortWithinPartitions(*keys, "_read")
+        .mapInArrow(_name_reads(carry, to_arrow_schema(kinds)), kinds)
+    )
+    rest = tagged.filter("_able IS NOT TRUE").select(*carry, "score", F.lit(None).cast("string").alias("_b_label"), F.lit(None).cast("long").alias("_ties"))
+    status = _status(mapq)
+    return named.unionByName(rest).select(*carry, status.alias("status"), "score", F.when(status == "Assigned", F.col("_b_label")).otherwise("NA").alias("gene"))
+
+
 def assign_genes(reads: DataFrame, genes: DataFrame, mapq: int = 30, width: int = 100_000) -> DataFrame:
     """read_id, status, score, gene: the gene a read shares most bases with.
 
     `reads` has one row per read_id with chrom, start, end, strand and score; `genes` has chrom, start, end, strand and
     label. Low scores come before any overlap, and an overlap that two genes reach is ambiguous.
     """
-    able = reads.filter(F.col("score") >= mapq)
-    met = interval_join(able.select("read_id", "chrom", "start", "end", "strand"), genes, width)
-    best = _best(met.select("read_id", "overlap", F.col("f_label").alias("label")), "read_id", ["label"])
-    status = _status(mapq)
-    return reads.join(best, "read_id", "left").select(
-        "read_id", status.alias("status"), "score", F.when(status == "Assigned", F.col("_b_label")).otherwise("NA").alias("gene")
-    )
+    return _name_genes(reads, ["read_id"], genes, mapq, width)
 
 
 def assign_transcripts(blocks: DataFrame, exons: DataFrame, mapq: int = 30, width: int = 100_000) -> DataFrame:
@@ -155,13 +316,12 @@ def tag_and_assign(alignments: DataFrame, tags: DataFrame, genes: DataFrame, map
     """
     first = tags.groupBy("read_id").agg(F.min(F.struct("barcode", "umi")).alias("_t")).select("read_id", "_t.*")
     tagged = alignments.join(first, "read_id", "left" if keep_untagged else "inner")
+    # By columns, the read's first, so that they stay where the join put them.
     mapped = tagged.filter((F.col("flag").bitwiseAND(4) == 0) & F.col("chrom").isNotNull() & (F.col("start") >= 0)).select(
-        F.struct("read_id", "flag", "chrom", "start", "cigar", "mapq").alias("_record"), "barcode", "umi"
+        "read_id", "flag", "chrom", "start", "cigar", "mapq", "barcode", "umi"
     ).distinct()
     records = mapped.select(
-        F.col("_record").alias("read_id"), F.col("_record.chrom").alias("chrom"), F.col("_record.start").alias("start"),
-        (F.col("_record.start") + reference_length(F.col("_record.cigar"))).alias("end"),
-        F.when(F.col("_record.flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), F.col("_record.mapq").alias("score"),
+        "read_id", "barcode", "umi", "chrom", "start", (F.col("start") + reference_length(F.col("cigar"))).alias("end"),
+        F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), F.col("mapq").alias("score"),
     )
-    found = assign_genes(records, genes, mapq, width)
-    return found.join(mapped.withColumnRenamed("_record", "read_id"), "read_id").select(F.col("read_id.read_id").alias("read_id"), "barcode", "umi", "status", "score", "gene")
+    return _name_genes(records, ["read_id", "barcode", "umi"], genes, mapq, width)
