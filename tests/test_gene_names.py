@@ -61,3 +61,13 @@ def test_reads_and_genes_arent_paired(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
     assert {r.status for r in out.collect()} == {"Unassigned_ambiguous", "Assigned"}
+
+
+def test_tags_are_joined_once(spark):
+    """The tags go along with the records instead of being joined again by record."""
+    rec = spark.createDataFrame([("a", 0, "c", 0, "9M", 60), ("a", 0, "c", 0, "9M", 60)], "read_id string, flag int, chrom string, start long, cigar string, mapq int")
+    tags = spark.createDataFrame([("a", "x", "u")], "read_id string, barcode string, umi string")
+    genes = spark.createDataFrame([("c", 0, 5, "+", "G")], "chrom string, start long, end long, strand string, label string")
+    out = I.tag_and_assign(rec, tags, genes)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2  # records with high scores and others
+    assert [tuple(r) for r in out.collect()] == [("a", "x", "u", "Assigned", 60, "G")]
