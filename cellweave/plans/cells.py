@@ -193,8 +193,10 @@ def umi_directional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrected_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gene matrix over corrected UMIs."""
-    return M.gene_matrix(umi_directional(spark, sf_dir).drop("umi").withColumnRenamed("umi_corrected", "umi"))
+    """The gene matrix over corrected UMIs: a UMI that others are corrected to stays as it is, so that the UMIs that stay are counted."""
+    counts = umi_counts(_rows(spark, sf_dir).filter(~M.is_placeholder(F.col("gene"))), ["barcode", "gene"], "umi")
+    stay = collapse_umis(counts, ["barcode", "gene"]).filter(F.col("umi") == F.col("umi_corrected"))
+    return stay.groupBy("gene", "barcode").agg(F.count("*").alias("n"))
 
 
 def beads_hist(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,3 +29,18 @@ def test_corrected_matrix_of_a_large_group_needs_no_tiles(spark, tmp_path, monke
     monkeypatch.setattr(cells, "collapse_umis", lambda c, g: U.collapse_umis(c, g, whole=30))
     got = [tuple(r) for r in cells.corrected_matrix(spark, str(tmp_path)).select("gene", "barcode", "n").collect()]
     assert got == [("HS_A", "CELL", len(set(_collapse(counts).values())))]
+
+
+def test_corrected_matrix_resolves_no_placeholders(spark, tmp_path, monkeypatch):
+    """Regions aren't in the matrix, so that their UMIs aren't resolved, and no UMI is moved again to be counted."""
+    rows = [("a", "HS_A", "c", "ACGTACGT"), ("b", "HS_A", "c", "ACGTACGA"), ("d", "HS_A", "c", "TTTTTTTTTTTT"), ("e", "HS_chr1_10_20", "c", "ACGT")]
+    spark.createDataFrame(rows, "read_id string, gene string, barcode string, umi string").write.parquet(f"{tmp_path}/cell_umi_gene.parquet")
+    genes = []
+
+    def seen(counts, group):
+        genes.extend(r.gene for r in counts.select("gene").distinct().collect())
+        return U.collapse_umis(counts, group)
+
+    monkeypatch.setattr(cells, "collapse_umis", seen)
+    assert [tuple(r) for r in cells.corrected_matrix(spark, str(tmp_path)).collect()] == [("HS_A", "C", 2)]
+    assert genes == ["HS_A"]
