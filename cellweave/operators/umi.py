@@ -295,6 +295,10 @@ def _visit(umis: Sequence[str] | pa.Array, n: np.ndarray, k: int, most: float) -
     met: dict[int, np.ndarray] = {}
     done = 0
 
+    def room_for(most_reads: int) -> int:
+        behind = max(1, len(left) - int(np.searchsorted(-left_n, -most_reads)))
+        return max(_ROWS, min(2 * _CELLS // behind, 1_024))
+
     def compare(batch: np.ndarray) -> None:  # of one limit
         nonlocal done
         start = int(np.searchsorted(-left_n, -int(limit[batch[0]])))
@@ -325,8 +329,7 @@ def _visit(umis: Sequence[str] | pa.Array, n: np.ndarray, k: int, most: float) -
                 left, left_at, left_n, left_lengths, gone = left[keep], np.ascontiguousarray(left_at[:, keep]), left_n[keep], left_lengths[keep], 0
                 if not len(left):
                     break
-            behind = max(1, len(left) - int(np.searchsorted(-left_n, -int(limit[open_[-1]]))))
-            room, chosen = max(_ROWS, min(2 * _CELLS // behind, 1_024)), []
+            room, chosen = room_for(int(limit[open_[-1]])), []
             while open_ and len(chosen) < room:
                 at_random = pick.randrange(len(open_))
                 open_[at_random], open_[-1] = open_[-1], open_[at_random]
@@ -339,9 +342,11 @@ def _visit(umis: Sequence[str] | pa.Array, n: np.ndarray, k: int, most: float) -
                 if not open_ and len(batch) < room:  # the next roots, as far as nothing reaches them before
                     ahead = np.flatnonzero(owner[root + 1 : root + 1 + 4 * room] < 0)[: room - len(batch)] + root + 1
                     batch += [y for y in ahead[limit[ahead] == most_reads].tolist() if y not in met]
-                compare(np.array(batch))
-                if done > most:
-                    return None
+                size = room_for(most_reads)
+                for y in range(0, len(batch), size):
+                    compare(np.array(batch[y : y + size]))
+                    if done > most:
+                        return None
             for x in chosen:
                 fresh = met.pop(x)
                 if len(fresh):
